@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.functions.selectors import LABEL, numeric_columns, string_columns
+from riskloom.operators import (
+    application, bureau, checks, cleaning, correlation, credit_card, installments, metrics, pos_cash, preprocess,
+    previous, profiling, scoring)
 from riskloom.operators import assemble as asm
-from riskloom.operators import (application, bureau, cleaning, credit_card, installments, pos_cash, previous)
-from riskloom.sources import bindings
+from riskloom.operators import split as splitting
+from riskloom.session import shared_dir, stage, staged_path
+from riskloom.sources import bindings, readers, schemas, writers
 
 QUERIES = {}
 
@@ -83,3 +88,356 @@ def assembled_dataset(spark, folder):
 @query
 def cleaned_dataset(spark, folder):
     return comparable(cleaning.clean(asm.build(bindings.load(spark, folder))))
+
+
+@query
+def train_test_dataset(spark, folder):
+    """Train and test applicants (customers, suppliers) joined to the same features at once."""
+    return comparable(asm.build(_train_test_sources(spark, folder)))
+
+
+def _train_test_sources(spark, folder):
+    sources = bindings.load(spark, folder)
+    sources["application_train"] = sources.pop("application")
+    suppliers = bindings.table(spark, folder, "supplier").selectExpr(
+        "s_suppkey AS c_custkey", "s_acctbal AS c_acctbal", "CAST(NULL AS STRING) AS c_mktsegment",
+        "s_nationkey AS c_nationkey")
+    sources["application_test"] = bindings.application(suppliers).drop(LABEL)
+    return sources
+
+
+def assembled(spark, folder):
+    return stage(asm.build(bindings.load(spark, folder)), "assembled")
+
+
+def cleaned(spark, folder):
+    return stage(cleaning.clean(asm.build(bindings.load(spark, folder))), "cleaned")
+
+
+# --- scans and sinks ----------------------------------------------------------------------
+
+@query
+def scan_normalize_missing(spark, folder):
+    k = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+    raw = bindings.table(spark, folder, "events").selectExpr(
+        "event_id", f"CASE {k} % 6 WHEN 0 THEN 'NA' WHEN 1 THEN 'null' WHEN 2 THEN 'XNA' WHEN 3 THEN '' "
+                    f"WHEN 4 THEN 'n/a' ELSE event_type END AS kind",
+        f"CASE WHEN {k} % 7 = 0 THEN DOUBLE('NaN') ELSE value END AS value")
+    return comparable(readers.normalize_missing(raw))
+
+
+@query
+def csv_round_trip(spark, folder):
+    """Features with infinities and gaps survive a CSV file."""
+    features = installments.installment_features(bindings.load(spark, folder)["installments_payments"])
+    path = staged_path(spark, "features") + ".csv"
+    writers.write_dataset(features, path, "csv")
+    return comparable(readers.read_table(spark, path, features.schema))
+
+
+@query
+def csv_sources_dataset(spark, folder):
+    """The eight raw tables as CSV, read with their schemas and built."""
+    sources = _train_test_sources(spark, folder)
+    base = staged_path(spark, "raw")
+    for name, df in sources.items():
+        writers.write_dataset(df, f"{base}/{name}.csv", "csv")
+    return comparable(asm.build(readers.load_sources(spark, base)))
+
+
+@query
+def first_rows(spark, folder):
+    return comparable(profiling.head(bindings.load(spark, folder)["application"], "SK_ID_CURR"))
+
+
+# --- reports --------------------------------------------------------------------------------
+
+@query
+def table_info(spark, folder):
+    return comparable(profiling.table_info(assembled(spark, folder)))
+
+
+@query
+def column_info(spark, folder):
+    return comparable(profiling.column_info(assembled(spark, folder)).select("ordinal", "feature", "non_null"))
+
+
+@query
+def missing_report(spark, folder):
+    return comparable(profiling.missing_report(assembled(spark, folder)))
+
+
+@query
+def describe_numeric(spark, folder):
+    return comparable(profiling.describe(assembled(spark, folder)))
+
+
+@query
+def infinity_report(spark, folder):
+    return comparable(profiling.infinity_report(assembled(spark, folder)))
+
+
+@query
+def feature_summary(spark, folder):
+    typed = bindings.load(spark, folder)["application"].selectExpr(
+        "*", "CASE WHEN SK_ID_CURR % 4 > 0 THEN IF(SK_ID_CURR % 4 = 1, 'True', 'False') END AS WRITTEN_FLAG",
+        "SK_ID_CURR % 2 = 0 AS REAL_FLAG")
+    return comparable(profiling.feature_summary(typed))
+
+
+@query
+def label_distribution(spark, folder):
+    return comparable(profiling.label_distribution(bindings.load(spark, folder)["application"]))
+
+
+@query
+def class_weights(spark, folder):
+    return comparable(preprocess.class_weights(bindings.load(spark, folder)["application"]))
+
+
+@query
+def duplicate_report(spark, folder):
+    return comparable(profiling.duplicate_report(bindings.load(spark, folder)["bureau_balance"]))
+
+
+@query
+def drop_duplicates(spark, folder):
+    return comparable(profiling.drop_duplicates(bindings.load(spark, folder)["bureau_balance"]))
+
+
+@query
+def near_constant(spark, folder):
+    return comparable(profiling.near_constant(assembled(spark, folder)))
+
+
+@query
+def near_constant_80(spark, folder):
+    return comparable(profiling.near_constant(assembled(spark, folder), share=0.80))
+
+
+@query
+def drop_near_constant(spark, folder):
+    """Found on train, dropped from train and test alike."""
+    built = stage(asm.build(_train_test_sources(spark, folder)), "built")
+    train = built.where("dataset = 'train'").drop("dataset")
+    return comparable(built.drop(*profiling.near_constant_columns(train, 0.85)))
+
+
+@query
+def skew_topk(spark, folder):
+    return comparable(profiling.skew_report(cleaned(spark, folder), 20))
+
+
+@query
+def column_report(spark, folder):
+    return comparable(profiling.column_report(cleaned(spark, folder)))
+
+
+@query
+def iqr_bounds(spark, folder):
+    return comparable(profiling.iqr_report(cleaned(spark, folder)))
+
+
+@query
+def columns_to_clip(spark, folder):
+    chosen = profiling.columns_to_clip(cleaned(spark, folder))
+    return spark.createDataFrame([(c,) for c in chosen], "feature string")
+
+
+@query
+def clip_to_iqr(spark, folder):
+    """Bounds of the train rows applied to train and test."""
+    built = stage(cleaning.clean(asm.build(_train_test_sources(spark, folder))), "built")
+    train = built.where("dataset = 'train'").drop("dataset")
+    chosen = profiling.columns_to_clip(train)
+    return comparable(profiling.clip_to_bounds(built, profiling.fit_iqr_bounds(train, chosen), chosen))
+
+
+@query
+def spearman_target(spark, folder):
+    return comparable(correlation.spearman_with_label(cleaned(spark, folder)))
+
+
+def _heatmap_columns(df):
+    top = correlation.top_correlated(correlation.spearman_with_label(df), 30)
+    return [r["feature"] for r in top.collect()]
+
+
+@query
+def top_correlated(spark, folder):
+    return comparable(correlation.top_correlated(correlation.spearman_with_label(cleaned(spark, folder)), 30))
+
+
+@query
+def spearman_matrix(spark, folder):
+    df = cleaned(spark, folder)
+    return comparable(correlation.spearman_matrix(df, [*_heatmap_columns(df), LABEL]))
+
+
+@query
+def box_stats(spark, folder):
+    df = cleaned(spark, folder)
+    return comparable(profiling.box_stats(df, _heatmap_columns(df)[:20]))
+
+
+# --- checks -----------------------------------------------------------------------------------
+
+@query
+def check_keys_unique(spark, folder):
+    t = bindings.load(spark, folder)
+    tables = {"application": t["application"], **dict(asm.feature_tables(t)), "raw_balance":
+              t["bureau_balance"].withColumnRenamed("SK_ID_BUREAU", "SK_ID_CURR")}
+    return comparable(checks.key_report(tables, "SK_ID_CURR"))
+
+
+@query
+def check_row_counts(spark, folder):
+    t = bindings.load(spark, folder)
+    return comparable(checks.row_counts({"application": t["application"], "assembled": asm.build(t)}))
+
+
+# --- split and preprocessing --------------------------------------------------------------------
+
+def split_rows(spark, folder):
+    return splitting.stratified_split(cleaned(spark, folder))
+
+
+@query
+def stratified_split(spark, folder):
+    rows = splitting.stratified_split(bindings.load(spark, folder)["application"])
+    return comparable(rows.select("SK_ID_CURR", LABEL, "split"))
+
+
+@query
+def stratified_split_sizes(spark, folder):
+    rows = splitting.stratified_split(bindings.load(spark, folder)["application"])
+    return comparable(rows.groupBy(LABEL, "split").agg(F.count("*").alias("n")))
+
+
+@query
+def split_round_trip(spark, folder):
+    path = staged_path(spark, "split")
+    rows = splitting.stratified_split(bindings.load(spark, folder)["application"])
+    writers.write_split(rows, path)
+    return comparable(writers.read_split(spark, path, "val", schema=rows.schema).drop("split"))
+
+
+def _fit_rows(spark, folder):
+    rows = split_rows(spark, folder)
+    return rows, rows.where("split = 'train'")
+
+
+@query
+def impute_median(spark, folder):
+    rows, train = _fit_rows(spark, folder)
+    columns = numeric_columns(rows, exclude=(LABEL, "SK_ID_CURR"))
+    return comparable(preprocess.impute_median(rows, preprocess.fit_medians(train, columns)))
+
+
+@query
+def impute_mode(spark, folder):
+    rows, train = _fit_rows(spark, folder)
+    texts = string_columns(rows, exclude=("split",))
+    return comparable(preprocess.impute_mode(rows.select("SK_ID_CURR", *texts), preprocess.fit_modes(train, texts)))
+
+
+@query
+def robust_scale(spark, folder):
+    rows, train = _fit_rows(spark, folder)
+    columns = numeric_columns(rows, exclude=(LABEL, "SK_ID_CURR"))
+    medians = preprocess.fit_medians(train, columns)
+    filled = preprocess.impute_median(rows, medians)
+    scales = preprocess.fit_scales(preprocess.impute_median(train, medians), [c for c in columns if medians[c] is not None])
+    return comparable(preprocess.robust_scale(filled, scales).drop(*string_columns(filled)))
+
+
+def _filled_texts(spark, folder):
+    rows = splitting.stratified_split(bindings.load(spark, folder)["application"])
+    train = rows.where("split = 'train'")
+    texts = string_columns(rows, exclude=("split",))
+    filled = preprocess.impute_mode(rows, preprocess.fit_modes(train, texts))
+    return filled.select("SK_ID_CURR", LABEL, "split", *texts), texts
+
+
+@query
+def one_hot_drop_first(spark, folder):
+    filled, texts = _filled_texts(spark, folder)
+    vocabularies = preprocess.fit_vocabularies(filled.where("split = 'train'"), texts)
+    return comparable(preprocess.one_hot(filled, vocabularies, drop_first=True).drop("split", LABEL))
+
+
+@query
+def one_hot_full(spark, folder):
+    filled, texts = _filled_texts(spark, folder)
+    vocabularies = preprocess.fit_vocabularies(filled.where("split = 'train'"), texts)
+    return comparable(preprocess.one_hot(filled, vocabularies).drop("split", LABEL))
+
+
+@query
+def frozen_vocab(spark, folder):
+    """Vocabulary of the train split; a text seen only elsewhere becomes NULL."""
+    filled, texts = _filled_texts(spark, folder)
+    vocabularies = preprocess.fit_vocabularies(filled.where("split = 'train'"), texts)
+    return comparable(preprocess.category_codes(filled, vocabularies).drop("split", LABEL))
+
+
+@query
+def target_encode(spark, folder):
+    filled, texts = _filled_texts(spark, folder)
+    train = filled.where("split = 'train'")
+    means = preprocess.fit_target_means(train, texts)
+    prior = train.agg(F.avg(LABEL)).first()[0]
+    encoded = preprocess.target_encode(filled, means, texts, prior, is_train=F.col("split") == "train")
+    return comparable(encoded.drop("split", LABEL))
+
+
+# --- metrics and scoring --------------------------------------------------------------------------
+
+MODEL_SCORES = {
+    "Elastic Net log reg": "o_totalprice / 500000D",
+    "XG Boost Classifier": "CAST(o_orderkey % 101 AS DOUBLE) / 100",
+    "LightGBM Classifier": "greatest(0D, least(1D, (datediff(o_orderdate, DATE'1995-01-01')) / 2400D))",
+    "CatBoost Classifier": "CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice / 500000D "
+                           "ELSE (datediff(DATE'2001-12-31', o_orderdate)) / 2600D END",
+}
+
+
+def _scored(spark, folder):
+    """Orders as scored applicants: label = finished order, one probability per model."""
+    orders = bindings.table(spark, folder, "orders")
+    by_model = F.array(*[F.struct(F.lit(m).alias("model"), F.expr(e).alias("probability"))
+                         for m, e in MODEL_SCORES.items()])
+    return (orders.select(F.col("o_orderkey").alias("SK_ID_CURR"), (F.col("o_orderstatus") == "F").cast("int").alias(LABEL),
+                          F.explode(by_model).alias("s")).select("SK_ID_CURR", LABEL, "s.*"))
+
+
+@query
+def confusion_metrics(spark, folder):
+    return comparable(metrics.confusion_metrics(_scored(spark, folder), "probability", by=["model"]))
+
+
+@query
+def roc_auc(spark, folder):
+    one = _scored(spark, folder).where(F.col("model") == "XG Boost Classifier")
+    return comparable(metrics.roc_auc(one, "probability"))
+
+
+@query
+def model_comparison(spark, folder):
+    return comparable(metrics.compare_models(_scored(spark, folder)))
+
+
+@query
+def top2_models(spark, folder):
+    return comparable(metrics.top_models(metrics.compare_models(_scored(spark, folder)), 2).select("model", "roc_auc"))
+
+
+@query
+def pad_missing_columns(spark, folder):
+    batch = bindings.load(spark, folder)["application"].drop(LABEL, "AMT_CREDIT")
+    return comparable(scoring.pad_columns(batch, schemas.APPLICATION_TEST))
+
+
+@query
+def threshold_decision(spark, folder):
+    return comparable(scoring.decisions(_scored(spark, folder)))
