@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.selectors import LABEL, numeric_columns, string_columns
+from riskloom.functions.sqltext import quoted
 from riskloom.operators import (
     application, bureau, checks, cleaning, correlation, credit_card, installments, metrics, pos_cash, preprocess,
     previous, profiling, scoring)
@@ -27,57 +28,57 @@ def comparable(df: DataFrame) -> DataFrame:
     """Whole numbers as bigint; doubles at single precision, so that sums taken in
     another order compare equal. Only for comparing; the operators keep full doubles."""
     def shown(f):
-        c = F.col(f"`{f.name}`")
+        c = quoted(f.name)
         if isinstance(f.dataType, T.IntegralType):
-            return c.cast("long").alias(f.name)
+            return f"CAST({c} AS BIGINT) AS {c}"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            return c.cast("float").cast("double").alias(f.name)
+            return f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}"
         return c
-    return df.select([shown(f) for f in df.schema.fields])
+    return df.selectExpr(*[shown(f) for f in df.schema.fields])
 
 
 # --- feature roll-ups ---------------------------------------------------------------------
 
 @query
 def status_map(spark: SparkSession, folder: str) -> DataFrame:
-    balance = bindings.load(spark, folder)["bureau_balance"]
+    balance = bindings.bound(spark, folder, "bureau_balance")
     return comparable(balance.select("SK_ID_BUREAU", "STATUS", bureau.status_number().alias("STATUS_NUM")))
 
 
 @query
 def bureau_balance_rollup(spark, folder):
-    return comparable(bureau.balance_by_loan(bindings.load(spark, folder)["bureau_balance"]))
+    return comparable(bureau.balance_by_loan(bindings.bound(spark, folder, "bureau_balance")))
 
 
 @query
 def bureau_features(spark, folder):
-    t = bindings.load(spark, folder)
-    return comparable(bureau.bureau_features(t["bureau"], t["bureau_balance"]))
+    return comparable(bureau.bureau_features(
+        bindings.bound(spark, folder, "bureau"), bindings.bound(spark, folder, "bureau_balance")))
 
 
 @query
 def previous_features(spark, folder):
-    return comparable(previous.previous_features(bindings.load(spark, folder)["previous_application"]))
+    return comparable(previous.previous_features(bindings.bound(spark, folder, "previous_application")))
 
 
 @query
 def installment_features(spark, folder):
-    return comparable(installments.installment_features(bindings.load(spark, folder)["installments_payments"]))
+    return comparable(installments.installment_features(bindings.bound(spark, folder, "installments_payments")))
 
 
 @query
 def credit_card_features(spark, folder):
-    return comparable(credit_card.credit_card_features(bindings.load(spark, folder)["credit_card_balance"]))
+    return comparable(credit_card.credit_card_features(bindings.bound(spark, folder, "credit_card_balance")))
 
 
 @query
 def pos_features(spark, folder):
-    return comparable(pos_cash.pos_features(bindings.load(spark, folder)["POS_CASH_balance"]))
+    return comparable(pos_cash.pos_features(bindings.bound(spark, folder, "POS_CASH_balance")))
 
 
 @query
 def application_features(spark, folder):
-    return comparable(application.application_features(bindings.load(spark, folder)["application"]))
+    return comparable(application.application_features(bindings.bound(spark, folder, "application")))
 
 
 @query
@@ -107,11 +108,13 @@ def _train_test_sources(spark, folder):
 
 
 def assembled(spark, folder):
-    return stage(asm.build(bindings.load(spark, folder)), "assembled")
+    """Written once for the several passes of a report. Doubles are kept at single precision:
+    ranks and distinct values then do not hang on the last bit of a sum."""
+    return stage(comparable(asm.build(bindings.load(spark, folder))), "assembled")
 
 
 def cleaned(spark, folder):
-    return stage(cleaning.clean(asm.build(bindings.load(spark, folder))), "cleaned")
+    return stage(comparable(cleaning.clean(asm.build(bindings.load(spark, folder)))), "cleaned")
 
 
 # --- scans and sinks ----------------------------------------------------------------------
@@ -129,7 +132,7 @@ def scan_normalize_missing(spark, folder):
 @query
 def csv_round_trip(spark, folder):
     """Features with infinities and gaps survive a CSV file."""
-    features = installments.installment_features(bindings.load(spark, folder)["installments_payments"])
+    features = installments.installment_features(bindings.bound(spark, folder, "installments_payments"))
     path = staged_path(spark, "features") + ".csv"
     writers.write_dataset(features, path, "csv")
     return comparable(readers.read_table(spark, path, features.schema))
@@ -147,7 +150,7 @@ def csv_sources_dataset(spark, folder):
 
 @query
 def first_rows(spark, folder):
-    return comparable(profiling.head(bindings.load(spark, folder)["application"], "SK_ID_CURR"))
+    return comparable(profiling.head(bindings.bound(spark, folder, "application"), "SK_ID_CURR"))
 
 
 # --- reports --------------------------------------------------------------------------------
@@ -179,7 +182,7 @@ def infinity_report(spark, folder):
 
 @query
 def feature_summary(spark, folder):
-    typed = bindings.load(spark, folder)["application"].selectExpr(
+    typed = bindings.bound(spark, folder, "application").selectExpr(
         "*", "CASE WHEN SK_ID_CURR % 4 > 0 THEN IF(SK_ID_CURR % 4 = 1, 'True', 'False') END AS WRITTEN_FLAG",
         "SK_ID_CURR % 2 = 0 AS REAL_FLAG")
     return comparable(profiling.feature_summary(typed))
@@ -187,22 +190,22 @@ def feature_summary(spark, folder):
 
 @query
 def label_distribution(spark, folder):
-    return comparable(profiling.label_distribution(bindings.load(spark, folder)["application"]))
+    return comparable(profiling.label_distribution(bindings.bound(spark, folder, "application")))
 
 
 @query
 def class_weights(spark, folder):
-    return comparable(preprocess.class_weights(bindings.load(spark, folder)["application"]))
+    return comparable(preprocess.class_weights(bindings.bound(spark, folder, "application")))
 
 
 @query
 def duplicate_report(spark, folder):
-    return comparable(profiling.duplicate_report(bindings.load(spark, folder)["bureau_balance"]))
+    return comparable(profiling.duplicate_report(bindings.bound(spark, folder, "bureau_balance")))
 
 
 @query
 def drop_duplicates(spark, folder):
-    return comparable(profiling.drop_duplicates(bindings.load(spark, folder)["bureau_balance"]))
+    return comparable(profiling.drop_duplicates(bindings.bound(spark, folder, "bureau_balance")))
 
 
 @query
@@ -218,9 +221,10 @@ def near_constant_80(spark, folder):
 @query
 def drop_near_constant(spark, folder):
     """Found on train, dropped from train and test alike."""
-    built = stage(asm.build(_train_test_sources(spark, folder)), "built")
+    built = stage(comparable(asm.build(_train_test_sources(spark, folder))), "built")
     train = built.where("dataset = 'train'").drop("dataset")
-    return comparable(built.drop(*profiling.near_constant_columns(train, 0.85)))
+    kept = built.drop(*profiling.near_constant_columns(train, 0.85))
+    return comparable(profiling.column_info(kept).select("feature", "non_null"))
 
 
 @query
@@ -247,7 +251,7 @@ def columns_to_clip(spark, folder):
 @query
 def clip_to_iqr(spark, folder):
     """Bounds of the train rows applied to train and test."""
-    built = stage(cleaning.clean(asm.build(_train_test_sources(spark, folder))), "built")
+    built = stage(comparable(cleaning.clean(asm.build(_train_test_sources(spark, folder)))), "built")
     train = built.where("dataset = 'train'").drop("dataset")
     chosen = profiling.columns_to_clip(train)
     return comparable(profiling.clip_to_bounds(built, profiling.fit_iqr_bounds(train, chosen), chosen))
@@ -304,20 +308,20 @@ def split_rows(spark, folder):
 
 @query
 def stratified_split(spark, folder):
-    rows = splitting.stratified_split(bindings.load(spark, folder)["application"])
+    rows = splitting.stratified_split(bindings.bound(spark, folder, "application"))
     return comparable(rows.select("SK_ID_CURR", LABEL, "split"))
 
 
 @query
 def stratified_split_sizes(spark, folder):
-    rows = splitting.stratified_split(bindings.load(spark, folder)["application"])
+    rows = splitting.stratified_split(bindings.bound(spark, folder, "application"))
     return comparable(rows.groupBy(LABEL, "split").agg(F.count("*").alias("n")))
 
 
 @query
 def split_round_trip(spark, folder):
     path = staged_path(spark, "split")
-    rows = splitting.stratified_split(bindings.load(spark, folder)["application"])
+    rows = splitting.stratified_split(bindings.bound(spark, folder, "application"))
     writers.write_split(rows, path)
     return comparable(writers.read_split(spark, path, "val", schema=rows.schema).drop("split"))
 
@@ -352,7 +356,7 @@ def robust_scale(spark, folder):
 
 
 def _filled_texts(spark, folder):
-    rows = splitting.stratified_split(bindings.load(spark, folder)["application"])
+    rows = splitting.stratified_split(bindings.bound(spark, folder, "application"))
     train = rows.where("split = 'train'")
     texts = string_columns(rows, exclude=("split",))
     filled = preprocess.impute_mode(rows, preprocess.fit_modes(train, texts))
@@ -434,7 +438,7 @@ def top2_models(spark, folder):
 
 @query
 def pad_missing_columns(spark, folder):
-    batch = bindings.load(spark, folder)["application"].drop(LABEL, "AMT_CREDIT")
+    batch = bindings.bound(spark, folder, "application").drop(LABEL, "AMT_CREDIT")
     return comparable(scoring.pad_columns(batch, schemas.APPLICATION_TEST))
 
 

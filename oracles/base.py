@@ -266,6 +266,11 @@ def _cleaned(kind, name):
 
 FEATURES["cleaned"] = "SELECT " + ", ".join(_cleaned(k, n) for k, n, *_ in ASSEMBLED) + " FROM assembled"
 
+# what the reports and the preprocessing read: doubles kept at single precision, so that
+# ties in ranks and counts do not hang on the last bit of a sum
+FEATURES["stored_raw"] = select_shown(ASSEMBLED, "assembled")
+FEATURES["stored"] = select_shown(ASSEMBLED, "cleaned")
+
 
 def with_tables(body: str, **extra: str) -> str:
     """Prefix ``body`` with the bound and feature tables it (transitively) names."""

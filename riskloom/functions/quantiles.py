@@ -13,14 +13,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sqltext import number, quoted, text
+
 INF = float("inf")
 Result = dict[tuple[object, str], list[float | None]]
 
 
 def unpivoted(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., feature, value) with one row per cell; values as doubles, NULL kept."""
-    values = [F.col(f"`{c}`").cast("double").alias(c) for c in columns]
-    return df.select(*keep, *values).unpivot(list(keep), list(columns), "feature", "value")
+    kept, names = [quoted(k) for k in keep], ", ".join(text(c) for c in columns)
+    cells = ", ".join(f"CAST({quoted(c)} AS DOUBLE)" for c in columns)
+    listed = df.selectExpr(*kept, f"posexplode(array({cells})) AS (place, value)")
+    return listed.selectExpr(*kept, f"get(array({names}), place) AS feature", "value")
 
 
 def interpolate(low: float, high: float, t: float) -> float | None:
@@ -43,8 +47,10 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
         return {}
     source = df.where(F.col(by).isNotNull()) if by else df
     group = [by] if by else []
-    counted = source.groupBy(*group).agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)])
-    sizes = {(r[by] if by else None, c): r[f"n{i}"] for r in counted.collect() for i, c in enumerate(columns)}
+    counted = unpivoted(source, columns, group).groupBy(*group, "feature").agg(F.count("value").alias("n"))
+    sizes = {(r[by] if by else None, r["feature"]): r["n"] for r in counted.collect()}
+    if not by:
+        sizes = {(None, c): sizes.get((None, c), 0) for c in columns}
 
     ranks = {key: [(n - 1) * p for p in probs] for key, n in sizes.items() if n}
     wanted = {(key, k) for key, positions in ranks.items() for x in positions
@@ -79,8 +85,8 @@ def _brackets(source, by, columns, sizes, wanted, accuracy, exact_rows, slack):
     cuts = {c: sorted({e for (_, cc), ks in edges.items() if cc == c for pair in ks.values() for e in pair})
             for c in sketched}
     rows = source.groupBy(*([by] if by else [])).agg(*[
-        F.percentile_approx(F.col(f"`{c}`").cast("double"), cuts[c], accuracy).alias(f"q{i}")
-        for i, c in enumerate(sketched)]).collect()
+        F.expr(f"percentile_approx(CAST({quoted(c)} AS DOUBLE), array({', '.join(map(number, cuts[c]))}), "
+               f"{accuracy}) AS q{i}") for i, c in enumerate(sketched)]).collect()
     for row in rows:
         for i, c in enumerate(sketched):
             key = (row[by] if by else None, c)

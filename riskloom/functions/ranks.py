@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import INF, unpivoted
+from .sqltext import as_double, number, quoted, text
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4096
@@ -28,8 +29,10 @@ def cut_points(df: DataFrame, columns: Sequence[str], rows_per_range: int = ROWS
     if parts <= 1:
         return {}
     fractions = [i / parts for i in range(1, parts)]
-    row = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), fractions, max(10_000, 10 * parts))
-                   .alias(f"q{i}") for i, c in enumerate(columns)]).first()
+    at = ", ".join(map(number, fractions))
+    row = df.selectExpr(*[
+        f"percentile_approx(CAST({quoted(c)} AS DOUBLE), array({at}), {max(10_000, 10 * parts)}) AS q{i}"
+        for i, c in enumerate(columns)]).first()
     return {c: sorted({x for x in row[f"q{i}"] or [] if abs(x) != INF}) for i, c in enumerate(columns)}
 
 
@@ -39,14 +42,13 @@ def range_cells(df: DataFrame, columns: Sequence[str], keep: Sequence[str], cuts
     if not any(cuts.get(c) for c in columns):
         cells = unpivoted(df, columns, keep).withColumn("range", F.lit(0.0))
         return cells.where(F.col("value").isNotNull())
-    values = df.select(*keep, *[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    kept = [quoted(k) for k in keep]
+    values = df.selectExpr(*kept, *[as_double(c, f"v{i}") for i, c in enumerate(columns)])
     cutter = Bucketizer(
         splitsArray=[[-INF, *(cuts.get(c) or [0.0]), INF] for c in columns], handleInvalid="keep",
         inputCols=[f"v{i}" for i in range(len(columns))], outputCols=[f"r{i}" for i in range(len(columns))])
-    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("range"),
-                               F.col(f"v{i}").alias("value")) for i, c in enumerate(columns)])
-    exploded = cutter.transform(values).select(*keep, F.explode(cells).alias("cell")).select(*keep, "cell.*")
-    return exploded.where(F.col("value").isNotNull())
+    cells = ", ".join(f"struct({text(c)} AS feature, r{i} AS range, v{i} AS value)" for i, c in enumerate(columns))
+    return cutter.transform(values).selectExpr(*kept, f"inline(array({cells}))").where("value IS NOT NULL")
 
 
 def running_before(counts: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:

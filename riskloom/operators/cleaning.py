@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.scalar import finite_or_null, null_if
 from ..functions.selectors import float_columns
+from ..functions.sqltext import finite, quoted
 
 EMPLOYED_SENTINEL = 365243
 
@@ -16,16 +15,16 @@ def clean(df: DataFrame) -> DataFrame:
     floats = set(float_columns(df))
 
     def cleaned(name):
-        c = F.col(f"`{name}`")
+        c = quoted(name)
         if name == "DAYS_EMPLOYED":
-            c = null_if(c, EMPLOYED_SENTINEL)
+            c = f"nullif({c}, {EMPLOYED_SENTINEL})"
         if name in floats:
-            c = finite_or_null(c)
-        return c.alias(name)
+            c = finite(c)
+        return f"{c} AS {quoted(name)}"
 
-    return df.select([cleaned(c) for c in df.columns])
+    return df.selectExpr(*[cleaned(c) for c in df.columns])
 
 
 def infinities_to_null(df: DataFrame) -> DataFrame:
     floats = set(float_columns(df))
-    return df.select([finite_or_null(c).alias(c) if c in floats else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"{finite(quoted(c))} AS {quoted(c)}" if c in floats else quoted(c) for c in df.columns])

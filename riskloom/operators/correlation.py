@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.quantiles import unpivoted
 from ..functions.ranks import ROWS_PER_RANGE, average_rank, cut_points, range_cells, running_before
 from ..functions.selectors import ID, LABEL, numeric_columns
+from ..functions.sqltext import as_double, quoted, text
 from ..session import stage
 
 # A value is looked up through a broadcast table when it holds at least 1/FREQUENT of a
@@ -49,12 +50,12 @@ def top_correlated(correlations: DataFrame, k: int = 30) -> DataFrame:
 
 def _mask_classes(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     """Columns that are NULL in exactly the same rows share a class; eager, tiny results."""
-    nulls = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    nulls = df.selectExpr(*[f"count_if({quoted(c)} IS NULL) AS n{i}" for i, c in enumerate(columns)]).first()
     pairs = [(i, j) for i, j in combinations(range(len(columns)), 2) if nulls[i] == nulls[j]]
-    unlike = df.agg(F.count("*"), *[
-        F.count_if(F.col(f"`{columns[i]}`").isNull() != F.col(f"`{columns[j]}`").isNull())
-        for i, j in pairs if nulls[i]]).first()
-    differ = dict(zip([p for p in pairs if nulls[p[0]]], unlike[1:]))
+    pairs = [(i, j) for i, j in pairs if nulls[i]]
+    unlike = df.selectExpr("count(*)", *[
+        f"count_if(({quoted(columns[i])} IS NULL) <> ({quoted(columns[j])} IS NULL))" for i, j in pairs]).first()
+    differ = dict(zip(pairs, unlike[1:]))
     classes: dict[str, int] = {}
     for j, c in enumerate(columns):
         alike = [i for i in range(j) if nulls[i] == nulls[j] and not differ.get((i, j), 0)]
@@ -74,12 +75,12 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = ID,
     columns = list(columns)
     classes = _mask_classes(df, columns)
     members = {m: next(c for c in columns if classes[c] == m) for m in sorted(set(classes.values()))}
-    masks = [F.col(f"`{c}`").isNotNull().cast("int").alias(f"m{m}") for m, c in members.items()]
+    masks = [f"CAST({quoted(c)} IS NOT NULL AS INT) AS m{m}" for m, c in members.items()]
     sizes = [f"m{m}" for m in members]
 
-    rows = df.select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    rows = df.selectExpr(quoted(key), *[as_double(c) for c in columns])
     cuts = cut_points(rows, columns, rows_per_range)
-    cells = range_cells(rows.select("*", *masks), columns, sizes, cuts)
+    cells = range_cells(rows.selectExpr("*", *masks), columns, sizes, cuts)
     counts = cells.groupBy("feature", "range", "value").agg(
         F.count("*").alias("n"), *[F.sum(s).alias(s) for s in sizes])
     # written once: it is read for the frequent and for the rare values
@@ -98,14 +99,15 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = ID,
     # at most one entry per column and row
     by_row = ranked.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("feature", "ranks"))).alias("ranks")
-    ).select(F.array(*[F.try_element_at("ranks", F.lit(c)) for c in columns]).alias("ranks"))
+    ).selectExpr(f"array({', '.join(f'try_element_at(ranks, {text(c)})' for c in columns)}) AS ranks")
 
-    def rank(i, other):
-        return F.get(F.get("ranks", F.lit(i)), F.lit(classes[other]))
     pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
-    listed = F.array(*[F.struct(F.lit(p).alias("pair"), rank(i, columns[j]).alias("x"), rank(j, columns[i]).alias("y"))
-                       for p, (i, j) in enumerate(pairs)])
-    sums = (by_row.select(F.explode(listed).alias("p")).select("p.*").where("x IS NOT NULL AND y IS NOT NULL")
+    # a constant list, folded into one literal; the same few lines of code serve every pair
+    plan = ", ".join(f"struct({p} AS pair, {i} AS i, {j} AS j, {classes[columns[j]]} AS i_within, "
+                     f"{classes[columns[i]]} AS j_within)" for p, (i, j) in enumerate(pairs))
+    sums = (by_row.selectExpr("ranks", f"inline(array({plan}))")
+            .selectExpr("pair", "get(get(ranks, i), i_within) AS x", "get(get(ranks, j), j_within) AS y")
+            .where("x IS NOT NULL AND y IS NOT NULL")
             .groupBy("pair").agg(F.covar_pop("x", "y").alias("c"), F.var_pop("x").alias("vx"),
                                  F.var_pop("y").alias("vy")))
     names = df.sparkSession.createDataFrame([(p, columns[i], columns[j]) for p, (i, j) in enumerate(pairs)],

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.quantiles import quantiles
 from ..functions.selectors import ID, LABEL, numeric_columns, string_columns
+from ..functions.sqltext import number, quoted, text
 from ..session import stage
 from .split import split_hash
 
@@ -29,9 +30,8 @@ def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None
 
 
 def _text_cells(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    cells = df.select(*keep, *[F.col(f"`{c}`") for c in columns]).unpivot(
-        list(keep), list(columns), "feature", "value")
-    return cells.where(F.col("value").isNotNull())
+    pairs = ", ".join(f"struct({text(c)} AS feature, {quoted(c)} AS value)" for c in columns)
+    return df.selectExpr(*map(quoted, keep), f"inline(array({pairs}))").where("value IS NOT NULL")
 
 
 def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
@@ -73,39 +73,41 @@ def fit_vocabularies(df: DataFrame, columns: Sequence[str], limit: int = MAX_CAT
 
 # --- applying -------------------------------------------------------------------------------
 
-def replace_columns(df: DataFrame, new: dict[str, Column], drop: Sequence[str] = ()) -> DataFrame:
-    """One select instead of a chain of withColumn."""
-    return df.select([new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns if c not in set(drop)])
+def replace_columns(df: DataFrame, new: dict[str, str], drop: Sequence[str] = ()) -> DataFrame:
+    """One projection with some columns given by SQL text, instead of a chain of withColumn."""
+    dropped = set(drop)
+    return df.selectExpr(*[f"{new[c]} AS {quoted(c)}" if c in new else quoted(c)
+                           for c in df.columns if c not in dropped])
 
 
 def impute_median(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
     """Fill numeric gaps; columns without any train value are dropped."""
-    fills = {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(m)) for c, m in medians.items() if m is not None}
+    fills = {c: f"coalesce(CAST({quoted(c)} AS DOUBLE), {number(m)})" for c, m in medians.items() if m is not None}
     return replace_columns(df, fills, [c for c, m in medians.items() if m is None])
 
 
 def impute_mode(df: DataFrame, modes: dict[str, str | None]) -> DataFrame:
-    fills = {c: F.coalesce(F.col(f"`{c}`"), F.lit(m)) for c, m in modes.items() if m is not None}
+    fills = {c: f"coalesce({quoted(c)}, {text(m)})" for c, m in modes.items() if m is not None}
     return replace_columns(df, fills, [c for c, m in modes.items() if m is None])
 
 
 def robust_scale(df: DataFrame, scales: dict[str, tuple[float, float]]) -> DataFrame:
-    return replace_columns(df, {c: (F.col(f"`{c}`") - F.lit(m)) / F.lit(g) for c, (m, g) in scales.items()})
+    return replace_columns(df, {c: f"({quoted(c)} - {number(m)}) / {number(g)}" for c, (m, g) in scales.items()})
 
 
 def one_hot(df: DataFrame, vocabularies: dict[str, list[str]], drop_first: bool = False) -> DataFrame:
     """Replace each text column by one 0/1 column per category; an unknown text gives all 0."""
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in vocabularies]
-    flags = [F.coalesce((F.col(f"`{c}`") == v).cast("int"), F.lit(0)).alias(f"{c}_{v}")
+    kept = [quoted(c) for c in df.columns if c not in vocabularies]
+    flags = [f"coalesce(CAST({quoted(c)} = {text(v)} AS INT), 0) AS {quoted(f'{c}_{v}')}"
              for c, values in vocabularies.items() for v in values[1 if drop_first else 0:]]
-    return df.select(*kept, *flags)
+    return df.selectExpr(*kept, *flags)
 
 
 def category_codes(df: DataFrame, vocabularies: dict[str, list[str]]) -> DataFrame:
     """Replace texts by their place in the train vocabulary; an unseen text becomes NULL."""
     def code(c, values):
-        place = F.array_position(F.array(*[F.lit(v) for v in values]).cast("array<string>"), F.col(f"`{c}`"))
-        return F.when(place > 0, (place - 1).cast("int"))
+        listed = f"CAST(array({', '.join(map(text, values))}) AS array<string>)"
+        return f"CAST(nullif(array_position({listed}, {quoted(c)}), 0) - 1 AS INT)"
     return replace_columns(df, {c: code(c, v) for c, v in vocabularies.items()})
 
 
@@ -137,12 +139,11 @@ def target_encode(df: DataFrame, means: DataFrame, columns: Sequence[str], prior
         by_fold = F.map_from_entries(F.collect_list(F.struct("fold", F.struct("total", "n"))))   # <= folds entries
         stats = means.where(F.col("feature") == c).groupBy(F.col("value").alias(c)).agg(
             F.sum("total").alias("_total"), F.sum("n").alias("_n"), by_fold.alias("_folds"))
-        own = F.try_element_at("_folds", F.col("_fold"))
-        total = F.col("_total") - F.coalesce(own["total"], F.lit(0))
-        n = F.col("_n") - F.coalesce(own["n"], F.lit(0))
-        mean = F.try_divide(total + F.lit(smoothing * prior), n + F.lit(smoothing))
+        own = "try_element_at(_folds, _fold)"
+        mean = (f"try_divide(_total - coalesce({own}.total, 0) + {number(smoothing * prior)}, "
+                f"_n - coalesce({own}.n, 0) + {number(smoothing)})")
         joined = encoded.join(F.broadcast(stats) if small else stage(stats, "target-means"), c, "left")
-        encoded = replace_columns(joined, {c: F.coalesce(mean, F.lit(prior))}, ["_total", "_n", "_folds"])
+        encoded = replace_columns(joined, {c: f"coalesce({mean}, {number(prior)})"}, ["_total", "_n", "_folds"])
     return encoded.drop("_fold")
 
 

@@ -6,28 +6,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.quantiles import quantiles, unpivoted
-from ..functions.scalar import INF, clip, nan_to_null, sample_skewness
+from ..functions.scalar import nan_to_null, sample_skewness
 from ..functions.selectors import (
     ID, LABEL, boolean_columns, day_columns, float_columns, month_columns, numeric_columns, string_columns, without)
+from ..functions.sqltext import INFINITE, number, quoted, text
 
 FENCE = 1.5
 
 
-def _per_column(df: DataFrame, columns: Sequence[str], measure, name: str) -> DataFrame:
+def _per_column(df: DataFrame, columns: Sequence[str], measure: str, name: str) -> DataFrame:
     """(feature, <name>, row_count): one measure of each column, from a single scan."""
     columns = list(columns)
-    wide = df.agg(F.count("*").alias("__rows"), *[measure(F.col(f"`{c}`")).alias(c) for c in columns])
-    return (wide.unpivot(["__rows"], columns, "feature", name)
-            .select("feature", name, F.col("__rows").alias("row_count")))
+    wide = df.selectExpr("count(*) AS row_count", *[
+        f"{measure.format(quoted(c))} AS {quoted(c)}" for c in columns])
+    return _long(wide, columns, name)
+
+
+def _long(wide: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """One row of (row_count, measures...) -> (feature, <name>, row_count)."""
+    pairs = ", ".join(f"struct({text(c)} AS feature, {quoted(c)} AS {name})" for c in columns)
+    return wide.selectExpr(f"inline(array({pairs}))", "row_count").select("feature", name, "row_count")
 
 
 # --- tables -------------------------------------------------------------------------------
 
 def table_info(df: DataFrame) -> DataFrame:
     """One row: rows, features (columns besides the key) and missing cells."""
-    cells = _per_column(df, df.columns, lambda c: F.count_if(c.isNull()), "missing")
+    cells = _per_column(df, df.columns, "count_if({} IS NULL)", "missing")
     return cells.agg(F.max("row_count").alias("row_count"), F.lit(len(df.columns) - 1).alias("feature_count"),
                      F.sum("missing").alias("missing_cells"))
 
@@ -37,13 +45,13 @@ def column_info(df: DataFrame) -> DataFrame:
     described = df.sparkSession.createDataFrame(
         [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
         "ordinal int, feature string, dtype string")
-    present = _per_column(df, df.columns, F.count, "non_null")
+    present = _per_column(df, df.columns, "count({})", "non_null")
     return described.join(F.broadcast(present), "feature").select("ordinal", "feature", "dtype", "non_null")
 
 
 def missing_report(df: DataFrame) -> DataFrame:
     """(feature, missing, missing_pct) of the columns that miss something, most first."""
-    cells = _per_column(df, df.columns, lambda c: F.count_if(c.isNull()), "missing")
+    cells = _per_column(df, df.columns, "count_if({} IS NULL)", "missing")
     return (cells.where("missing > 0")
             .select("feature", "missing", (F.col("missing") / F.col("row_count") * 100).alias("missing_pct"))
             .orderBy(F.desc("missing"), "feature"))
@@ -54,7 +62,7 @@ def infinity_report(df: DataFrame) -> DataFrame:
     floats = float_columns(df)
     if not floats:
         return df.sparkSession.createDataFrame([], "feature string, infinities long")
-    cells = _per_column(df, floats, lambda c: F.count_if(F.abs(c) == INF), "infinities")
+    cells = _per_column(df, floats, "count_if(abs({}) = " + INFINITE + ")", "infinities")
     return cells.where("infinities > 0").select("feature", "infinities")
 
 
@@ -66,7 +74,7 @@ def feature_summary(df: DataFrame) -> DataFrame:
     texts = string_columns(df)
     fixed = (F.lit(len(numeric_columns(df))).alias("numeric_columns"),
              F.lit(len(boolean_columns(df))).alias("boolean_columns"))
-    truths = [F.coalesce(F.bool_and(F.col(f"`{c}`").isin("True", "False")), F.lit(True)).cast("int") for c in texts]
+    truths = [F.expr(f"CAST(coalesce(bool_and({quoted(c)} IN ('True', 'False')), true) AS INT)") for c in texts]
     written = sum(truths[1:], truths[0]) if truths else F.lit(0)
     return df.agg((F.lit(len(texts)) - written).alias("categorical_columns"),
                   F.first(fixed[0]).alias("numeric_columns"), F.first(fixed[1]).alias("boolean_columns"))
@@ -94,6 +102,14 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def _literal(value, kind: T.DataType) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return number(value)
+    return text(value) if isinstance(kind, T.StringType) else str(value)
+
+
 def near_constant(df: DataFrame, share: float = 0.995) -> DataFrame:
     """(feature, top_share) of the columns where one value, NULL included, has that share.
 
@@ -104,17 +120,19 @@ def near_constant(df: DataFrame, share: float = 0.995) -> DataFrame:
     if share < 0.6:
         raise ValueError("a value below 60 % of the rows need not hold the median")
     columns = df.columns
-    hashed = {c: F.xxhash64(f"`{c}`") for c in columns}
+    hashed = {c: f"xxhash64({quoted(c)})" for c in columns}
     # any rank within 5 % of the middle will do
-    middle = df.agg(*[F.percentile_approx(hashed[c], 0.5, 100).alias(f"h{i}") for i, c in enumerate(columns)]).first()
-    named = df.agg(*[
-        F.max(F.when(hashed[c] == F.lit(middle[i]), F.col(f"`{c}`"))).alias(f"v{i}")
-        for i, c in enumerate(columns)]).first() if middle[0] is not None else middle
-    wide = df.agg(F.count("*").alias("__rows"), *[
-        F.count_if(F.col(f"`{c}`").eqNullSafe(F.lit(named[i]).cast(df.schema[c].dataType))).alias(c)
-        for i, c in enumerate(columns)])
-    top = wide.unpivot(["__rows"], columns, "feature", "top")
-    return (top.select("feature", F.try_divide(F.col("top"), F.col("__rows")).alias("top_share"))
+    middle = df.selectExpr(*[f"percentile_approx({hashed[c]}, 0.5, 100) AS h{i}" for i, c in enumerate(columns)]).first()
+    if middle[0] is None:
+        return df.sparkSession.createDataFrame([], "feature string, top_share double")
+    named = df.selectExpr(*[
+        f"max(CASE WHEN {hashed[c]} = {middle[i]}L THEN {quoted(c)} END) AS v{i}" for i, c in enumerate(columns)]).first()
+    values = dict(zip(columns, named))
+
+    wide = df.selectExpr("count(*) AS row_count", *[
+        f"count_if({quoted(f.name)} <=> {_literal(values[f.name], f.dataType)}) AS {quoted(f.name)}"
+        for f in df.schema.fields])
+    return (_long(wide, columns, "top").selectExpr("feature", "top / row_count AS top_share")
             .where(F.col("top_share") >= share))
 
 
@@ -178,7 +196,7 @@ def iqr_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, distinct_values) of numeric columns: exact, NULL not counted."""
-    values = unpivoted(df, columns).where(F.col("value").isNotNull()).groupBy("feature", "value").agg()
+    values = unpivoted(df, columns).where(F.col("value").isNotNull()).distinct()
     return values.groupBy("feature").agg(F.count("*").alias("distinct_values"))
 
 
@@ -236,11 +254,12 @@ def box_stats(df: DataFrame, columns: Sequence[str], label: str = LABEL) -> Data
 def binary_columns(df: DataFrame) -> list[str]:
     """Columns of any type with at most two distinct values: those all equal to their min or max."""
     names = df.columns
-    ends = df.agg(*[f(F.col(f"`{c}`")).alias(f"{f.__name__}{i}") for i, c in enumerate(names)
-                    for f in (F.min, F.max)]).first()
-    between = df.agg(*[
-        F.count_if(~F.col(f"`{c}`").isin(ends[f"min{i}"], ends[f"max{i}"])).alias(f"b{i}")
-        if ends[f"min{i}"] is not None else F.lit(0).alias(f"b{i}") for i, c in enumerate(names)]).first()
+    ends = df.selectExpr(*[f"{f}({quoted(c)}) AS {f}{i}" for i, c in enumerate(names) for f in ("min", "max")]).first()
+
+    def inner(i, f):
+        low, high = (_literal(ends[f"{m}{i}"], f.dataType) for m in ("min", "max"))
+        return f"count_if({quoted(f.name)} NOT IN ({low}, {high})) AS b{i}"
+    between = df.selectExpr(*[inner(i, f) for i, f in enumerate(df.schema.fields)]).first()
     return [c for i, c in enumerate(names) if not between[f"b{i}"]]
 
 
@@ -254,6 +273,8 @@ def columns_to_clip(train: DataFrame, key: str = ID, label: str = LABEL) -> list
 def clip_to_bounds(df: DataFrame, bounds: dict[str, tuple], columns: Sequence[str]) -> DataFrame:
     """Clamp the columns to train bounds; columns absent from ``df`` are skipped."""
     chosen = set(columns)
-    return df.select([
-        clip(F.col(f"`{c}`").cast("double"), bounds[c][2], bounds[c][3]).alias(c) if c in chosen else F.col(f"`{c}`")
-        for c in df.columns])
+
+    def clamped(c):
+        v, (low, high) = f"CAST({quoted(c)} AS DOUBLE)", map(number, bounds[c][2:4])
+        return f"CASE WHEN {quoted(c)} IS NOT NULL THEN greatest(least({v}, {high}), {low}) END AS {quoted(c)}"
+    return df.selectExpr(*[clamped(c) if c in chosen else quoted(c) for c in df.columns])

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.sqltext import quoted
+
 THRESHOLD = 0.48
 # Our choice: the original cut-offs are not published. (upper end, name), the last has none.
 BANDS = ((0.25, "Low"), (0.50, "Medium"), (0.75, "High"), (None, "Very high"))
@@ -14,8 +16,8 @@ BANDS = ((0.25, "Low"), (0.50, "Medium"), (0.75, "High"), (None, "Very high"))
 def pad_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns in its order and types; absent ones NULL, others dropped."""
     present = set(df.columns)
-    return df.select([
-        (F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+    return df.selectExpr(*[
+        f"CAST({quoted(f.name) if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
         for f in schema.fields])
 
 

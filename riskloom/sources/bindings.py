@@ -127,16 +127,24 @@ def pos_cash_balance(events: DataFrame) -> DataFrame:
         "WHEN 'purchase' THEN 'Demand' ELSE 'Canceled' END AS NAME_CONTRACT_STATUS")
 
 
+# raw source -> (projection, tables it reads); ``application`` carries the label
+BINDINGS = {
+    "application": (application, "customer"),
+    "bureau": (bureau, "orders"),
+    "bureau_balance": (bureau_balance, "lineitem"),
+    "previous_application": (previous_application, "orders"),
+    "installments_payments": (installments_payments, "lineitem", "orders"),
+    "credit_card_balance": (credit_card_balance, "events"),
+    "POS_CASH_balance": (pos_cash_balance, "events"),
+}
+
+
+def bound(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    project, *tables = BINDINGS[name]
+    return project(*[table(spark, folder, t) for t in tables])
+
+
 def load(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All bound tables by the raw sources' names; ``application`` carries the label."""
-    def t(name):
-        return table(spark, folder, name)
-    return {
-        "application": application(t("customer")),
-        "bureau": bureau(t("orders")),
-        "bureau_balance": bureau_balance(t("lineitem")),
-        "previous_application": previous_application(t("orders")),
-        "installments_payments": installments_payments(t("lineitem"), t("orders")),
-        "credit_card_balance": credit_card_balance(t("events")),
-        "POS_CASH_balance": pos_cash_balance(t("events")),
-    }
+    """All bound tables by the raw sources' names; each file is opened once."""
+    opened = {t: table(spark, folder, t) for t in dict.fromkeys(t for _, *ts in BINDINGS.values() for t in ts)}
+    return {name: project(*[opened[t] for t in tables]) for name, (project, *tables) in BINDINGS.items()}

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import nan_to_null
 from ..functions.selectors import float_columns, string_columns
+from ..functions.sqltext import quoted, text
 from .schemas import SOURCES
 
 # The texts a CSV field may hold for "missing"; XNA and XAP are values.
@@ -19,13 +19,15 @@ def normalize_missing(df: DataFrame, tokens=MISSING_TOKENS) -> DataFrame:
     """Missing-value texts and NaN become NULL; one projection, no shuffle."""
     texts, floats = set(string_columns(df)), set(float_columns(df))
 
+    listed = ", ".join(map(text, tokens))
+
     def clean(name):
-        c = F.col(f"`{name}`")
+        c = quoted(name)
         if name in texts:
-            return F.when(~c.isin(*tokens), c).alias(name)
-        return nan_to_null(c).alias(name) if name in floats else c
+            return f"CASE WHEN {c} NOT IN ({listed}) THEN {c} END AS {c}"
+        return f"nanvl({c}, NULL) AS {c}" if name in floats else c
 
-    return df.select([clean(c) for c in df.columns])
+    return df.selectExpr(*[clean(c) for c in df.columns])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
