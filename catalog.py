@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 from riskloom.functions.selectors import LABEL, numeric_columns, string_columns
 from riskloom.functions.sqltext import quoted
 from riskloom.operators import (
-    application, bureau, checks, cleaning, correlation, credit_card, installments, metrics, pos_cash, preprocess,
-    previous, profiling, scoring)
+    application, bureau, checks, cleaning, correlation, credit_card, installments, metrics, models, pos_cash,
+    preprocess, previous, profiling, scoring, search)
 from riskloom.operators import assemble as asm
 from riskloom.operators import split as splitting
-from riskloom.session import shared_dir, stage, staged_path
+from riskloom.session import stage, staged_path
 from riskloom.sources import bindings, readers, schemas, writers
 
 QUERIES = {}
@@ -254,7 +254,9 @@ def clip_to_iqr(spark, folder):
     built = stage(comparable(cleaning.clean(asm.build(_train_test_sources(spark, folder)))), "built")
     train = built.where("dataset = 'train'").drop("dataset")
     chosen = profiling.columns_to_clip(train)
-    return comparable(profiling.clip_to_bounds(built, profiling.fit_iqr_bounds(train, chosen), chosen))
+    clipped = profiling.clip_to_bounds(built, profiling.fit_iqr_bounds(train, chosen), chosen)
+    doubles = {c: f"CAST({c} AS DOUBLE)" for c in numeric_columns(clipped, exclude=(LABEL, "SK_ID_CURR"))}
+    return comparable(preprocess.replace_columns(clipped, doubles))
 
 
 @query
@@ -445,3 +447,51 @@ def pad_missing_columns(spark, folder):
 @query
 def threshold_decision(spark, folder):
     return comparable(scoring.decisions(_scored(spark, folder)))
+
+
+@query
+def search_summary(spark, folder):
+    """Orders read as trials: priority = family, order = trial, price share = validation AUC."""
+    trials = bindings.table(spark, folder, "orders").selectExpr(
+        "o_orderpriority AS family", "CAST(o_orderkey AS INT) AS trial",
+        "concat('{\"status\": \"', o_orderstatus, '\"}') AS params", "round(o_totalprice / 500000D, 2) AS val_roc_auc")
+    return comparable(search.search_summary(trials))
+
+
+# --- models: fitted on the whole tables; few rounds, the default of 1000 is for real runs ----------
+
+ROUNDS = 5
+
+
+@query
+def train_baselines(spark, folder):
+    """Four families on the train split, compared on the evaluation split."""
+    scored, _ = models.train_baselines(stage(split_rows(spark, folder), "split"), ROUNDS, patience=3)
+    return metrics.compare_models(scored)
+
+
+@query
+def random_search(spark, folder):
+    """Two families, two trials each: the baseline's parameters and one drawn set."""
+    rows = stage(split_rows(spark, folder), "split")
+    train, val = (rows.where(F.col("split") == s).drop("split") for s in ("train", "val"))
+    trials = search.search(spark, ["sgd", "catbc"],
+                           lambda key, params: models.evaluate_params(key, params, train, val, ROUNDS, 3),
+                           staged_path(spark, "trials"), n_trials=2)
+    return search.search_summary(trials)
+
+
+@query
+def final_model(spark, folder):
+    """Refit on all rows; the saved metadata row."""
+    path = staged_path(spark, "bundle")
+    models.train_final(cleaned(spark, folder), path, rounds=ROUNDS, source_data="customer")
+    return spark.read.parquet(f"{path}/metadata").drop("input_schema")
+
+
+@query
+def score_batch(spark, folder):
+    """A saved model scores every applicant, with a feature column missing from the batch."""
+    path, rows = staged_path(spark, "bundle"), cleaned(spark, folder)
+    models.train_final(rows, path, rounds=ROUNDS)
+    return models.load_bundle(spark, path).score(rows.drop(LABEL, "inst_avg_delay"))

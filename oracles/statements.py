@@ -99,12 +99,13 @@ def _defined(expr: str) -> str:
     return f"CASE WHEN NOT isnan({expr}) THEN {base.single(expr)} END"
 
 
-add("describe_numeric", f"""SELECT feature, count(value) AS n, {_defined('avg(value)')} AS mean,
+add("describe_numeric", f"""SELECT feature, n, mean, std, min, {_defined(point('v', 0.25))} AS q25,
+    {_defined(point('v', 0.5))} AS q50, {_defined(point('v', 0.75))} AS q75, max
+    FROM sorted_cells JOIN (SELECT feature, count(value) AS n, {_defined('avg(value)')} AS mean,
     CASE WHEN count(*) FILTER (WHERE isinf(value)) = 0
          THEN {base.single('stddev_samp(CASE WHEN isfinite(value) THEN value END)')} END AS std,
-    {base.single('min(value)')} AS min, {_defined(point('any_value(v)', 0.25))} AS q25,
-    {_defined(point('any_value(v)', 0.5))} AS q50, {_defined(point('any_value(v)', 0.75))} AS q75,
-    {base.single('max(value)')} AS max FROM raw_cells JOIN sorted_cells USING (feature) GROUP BY feature""", **RAW)
+    {base.single('min(value)')} AS min, {base.single('max(value)')} AS max
+    FROM raw_cells GROUP BY feature) m USING (feature)""", **RAW)
 add("infinity_report", """SELECT feature, count(*) FILTER (WHERE isinf(value)) AS infinities FROM raw_cells
     GROUP BY feature HAVING infinities > 0""", **RAW)
 add("feature_summary", """SELECT CAST(10 AS BIGINT) AS numeric_columns, CAST(1 AS BIGINT) AS boolean_columns,
@@ -165,11 +166,12 @@ _CLIPPABLE = [(k, n) for k, n, *_ in base.ASSEMBLED if k != "s" and n not in ("S
 
 def _clipped(kind, name):
     if (kind, name) not in _CLIPPABLE:
-        return base.shown(kind, name)
-    bound = f"(SELECT {{}} FROM train_bounds JOIN clippable USING (feature) WHERE feature = '{name}')"
+        return base.shown(kind if kind == "s" or name in ("SK_ID_CURR", "TARGET") else "d", name)
     value = f'CAST("{name}" AS DOUBLE)'
-    return (f'{base.single(f"""CASE WHEN {value} IS NOT NULL THEN greatest(least({value}, {bound.format("max(upper_bound)")}), '
-            f'{bound.format("max(lower_bound)")}) END""")} AS "{name}"')
+    low, high = (f"(SELECT {f}_bound FROM train_bounds JOIN clippable USING (feature) WHERE feature = '{name}')"
+                 for f in ("lower", "upper"))
+    clamped = f"CASE WHEN {value} IS NOT NULL THEN greatest(least({value}, {high}), {low}) END"
+    return f'{base.single(clamped)} AS "{name}"'
 
 
 add("clip_to_iqr", "SELECT " + ", ".join(_clipped(k, n) for k, n, *_ in base.ASSEMBLED) + ", dataset FROM both_stored",
@@ -369,3 +371,9 @@ def _padded():
 
 
 add("pad_missing_columns", f"SELECT {_padded()} FROM application")
+add("search_summary", f"""SELECT family, {base.single('auc')} AS val_roc_auc, trial, params, trials,
+    row_number() OVER (ORDER BY auc DESC, family DESC) = 1 AS winner FROM (SELECT o_orderpriority AS family, o_orderkey AS trial,
+    '{{"status": "' || o_orderstatus || '"}}' AS params, round(o_totalprice / 500000, 2) AS auc,
+    count(*) OVER (PARTITION BY o_orderpriority) AS trials,
+    row_number() OVER (PARTITION BY o_orderpriority ORDER BY round(o_totalprice / 500000, 2) DESC, o_orderkey) AS place
+    FROM orders) t WHERE place = 1""")

@@ -120,7 +120,8 @@ def near_constant(df: DataFrame, share: float = 0.995) -> DataFrame:
     if share < 0.6:
         raise ValueError("a value below 60 % of the rows need not hold the median")
     columns = df.columns
-    hashed = {c: f"xxhash64({quoted(c)})" for c in columns}
+    # 52 bits, since the sketch works on doubles
+    hashed = {c: f"shiftright(xxhash64({quoted(c)}), 12)" for c in columns}
     # any rank within 5 % of the middle will do
     middle = df.selectExpr(*[f"percentile_approx({hashed[c]}, 0.5, 100) AS h{i}" for i, c in enumerate(columns)]).first()
     if middle[0] is None:
