@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # applicants are far more than the 65,536 groups the first-level map of an aggregate holds
+    "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
     # no call-site capture per column expression; it costs milliseconds each
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
