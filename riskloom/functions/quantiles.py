@@ -40,7 +40,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
 
     ``by`` names a column with few values (a label). Up to ``exact_rows`` values per
     column and group are ordered whole; beyond, the sketch has rank error 1/accuracy and
-    the bracket is twice that. Should a bracket miss, it is widened until it holds the rank.
+    the bracket is twice that. A bracket that still holds more than ``exact_rows`` values is
+    sketched again inside itself. Should a bracket miss, it is widened until it holds the rank.
     """
     columns = list(columns)
     if not columns:
@@ -58,7 +59,10 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
     found: dict[tuple[tuple[object, str], int], float] = {}
     slack = 2
     while wanted:
-        found.update(_select(source, by, _brackets(source, by, columns, sizes, wanted, accuracy, exact_rows, slack)))
+        bands = _brackets(source, by, columns, sizes, wanted, accuracy, exact_rows, slack)
+        if max(sizes.values()) * (2 * slack + 1) / accuracy > exact_rows:
+            bands = _narrow(source, by, bands, accuracy, exact_rows, slack)
+        found.update(_select(source, by, bands))
         wanted = {w for w in wanted if w not in found}
         slack *= 100
 
@@ -98,6 +102,48 @@ def _brackets(source, by, columns, sizes, wanted, accuracy, exact_rows, slack):
     return bands
 
 
+def _narrow(source, by, bands, accuracy, exact_rows, slack, rounds=3):
+    """Sketch the values inside the wide bands, and shrink those bands around their rank."""
+    wide = {i for i, (_, _, low, high, ks) in enumerate(bands) if len(ks) == 1 and low < high}
+    for _ in range(rounds):
+        if not wide:
+            break
+
+        def measure(sql):
+            row = source.selectExpr(*[sql(i, *_band_sql(source, by, bands[i])) for i in sorted(wide)]).first()
+            return dict(zip(sorted(wide), row))
+        sizes = measure(lambda i, below, inside, value: f"struct(count_if({below}) AS below, count_if({inside}) AS size)")
+        wide = {i for i in wide if sizes[i].size > exact_rows and 0 <= bands[i][4][0] - sizes[i].below < sizes[i].size}
+
+        def cuts(i):
+            rank, size = bands[i][4][0] - sizes[i].below, sizes[i].size
+            return max(rank / size - slack / accuracy, 0.0), min((rank + 1) / size + slack / accuracy, 1.0)
+        if not wide:
+            break
+        edges = measure(lambda i, below, inside, value:
+                        f"percentile_approx(CASE WHEN {inside} THEN {value} END, "
+                        f"array({', '.join(map(number, cuts(i)))}), {accuracy})")
+        for i in list(wide):
+            group, column, low, high, ks = bands[i]
+            at_low, at_high = cuts(i)
+            shrunk = (low if at_low == 0 else edges[i][0], high if at_high == 1 else edges[i][1])
+            if shrunk == (low, high) or shrunk[0] == shrunk[1]:
+                wide.discard(i)     # ties fill the band: few distinct values are left in it
+            bands[i] = (group, column, *shrunk, ks)
+    return bands
+
+
+def _band_sql(source, by, band):
+    """Conditions "below the band" and "inside the band", and the value, as SQL text."""
+    group, column, low, high, _ = band
+    value = f"CAST({quoted(column)} AS DOUBLE)"
+    in_group = "true"
+    if by:
+        in_group = f"{quoted(by)} = {text(group) if isinstance(group, str) else group}"
+    return (f"{in_group} AND {value} < {number(low)}",
+            f"{in_group} AND {value} BETWEEN {number(low)} AND {number(high)}", value)
+
+
 def _select(source, by, bands):
     """Order statistics of the bands: {((group, column), rank): value}."""
     spark, group = source.sparkSession, [by] if by else []
