@@ -475,8 +475,7 @@ def random_search(spark, folder):
     """Two families, two trials each: the baseline's parameters and one drawn set."""
     rows = stage(split_rows(spark, folder), "split")
     train, val = (rows.where(F.col("split") == s).drop("split") for s in ("train", "val"))
-    trials = search.search(spark, ["sgd", "catbc"],
-                           lambda key, params: models.evaluate_params(key, params, train, val, ROUNDS, 3),
+    trials = search.search(spark, ["sgd", "catbc"], models.validation_objective(train, val, ROUNDS, 3),
                            staged_path(spark, "trials"), n_trials=2)
     return search.search_summary(trials)
 

@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.selectors import ID, LABEL, feature_columns
+from ..functions.selectors import ID, LABEL
 from ..functions.sqltext import number, quoted
 from ..session import stage, staged_path
 from .metrics import roc_auc
-from .preprocess import Recipe, class_counts, fit_recipe, load_recipe, save_recipe
+from .preprocess import Recipe, class_counts, fit_fills, fit_recipe, load_recipe, save_recipe
 from .scoring import BANDS, THRESHOLD, decisions, pad_columns
 
 ROUNDS, PATIENCE, SEED = 1000, 250, 42
@@ -132,46 +132,89 @@ def _assembly(recipe: Recipe, ready: DataFrame) -> PipelineModel:
     return Pipeline(stages=stages).fit(ready)
 
 
-def fit_family(key: str, train: DataFrame, val: DataFrame | None = None, params: Mapping[str, float] | None = None,
-               rounds: int = ROUNDS, patience: int = PATIENCE, label: str = LABEL, id_column: str = ID,
-               means_path: str | None = None) -> Bundle:
-    """Fit one family on ``train``. With ``val``, boosting keeps the length that does best there."""
+@dataclass
+class Prepared:
+    """One family's training input: fitted recipe and assembly, and the vectors as written tables.
+
+    Every trial of a search fits on the same tables, so preprocessing runs once per family.
+    """
+
+    key: str
+    recipe: Recipe
+    assembly: PipelineModel
+    train: DataFrame          # features, label, weight
+    val: DataFrame | None
+    max_bins: int
+    input_schema: T.StructType
+
+
+def prepare(key: str, train: DataFrame, val: DataFrame | None = None, label: str = LABEL, id_column: str = ID,
+            means_path: str | None = None, fills: tuple[dict, dict] | None = None) -> Prepared:
+    """Fit the family's recipe on ``train`` and write the feature vectors of both tables.
+
+    ``fills`` are medians and modes fitted before (they are the same for every family).
+    """
     family, spark = FAMILIES[key], train.sparkSession
-    params = {**family.params, **(params or {})}
-    recipe = fit_recipe(train, family.recipe, means_path or staged_path(spark, f"{key}-means"), label, id_column)
+    recipe = fit_recipe(train, family.recipe, means_path or staged_path(spark, f"{key}-means"), label, id_column, fills=fills)
     counts = class_counts(train, label)
     negatives, positives = counts.get(0, 0), counts.get(1, 0)
     if not negatives or not positives:
         raise ValueError("training rows hold a single class")
     rows = negatives + positives
     weights = (rows / (2 * negatives), rows / (2 * positives)) if family.balanced else (1.0, negatives / positives)
+    weight = f"CASE WHEN {quoted(label)} = 1 THEN {number(weights[1])} ELSE {number(weights[0])} END AS weight"
 
     def ready(df, is_train=None):
         return model_input(recipe, recipe.transform(df, is_train), (id_column, label))
-    prepared = ready(train, F.lit(True))
-    assembly = _assembly(recipe, prepared)
+    ready_train = ready(train, F.lit(True))
+    assembly = _assembly(recipe, ready_train)
 
     def vectors(df):
-        weight = f"CASE WHEN {quoted(label)} = 1 THEN {number(weights[1])} ELSE {number(weights[0])} END AS weight"
         ml = assembly.transform(df).selectExpr("features", f"CAST({quoted(label)} AS DOUBLE) AS label", weight)
         return stage(ml.where("label IS NOT NULL"), f"{key}-vectors")
-    train_vectors = vectors(prepared)
-    bins = max([64, *[len(v) + 1 for v in recipe.vocabularies.values()]]) if recipe.kind == "indexed" else 64
-    model = estimator(key, params, rounds, bins).fit(train_vectors)
-    if val is not None and key != "sgd":
-        keep = best_length(model.evaluateEachIteration(vectors(ready(val))), patience)
+    outside = {label, id_column, "split", "dataset"}
+    return Prepared(
+        key, recipe, assembly, vectors(ready_train), None if val is None else vectors(ready(val)),
+        max([64, *[len(v) + 1 for v in recipe.vocabularies.values()]]) if recipe.kind == "indexed" else 64,
+        T.StructType([f for f in train.schema.fields if f.name not in outside]))
+
+
+def fit_prepared(prepared: Prepared, params: Mapping[str, float] | None = None, rounds: int = ROUNDS,
+                 patience: int = PATIENCE) -> Bundle:
+    """Fit one parameter set. With validation vectors, boosting keeps the length that does best there."""
+    key = prepared.key
+    params = {**FAMILIES[key].params, **(params or {})}
+    model = estimator(key, params, rounds, prepared.max_bins).fit(prepared.train)
+    if prepared.val is not None and key != "sgd":
+        keep = best_length(model.evaluateEachIteration(prepared.val), patience)
         if keep < rounds:   # same seed, so the same first trees
-            model = estimator(key, params, keep, bins).fit(train_vectors)
-    fields = [f for f in train.schema.fields if f.name in set(feature_columns(train, label, id_column)) - {"split", "dataset"}]
-    return Bundle(key, recipe, PipelineModel(assembly.stages + [model]), params, T.StructType(fields))
+            model = estimator(key, params, keep, prepared.max_bins).fit(prepared.train)
+    return Bundle(key, prepared.recipe, PipelineModel(prepared.assembly.stages + [model]), params, prepared.input_schema)
 
 
-def evaluate_params(key: str, params: Mapping[str, float], train: DataFrame, val: DataFrame, rounds: int = ROUNDS,
-                    patience: int = PATIENCE, label: str = LABEL) -> float | None:
+def fit_family(key: str, train: DataFrame, val: DataFrame | None = None, params: Mapping[str, float] | None = None,
+               rounds: int = ROUNDS, patience: int = PATIENCE, label: str = LABEL, id_column: str = ID) -> Bundle:
+    return fit_prepared(prepare(key, train, val, label, id_column), params, rounds, patience)
+
+
+def evaluate_params(prepared: Prepared, params: Mapping[str, float], rounds: int = ROUNDS,
+                    patience: int = PATIENCE) -> float | None:
     """Validation ROC-AUC of one parameter set; the evaluation rows are never touched."""
-    bundle = fit_family(key, train, val, params, rounds, patience, label)
-    scored = stage(bundle.probabilities(val, keep=(ID, label)), f"{key}-scored")
-    return roc_auc(scored, "probability", label).first()["roc_auc"]
+    model = fit_prepared(prepared, params, rounds, patience).pipeline.stages[-1]
+    scored = model.transform(prepared.val).select("label", vector_to_array("probability")[1].alias("probability"))
+    return roc_auc(stage(scored, f"{prepared.key}-scored"), "probability", "label").first()["roc_auc"]
+
+
+def validation_objective(train: DataFrame, val: DataFrame, rounds: int = ROUNDS, patience: int = PATIENCE,
+                         label: str = LABEL):
+    """(family key, params) -> validation ROC-AUC; each family is prepared at its first trial."""
+    prepared: dict[str, Prepared] = {}
+
+    def objective(key: str, params: Mapping[str, float]) -> float | None:
+        if key not in prepared:
+            prepared[key] = prepare(key, train, val, label)
+        return evaluate_params(prepared[key], params, rounds, patience)
+    return objective
 
 
 # --- bundles --------------------------------------------------------------------------------
@@ -232,10 +275,11 @@ def train_baselines(split_rows: DataFrame, rounds: int = ROUNDS, patience: int =
     """
     spark = split_rows.sparkSession
     train, val, held = (split_rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "eval"))
-    scored, bundles = None, {}
+    scored, bundles, trained = None, {}, train.count()
+    fills = fit_fills(train, label)
     for key, family in FAMILIES.items():   # each fit spreads over the whole cluster
-        bundle = fit_family(key, train, val, None, rounds, patience, label)
-        bundle.metadata = bundle_metadata(bundle, train.count())
+        bundle = fit_prepared(prepare(key, train, val, label, fills=fills), None, rounds, patience)
+        bundle.metadata = bundle_metadata(bundle, trained)
         if folder:
             save_bundle(spark, bundle, f"{folder}/{key}")
         one = stage(bundle.probabilities(held, keep=(ID, label)), f"{key}-scored").withColumn("model", F.lit(family.name))

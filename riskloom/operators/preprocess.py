@@ -20,7 +20,7 @@ from ..session import stage
 from .split import split_hash
 
 MAX_CATEGORIES = 10_000
-SCALE_RANGE = (0.0025, 0.0075)   # the reference range, 0.25 to 0.75 percent; quartiles are (0.25, 0.75)
+SCALE_RANGE = (0.0025, 0.0075)   # as the original scales: 0.25 to 0.75 percent; quartiles are (0.25, 0.75)
 
 
 # --- fitting --------------------------------------------------------------------------------
@@ -217,14 +217,18 @@ class Recipe:
         return Recipe(**raw)
 
 
+def fit_fills(train: DataFrame, label: str = LABEL, key: str = ID) -> tuple[dict, dict]:
+    """Medians of the numeric and modes of the text features."""
+    outside = (label, key, "split", "dataset")
+    return (fit_medians(train, numeric_columns(train, outside)), fit_modes(train, string_columns(train, outside)))
+
+
 def fit_recipe(train: DataFrame, kind: str, means_path: str | None = None, label: str = LABEL, key: str = ID,
-               span=SCALE_RANGE) -> Recipe:
+               span=SCALE_RANGE, fills: tuple[dict, dict] | None = None) -> Recipe:
     """Fit one of the four recipes on the train rows; ``means_path`` is where target means go."""
     if kind not in RECIPES:
         raise ValueError(f"unknown recipe {kind}")
-    outside = (label, key, "split", "dataset")
-    numeric, texts = numeric_columns(train, outside), string_columns(train, outside)
-    recipe = Recipe(kind, fit_medians(train, numeric), fit_modes(train, texts))
+    recipe = Recipe(kind, *(fills or fit_fills(train, label, key)))
     if kind == "scaled":
         recipe.scales = fit_scales(impute_median(train, recipe.medians), recipe.numeric(), span)
     if kind in ("scaled", "onehot", "indexed"):

@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 
 from ..operators.metrics import top_models
-from ..operators.models import KEY_OF, PATIENCE, ROUNDS, evaluate_params
+from ..operators.models import KEY_OF, PATIENCE, ROUNDS, validation_objective
 from ..operators.search import N_TRIALS, search, search_summary
 from ..session import get_session
 from ..sources.writers import read_split, write_dataset
@@ -17,8 +17,7 @@ from ..sources.writers import read_split, write_dataset
 def run(spark, artifacts: str, trials: int = N_TRIALS, rounds: int = ROUNDS, patience: int = PATIENCE) -> None:
     best = top_models(spark.read.parquet(f"{artifacts}/baseline_results"), 2).collect()
     train, val = (read_split(spark, f"{artifacts}/split", s).drop("split") for s in ("train", "val"))
-    found = search(spark, [KEY_OF[r["model"]] for r in best],
-                   lambda key, params: evaluate_params(key, params, train, val, rounds, patience),
+    found = search(spark, [KEY_OF[r["model"]] for r in best], validation_objective(train, val, rounds, patience),
                    f"{artifacts}/trials", trials)
     write_dataset(search_summary(found).coalesce(1), f"{artifacts}/best_params")
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.functions.joins import join_rollup
+from riskloom.functions.joins import hot_keys, join_rollup
 from riskloom.operators import application, assemble, bureau, checks, credit_card, installments, pos_cash, previous
 from riskloom.sources import schemas
 
@@ -71,6 +71,37 @@ def test_hot_loan_is_spread_without_changing_the_result(spark):
     assert placed.count() == 16 and placed.agg(F.max("count")).first()[0] < 200
 
 
+def test_hot_keys_are_found_from_a_sample(spark):
+    ids = spark.range(3_000_000).selectExpr("IF(id % 3 = 0, 7L, id) AS k")
+    assert hot_keys(ids, "k") == [7]
+    assert hot_keys(spark.range(3_000_000).withColumnRenamed("id", "k"), "k") == []
+    assert hot_keys(ids.limit(50_000), "k") == []      # too small to matter
+
+
+def test_hot_loan_and_hot_applicant(spark):
+    """A third of the balance rows on one loan, a third of the loans on one applicant, one
+    loan shared by many applicants: same result as an unsalted plan."""
+    rng = random.Random(9)
+    loans = [(1 if i % 3 == 0 else rng.randrange(2, 60), 5 if i % 4 == 0 else i) for i in range(900)]
+    balance = [(5 if i % 3 == 0 else rng.randrange(900), -rng.randrange(90), rng.choice("012345CX")) for i in range(6000)]
+    loan_df = rows(spark, schemas.BUREAU, *[dict(SK_ID_CURR=c, SK_ID_BUREAU=b, CREDIT_ACTIVE="Active") for c, b in loans])
+    balance_df = rows(spark, schemas.BUREAU_BALANCE,
+                      *[dict(SK_ID_BUREAU=b, MONTHS_BALANCE=m, STATUS=s) for b, m, s in balance])
+    by_loan = {}
+    for b, m, s in balance:
+        by_loan.setdefault(b, []).append((m, s))
+    for hot in ([], [5]):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(bureau, "hot_keys", lambda df, key: hot)
+            got = {r["SK_ID_CURR"]: r for r in bureau.bureau_features(loan_df, balance_df).collect()}
+        for applicant in {c for c, _ in loans}:
+            own = [by_loan[b] for c, b in loans if c == applicant and b in by_loan]
+            means = [sum(m for m, _ in months) / len(months) for months in own]
+            assert got[applicant]["bureau_loan_count"] == sum(1 for c, _ in loans if c == applicant)
+            assert got[applicant]["bureau_overdue_months"] == sum(s in "12345" for months in own for _, s in months)
+            assert got[applicant]["bureau_month_mean"] == (pytest.approx(sum(means) / len(means)) if means else None)
+
+
 def test_previous(spark):
     apps = rows(spark, schemas.PREVIOUS_APPLICATION,
                 dict(SK_ID_PREV=1, SK_ID_CURR=1, NAME_CONTRACT_STATUS="Approved", AMT_CREDIT=10.0, DAYS_DECISION=-5),
