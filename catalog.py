@@ -107,14 +107,20 @@ def _train_test_sources(spark, folder):
     return sources
 
 
+def built(spark, folder, clean=False):
+    """Feature table for a report of one pass. Doubles are kept at single precision: ranks
+    and distinct values then do not hang on the last bit of a sum."""
+    df = asm.build(bindings.load(spark, folder))
+    return comparable(cleaning.clean(df) if clean else df)
+
+
 def assembled(spark, folder):
-    """Written once for the several passes of a report. Doubles are kept at single precision:
-    ranks and distinct values then do not hang on the last bit of a sum."""
-    return stage(comparable(asm.build(bindings.load(spark, folder))), "assembled")
+    """The same, written once for a report of several passes."""
+    return stage(built(spark, folder), "assembled")
 
 
 def cleaned(spark, folder):
-    return stage(comparable(cleaning.clean(asm.build(bindings.load(spark, folder)))), "cleaned")
+    return stage(built(spark, folder, clean=True), "cleaned")
 
 
 # --- scans and sinks ----------------------------------------------------------------------
@@ -157,17 +163,17 @@ def first_rows(spark, folder):
 
 @query
 def table_info(spark, folder):
-    return comparable(profiling.table_info(assembled(spark, folder)))
+    return comparable(profiling.table_info(built(spark, folder)))
 
 
 @query
 def column_info(spark, folder):
-    return comparable(profiling.column_info(assembled(spark, folder)).select("ordinal", "feature", "non_null"))
+    return comparable(profiling.column_info(built(spark, folder)).select("ordinal", "feature", "non_null"))
 
 
 @query
 def missing_report(spark, folder):
-    return comparable(profiling.missing_report(assembled(spark, folder)))
+    return comparable(profiling.missing_report(built(spark, folder)))
 
 
 @query
@@ -177,7 +183,7 @@ def describe_numeric(spark, folder):
 
 @query
 def infinity_report(spark, folder):
-    return comparable(profiling.infinity_report(assembled(spark, folder)))
+    return comparable(profiling.infinity_report(built(spark, folder)))
 
 
 @query
@@ -229,7 +235,7 @@ def drop_near_constant(spark, folder):
 
 @query
 def skew_topk(spark, folder):
-    return comparable(profiling.skew_report(cleaned(spark, folder), 20))
+    return comparable(profiling.skew_report(built(spark, folder, clean=True), 20))
 
 
 @query
