@@ -51,21 +51,27 @@ def range_cells(df: DataFrame, columns: Sequence[str], keep: Sequence[str], cuts
     return cutter.transform(values).selectExpr(*kept, f"inline(array({cells}))").where("value IS NOT NULL")
 
 
-def running_before(counts: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Add ``<sum>_before``: the total of each sum over smaller values of the same group.
+def running_counts(cells: DataFrame, group: Sequence[str], sums: dict[str, str], others: dict[str, str] | None = None,
+                   cuts: Cuts | None = None) -> DataFrame:
+    """One row per (group, value) with the aggregates ``sums`` and ``others`` (name -> SQL) and, for
+    every sum, ``<sum>_before``: its total over the smaller values of the group.
 
-    ``counts`` has one row per (group, range, value), so a value held by a third of all
-    rows is a single row here.
+    A value held by a third of all rows is a single row here, counted before the shuffle.
     """
+    def aggregates(named):
+        return [F.expr(f"{sql} AS {name}") for name, sql in named.items()]
+    counts = cells.groupBy(*group, "range", "value").agg(*aggregates({**sums, **(others or {})}))
     inner = Window.partitionBy(*group, "range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    within = counts.select("*", *[F.coalesce(F.sum(s).over(inner), F.lit(0)).alias(f"{s}_before") for s in sums])
+    if not cuts:
+        return within       # a single range
+    # range totals come from the cells, where the map side shrinks them, not from the counts
     outer = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = counts.groupBy(*group, "range").agg(*[F.sum(s).alias(s) for s in sums])
-    # at most MAX_RANGES rows per group
+    totals = cells.groupBy(*group, "range").agg(*aggregates(sums))     # at most MAX_RANGES rows per group
     earlier = totals.select(*group, "range", *[
         F.coalesce(F.sum(s).over(outer), F.lit(0)).alias(f"{s}_earlier") for s in sums])
-    within = counts.select("*", *[F.coalesce(F.sum(s).over(inner), F.lit(0)).alias(f"{s}_within") for s in sums])
     return within.join(earlier, [*group, "range"]).select(
-        *counts.columns, *[(F.col(f"{s}_within") + F.col(f"{s}_earlier")).alias(f"{s}_before") for s in sums])
+        *counts.columns, *[(F.col(f"{s}_before") + F.col(f"{s}_earlier")).alias(f"{s}_before") for s in sums])
 
 
 def average_rank(n: str = "n"):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import unpivoted
-from ..functions.ranks import ROWS_PER_RANGE, average_rank, cut_points, range_cells, running_before
+from ..functions.ranks import ROWS_PER_RANGE, average_rank, cut_points, range_cells, running_counts
 from ..functions.selectors import ID, LABEL, numeric_columns
 from ..functions.sqltext import as_double, quoted, text
 from ..session import stage
@@ -28,10 +28,10 @@ def spearman_with_label(df: DataFrame, columns: Sequence[str] | None = None, lab
     """
     columns = list(columns or numeric_columns(df, exclude=(label,)))
     rows = df.where(F.col(label).isNotNull())
-    cells = range_cells(rows, columns, [label], cut_points(rows, columns, rows_per_range))
-    counts = cells.groupBy("feature", "range", "value").agg(
-        F.count("*").alias("n"), F.sum(label).alias("positives"))
-    ranked = running_before(counts, ["feature"], ["n"]).withColumn("rank", average_rank())
+    cuts = cut_points(rows, columns, rows_per_range)
+    counts = running_counts(range_cells(rows, columns, [label], cuts), ["feature"], {"n": "count(*)"},
+                            {"positives": f"sum({quoted(label)})"}, cuts)
+    ranked = counts.withColumn("rank", average_rank())
     sums = ranked.groupBy("feature").agg(
         F.sum("n").alias("n"), F.sum("positives").alias("p"),
         F.sum(F.col("n") * F.col("rank")).alias("r"), F.sum(F.col("n") * F.col("rank") * F.col("rank")).alias("rr"),
@@ -81,10 +81,9 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = ID,
     rows = df.selectExpr(quoted(key), *[as_double(c) for c in columns])
     cuts = cut_points(rows, columns, rows_per_range)
     cells = range_cells(rows.selectExpr("*", *masks), columns, sizes, cuts)
-    counts = cells.groupBy("feature", "range", "value").agg(
-        F.count("*").alias("n"), *[F.sum(s).alias(s) for s in sizes])
+    counts = running_counts(cells, ["feature"], {s: f"sum({s})" for s in sizes}, {"n": "count(*)"}, cuts)
     # written once: it is read for the frequent and for the rare values
-    lookup = stage(running_before(counts, ["feature"], sizes).select(
+    lookup = stage(counts.select(
         "feature", "value", "n", F.array(*[average_rank(s) for s in sizes]).alias("ranks")), "ranks")
 
     total = rows.count()

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranks import ROWS_PER_RANGE, cut_points, range_cells, running_before
+from ..functions.ranks import ROWS_PER_RANGE, cut_points, range_cells, running_counts
 from ..functions.selectors import LABEL
+from ..functions.sqltext import quoted
 
 
 def confusion_metrics(df: DataFrame, score: str, label: str = LABEL, by: Sequence[str] = (),
@@ -33,10 +34,9 @@ def roc_auc(df: DataFrame, score: str, label: str = LABEL, by: Sequence[str] = (
     Scores are counted first, so tied scores are one row, then ranked over value ranges.
     """
     rows = df.where(F.col(label).isNotNull())
-    cells = range_cells(rows, [score], [*by, label], cut_points(rows, [score], rows_per_range))
-    counts = cells.groupBy(*by, "range", "value").agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    ranked = running_before(counts, list(by), ["neg"])
+    cuts = cut_points(rows, [score], rows_per_range)
+    ranked = running_counts(range_cells(rows, [score], [*by, label], cuts), list(by),
+                            {"neg": f"count_if({quoted(label)} <> 1)"}, {"pos": f"count_if({quoted(label)} = 1)"}, cuts)
     wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return ranked.groupBy(*by).agg(F.try_divide(wins, pairs).alias("roc_auc"))
