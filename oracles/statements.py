@@ -149,17 +149,17 @@ add("column_report", f"""SELECT feature, {base.single('outlier_pct')} AS outlier
           FROM clean_cells JOIN bounds USING (feature) GROUP BY feature) r""", **CELLS)
 
 
-def _clippable(distinct: str, label_free: str) -> str:
+def _clippable(distinct: str) -> str:
     """Features with more than two values that are no key, label, day or month column."""
     return (f"SELECT feature FROM (SELECT feature, count(DISTINCT value) AS d FROM {distinct} GROUP BY feature) c "
             f"WHERE d > 2 AND feature NOT IN ('SK_ID_CURR', 'TARGET') AND feature NOT LIKE '%DAYS%' "
-            f"AND lower(feature) NOT LIKE '%month%'{label_free}")
+            f"AND lower(feature) NOT LIKE '%month%'")
 
 
-add("columns_to_clip", _clippable("clean_cells", ""), **CELLS)
+add("columns_to_clip", _clippable("clean_cells"), **CELLS)
 TRAIN_CELLS = {**BOTH, "train_cells": cells(NUMERIC, "(SELECT * FROM both_stored WHERE dataset = 'train') tr"),
                "train_bounds": CELLS["bounds"].replace("clean_cells", "train_cells"),
-               "clippable": _clippable("train_cells", "")}
+               "clippable": _clippable("train_cells")}
 _CLIPPABLE = [(k, n) for k, n, *_ in base.ASSEMBLED if k != "s" and n not in ("SK_ID_CURR", "TARGET")
               and "DAYS" not in n and "month" not in n.lower()]
 

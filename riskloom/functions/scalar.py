@@ -23,12 +23,6 @@ def nan_to_null(c) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def finite_or_null(c) -> Column:
-    """±infinity and NaN become NULL."""
-    c = _col(c)
-    return F.when(~F.isnan(c) & (F.abs(c) != INF), c)
-
-
 def divide(numerator, denominator) -> Column:
     """Float division: x/0 is ±infinity by the sign of x, 0/0 is NULL."""
     n, d = _col(numerator).cast("double"), _col(denominator).cast("double")

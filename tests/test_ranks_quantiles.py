@@ -3,10 +3,8 @@
 import math
 import random
 
-import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from riskloom.functions.quantiles import quantiles
 from riskloom.operators import correlation, metrics, profiling
