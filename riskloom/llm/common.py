@@ -45,6 +45,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return scan
 
 
+def noted(df: DataFrame, label: str) -> DataFrame:
+    """``written`` for a small table, such as the state of an iteration, with no cleaning after it."""
+    return stage(df, label)
+
+
 def release(spark: SparkSession) -> None:
     gc.collect()
     spark.sparkContext._jvm.System.gc()

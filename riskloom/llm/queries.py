@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from riskloom.llm import exact_dedup
+from riskloom.llm import exact_dedup, mixing, secret_scan, token_orc, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_token_orc": token_orc.op3_token_orc,
+    "op4_url_filter": url_filter.op4_url_filter,
+    "op5_mixing": mixing.op5_mixing,
+    "op8_secret_scan": secret_scan.op8_secret_scan,
 }
 
 STATEMENTS = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op4_url_filter": url_filter.ORACLE,
 }
