@@ -110,9 +110,11 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         span["value_begin"].alias("begin"), span["end"].alias("end"),
                         span["value_begin"].alias("value_begin"), span["value"].alias("value"))
 
-    every = F.concat("base", F.transform("base", added))
-    counts = [F.size(F.filter(every, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{names[k]}")
-              for k in range(len(names))]
+    def count(kind: int) -> Column:
+        return F.size(F.filter(every, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{names[kind]}")
+
+    every = F.concat("base", F.array_distinct(F.transform("base", added)))  # two kinds may have one value
+    counts = [count(kind) for kind in range(len(names))]
     return rows.select("doc_id", *counts, F.sha2(F.encode(_joined(F.col("base"), names), "UTF-8"), 256).alias("base_sha256"),
                        _joined(every, names).alias("spans"))
 
