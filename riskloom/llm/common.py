@@ -24,6 +24,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python at most 2,000 rows or 16 MB at a time, as texts may be long (a setting of the session)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
 def whole_text(name: str) -> Column:
     """The text of a row; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

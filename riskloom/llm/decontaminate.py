@@ -8,11 +8,12 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table, whole_text
+from riskloom.llm.common import small_batches, table, whole_text
 
 #: BM25 constants
 K1, B = 1.2, 0.75
@@ -200,20 +201,25 @@ def scan(index: Index, texts: list[str], terms: dict, threshold: float) -> list[
     return out
 
 
+def _together(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts with about TOGETHER characters, each with the number of its first text."""
+    low = 0
+    while low < len(texts):
+        high, chars = low, 0
+        while high < len(texts) and chars < TOGETHER:
+            chars += len(texts[high])
+            high += 1
+        yield low, texts[low:high]
+        low = high
+
+
 def _scanner(index: Index, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = _Terms(index.vocabulary)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             rows: list[tuple] = []
-            low = 0
-            while low < len(texts):
-                high, chars = low, 0
-                while high < len(texts) and chars < TOGETHER:
-                    chars += len(texts[high])
-                    high += 1
-                rows += [(low + n, *rest) for n, *rest in scan(index, texts[low:high], terms, threshold)]
-                low = high
+            for low, texts in _together(batch.column("text").to_pylist()):
+                rows += [(low + n, *rest) for n, *rest in scan(index, texts, terms, threshold)]
             if rows:
                 at, item, score, question, answer = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
@@ -239,17 +245,43 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     Null texts, empty texts and items without words match nothing. Null ids are carried through; rows that
     repeat are reported each. Empty tables give no rows. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+    return reduce(DataFrame.unionByName, [
+        rows.mapInArrow(_scanner(index, threshold), "doc_id long, item_id long, score double, question_overlap double, "
+                        "answer_overlap double") for index in indexes(items, item_col, item_text_col, segment_chars)])
+
+
+def indexes(items: DataFrame, item_col: str, item_text_col: str, segment_chars: int = SEGMENT_CHARS) -> Iterator[Index]:
+    """The index segments of a benchmark, one after the other."""
     named = items.select(F.col(item_col).cast("long").alias("item_id"), whole_text(item_text_col).alias("text")).distinct()
     chars = named.agg(F.sum(F.char_length("text"))).first()[0] or 0
     segments = max(1, -(-chars // segment_chars))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    found = []
     for segment in range(segments):
         own = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(segments)) == segment)
-        index = Index([(r.item_id, r.text) for r in own.where("item_id is not null").collect()])
-        found.append(rows.mapInArrow(_scanner(index, threshold), "doc_id long, item_id long, score double, "
-                                     "question_overlap double, answer_overlap double"))
-    return reduce(DataFrame.unionByName, found)
+        yield Index([(r.item_id, r.text) for r in own.where("item_id is not null").collect()])
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text_col: str = "text",
+                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with all their columns; row by row, nothing is moved."""
+    small_batches(docs.sparkSession)
+
+    def holds(index: Index) -> Column:
+        @F.pandas_udf("boolean")
+        def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            terms = _Terms(index.vocabulary)
+            for batch in batches:
+                hit = np.zeros(len(batch), bool)
+                for low, texts in _together(batch.to_list()):
+                    hit[[low + n for n, *_ in scan(index, texts, terms, threshold)]] = True
+                yield pd.Series(hit)
+
+        return found(whole_text(text_col))
+
+    for index in indexes(items, item_col, item_text_col):
+        docs = docs.where(~holds(index))
+    return docs
 
 
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

@@ -144,5 +144,17 @@ def mix(docs: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (5, 2,
     return out.select("doc_id", "size", "source_size", "target", mine.alias("copies"), (mine * F.col("size")).alias("taken"))
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it (0, 1 or 2 times), with all its columns.
+
+    Rows that repeat an id each come as often as the one that comes most.
+    """
+    plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings).where("copies > 0").groupBy(
+        F.col("doc_id").alias("mixed_id")).agg(F.max("copies").cast("int").alias("mixed_copies"))
+    names = [F.col(f"d.`{c}`") for c in docs.columns]
+    joined = docs.alias("d").join(plan.alias("p"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("p.mixed_id")))
+    return joined.select(*names, F.explode(F.sequence(F.lit(1), F.col("p.mixed_copies"))).alias("__copy")).drop("__copy")
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"))

@@ -10,10 +10,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table, whole_text
+from riskloom.llm.common import small_batches, table, whole_text
 from riskloom.llm.textbytes import BLANK, pieces, words
 
 #: a document is predicted good from this score on
@@ -184,6 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: st
     calibrated by isotonic regression; the weights that are kept come from all folds. What reaches the driver
     is bounded by ``fit_rows`` and FEATURES. Without labels the score is 1, with a single label it is that one.
     """
+    small_batches(docs.sparkSession)
     rows = _training(docs, labels, fit_rows, id_col, text_col).repartition(FIT_TASKS, "doc_id")
     train = rows.persist()
     try:
@@ -217,14 +218,14 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: st
         train.unpersist()
 
 
-def scores(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``quality_score``; row by row, nothing is moved."""
+def score_of(model: Model, text: Column) -> Column:
+    """The score of a text column; row by row, nothing is moved."""
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series(model.score(statistics(pc.fill_null(pa.array(texts, pa.string()), ""))))
 
-    return docs.withColumn("quality_score", score(whole_text(text_col)))
+    return score(text)
 
 
 def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: str = "doc_id",
@@ -237,10 +238,15 @@ def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_co
     no rows; other columns are not read.
     """
     model = fit(docs, labels, fit_rows, id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    scored = docs.select(F.col(id_col).alias("doc_id"), score_of(model, whole_text(text_col)).alias("score"))
     held = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2
-    return scores(rows, model).select("doc_id", held.alias("held_out"), F.col("quality_score").alias("score"),
-                                      (F.col("quality_score") >= ACCEPT).cast("int").alias("predicted"))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is predicted good, with all their columns."""
+    model = fit(docs, labels, id_col=id_col, text_col=text_col)
+    return docs.where(score_of(model, whole_text(text_col)) >= ACCEPT)
 
 
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
