@@ -9,66 +9,121 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import partitions, release, table, whole_text
+from riskloom.llm.common import partitions, release, small_batches, table, whole_text
 from riskloom.session import staged_path
 
 #: ends a document
 END_ID = 0
-#: words whose ids a task remembers, and the longest such word
-REMEMBERED_WORDS, REMEMBERED_CHARS = 400_000, 64
+#: words whose ids a Python worker remembers, and the longest such word
+REMEMBERED, REMEMBERED_CHARS = 400_000, 32
 ORC_OPTIONS = {
-    "orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(64 << 20),
+    "orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(16 << 20),
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd",
 }
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 
-#: between two white-space characters a blank may belong to either side's pre-token, so such texts go whole
-_SPACED = re.compile(r"\s \s|<\|")
+#: in texts with white space next to white space, pre-tokens may end elsewhere than at words, so these go whole
+_ODD = re.compile(r"\s\s|<\||\0")
+# fixed value: the pre-tokens of the byte-level tokenizer
+_PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: beyond these characters (and among control characters) classes may differ between libraries
+_COMMON = regex.compile("[\t\n\r\x20-\x7e\xa1-\u024f]*")
 
 
-def _unit_ids(tokenizer) -> type:
-    """Remembers the ids (as bytes) of the words that come again and again; starts anew when full."""
+def _byte_letters() -> str:
+    """The letter by which a byte-level vocabulary writes each byte: printable bytes as themselves, others from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in printable else next(others)) for b in range(256))
 
-    class Units(dict):
-        def __missing__(self, unit: str) -> bytes:
-            ids = np.asarray(tokenizer.encode(unit, add_special_tokens=False).ids, "<i4").tobytes()
-            if len(unit) <= REMEMBERED_CHARS:
-                if len(self) >= REMEMBERED_WORDS:
-                    self.clear()
-                self[unit] = ids
-            return ids
 
-    return Units
+_LETTERS = _byte_letters()
 
 
-def encode_text(tokenizer, units: dict, text: str) -> bytes:
-    """The ids of a whole text as little-endian 32-bit integers.
+class _Units(dict):
+    """Ids (as bytes) of the units of a text: a word, mostly with the blank before it, or a line feed.
 
-    The byte-level pre-tokenizer always begins a new pre-token at a blank with no white space on one of its
-    sides, so the ids of a text are those of its parts "word", " word", ... one after the other.
+    What comes first is remembered, and common words come early.
     """
-    if _SPACED.search(text):
-        return np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
-    first, *rest = text.split(" ")
-    return units[first] + b"".join([units[" " + word] for word in rest])
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        self.merge = tokenizer.model.tokenize
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
+
+    def word(self, pre_token: str) -> bytes:
+        """Ids of a single pre-token: the vocabulary's merges, without looking for pre-tokens again."""
+        if (ids := self.get(pre_token)) is None:
+            letters = pre_token.encode().decode("latin-1").translate(_LETTERS)
+            ids = np.asarray([token.id for token in self.merge(letters)], "<i4").tobytes()
+            if len(pre_token) <= REMEMBERED_CHARS and len(self) < REMEMBERED:
+                self[pre_token] = ids
+        return ids
+
+    def __missing__(self, unit: str) -> bytes:
+        core = unit[1:] if unit[:1] == " " else unit
+        plain = unit.isascii() or _COMMON.fullmatch(unit)
+        if plain and core.isalpha():
+            return self.word(unit)
+        if plain and core[-1:] in ".,:;!?" and core[:-1].isalpha():
+            ids = self.word(unit[:-1]) + self.word(core[-1])
+        elif _COMMON.fullmatch(unit):
+            ids = b"".join([self.word(p) for p in _PRE_TOKEN.findall(unit)])
+        else:
+            return self.whole(unit)
+        if len(unit) <= REMEMBERED_CHARS and len(self) < REMEMBERED:
+            self[unit] = ids
+        return ids
+
+
+class Encoder:
+    """Encodes whole texts with a byte-level tokenizer, a word that comes again only once."""
+
+    def __init__(self, tokenizer) -> None:
+        self.units = _Units(tokenizer)
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian 32-bit integers.
+
+        Where no two white-space characters meet, the pre-tokenizer begins a new pre-token at every blank, and a
+        line feed is one of its own. So the ids of a text are those of its units "word", " word", "\\n", ... one
+        after the other, and those of a unit are those of its pre-tokens.
+        """
+        if _ODD.search(text):
+            return self.units.whole(text)
+        units = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        return b"".join(map(self.units.__getitem__, units))
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def _worker_encoder(tokenizer_json: str) -> Encoder:
+    """One for each Python worker; it lives on from task to task."""
+    from tokenizers import Tokenizer
+
+    if tokenizer_json not in _encoders:
+        _encoders.clear()
+        _encoders[tokenizer_json] = Encoder(Tokenizer.from_str(tokenizer_json))
+    return _encoders[tokenizer_json]
 
 
 def _encoder(tokenizer_json: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(tokenizer_json)
-        units = _unit_ids(tokenizer)()
+        encoder = _worker_encoder(tokenizer_json)
         part, start = TaskContext.get().partitionId(), 0
         end = np.asarray([END_ID], "<i4").tobytes()
         for batch in batches:
             texts = batch.column("text")
             for low in range(0, batch.num_rows, 256):
-                rows = [encode_text(tokenizer, units, t) + end for t in texts.slice(low, 256).to_pylist()]
+                rows = [encoder.encode(t) + end for t in texts.slice(low, 256).to_pylist()]
                 sizes = np.asarray([len(r) // 4 for r in rows], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(sizes)])
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
@@ -110,6 +165,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer_file: str, id_col: str
     with open(tokenizer_file, encoding="utf-8") as file:
         tokenizer_json = file.read()  # a megabyte or two; sent with the task, as executors may lack the file
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     ordered = rows.repartitionByRange(parts or partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
     encoded = ordered.mapInArrow(_encoder(tokenizer_json), FILE_SCHEMA)
@@ -124,6 +180,8 @@ def read_token_orc(spark: SparkSession, path: str) -> DataFrame:
     ``start`` counts the ids of all documents before it. Totals of files (one row each) are summed up by a
     window and broadcast.
     """
+    small_batches(spark)
+    spark.conf.set("spark.sql.orc.columnarReaderBatchSize", "512")
     files = spark.read.schema(FILE_SCHEMA).orc(path)
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
