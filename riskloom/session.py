@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +17,6 @@ SETTINGS = {
 }
 
 
-_local_dirs: dict[str, str] = {}
-
-
 def get_session(app: str = "riskloom", master: str | None = None, **conf) -> SparkSession:
     """Build or get a session; keyword names use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -32,19 +28,9 @@ def get_session(app: str = "riskloom", master: str | None = None, **conf) -> Spa
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: the session's ``spark.checkpoint.dir``.
-
-    Only a local master may run without that setting; it then gets a folder of its own.
-    """
+    """Folder all executors can reach: the session's ``spark.checkpoint.dir``, else a folder of its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="riskloom-")
-    return _local_dirs[context.applicationId]
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
 def staged_path(spark: SparkSession, label: str) -> str:
@@ -60,3 +46,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staged_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unstage(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

@@ -53,8 +53,12 @@ def _typed(field: T.StructField):
     if isinstance(field.dataType, T.StringType):
         return c
     if isinstance(field.dataType, T.IntegralType):
-        # an integer column that had gaps is written as 8.0
-        return c.cast("double").cast(field.dataType).alias(field.name)
+        # an integer column that had gaps is written as 8.0; a double on the way would change ids above 2^53
+        exact = c.try_cast("decimal(38,10)")
+        fault = F.raise_error(F.concat(F.lit(f"{field.name} holds no whole number: "), c)).cast("bigint")
+        whole = F.coalesce(c.try_cast("bigint"), F.when(c.isNotNull(), F.when(
+            exact == F.floor(exact), exact.cast("bigint")).otherwise(fault)))
+        return whole.cast(field.dataType).alias(field.name)
     return c.cast(field.dataType).alias(field.name)
 
 

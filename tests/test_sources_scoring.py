@@ -78,12 +78,6 @@ def test_decision_and_band(spark):
     assert [r["decision"] for r in custom[:4]] == ["Low risk"] * 3 + ["High risk"] and custom[2]["risk_band"] == "bad"
 
 
-def test_best_length():
-    assert models.best_length([5, 4, 3, 3.5, 3.6, 1], patience=2) == 3
-    assert models.best_length([5, 4, 3, 3.5, 2, 2.5], patience=2) == 5
-    assert models.best_length([1], patience=3) == 1
-
-
 def test_tree_depth():
     assert models.tree_depth({"num_leaves": 31, "max_depth": -1}) == 5
     assert models.tree_depth({"num_leaves": 255, "max_depth": 4}) == 4
@@ -113,3 +107,14 @@ def test_search_resumes(spark, tmp_path):
     assert summary["sgd"]["trial"] == 2 and summary["xgb"]["winner"] and not summary["sgd"]["winner"]
     assert search.best_params(trials)["xgb"]["val_roc_auc"] == pytest.approx(0.6)
     assert search.best_params(search.read_trials(spark, str(tmp_path / "none"))) == {}
+
+
+def test_csv_ids_stay_exact(spark, tmp_path):
+    (tmp_path / "ids.csv").write_text('id,n\n9007199254740993,8.0\n9007199254740995,\n"-9223372036854775808",7\n')
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType())])
+    got = readers.read_csv(spark, str(tmp_path / "ids.csv"), schema).collect()
+    assert sorted(map(tuple, got)) == [(-(2**63), 7), (9007199254740993, 8), (9007199254740995, None)]
+    for wrong in ("8.7", "eight"):
+        (tmp_path / "bad.csv").write_text(f"id,n\n1,{wrong}\n")
+        with pytest.raises(Exception, match="whole number"):
+            readers.read_csv(spark, str(tmp_path / "bad.csv"), schema).collect()
