@@ -10,32 +10,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01, fraction: float = 0.001,
-             min_sampled: int = 1000) -> list:
-    """Keys that hold at least ``share`` of a sample: at most 1/share of them.
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """(hot): keys with more rows than a shuffle partition's fair share, found when the plan runs.
 
-    The sample only chooses the plan. A sample too small to tell (a small table) gives none.
+    There are at most as many as shuffle partitions, so the table may be broadcast. The sketch of frequent items
+    is summed up by task; its counts choose the plan, never the result.
     """
-    sampled = df.where(F.col(key).isNotNull()).select(key).sample(fraction, seed=11)
-    counted = sampled.groupBy(key).agg(F.count("*").alias("n"))
-    top = counted.orderBy(F.desc("n")).limit(int(1 / share)).collect()
-    size = sampled.count() if top and top[0]["n"] >= min_sampled * share else 0
-    return [r[key] for r in top if size >= min_sampled and r["n"] >= share * size]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tracked = F.lit(min(100_000, 16 * parts))
+    most = df.where(F.col(key).isNotNull()).agg(
+        F.call_function("approx_top_k", F.col(key), F.lit(parts), tracked).alias("top"), F.count("*").alias("n"))
+    return most.select(F.explode("top").alias("item"), "n").where(
+        F.col("item.count") * parts > F.col("n")).select(F.col("item.item").alias("hot"))
 
 
-def join_rollup(facts: DataFrame, rollup: DataFrame, key: str, spread_by: str,
-                how: str = "inner", salts: int = 64, hot: list | None = None) -> DataFrame:
+def join_rollup(facts: DataFrame, rollup: DataFrame, key: str, spread_by: str, how: str = "inner", salts: int = 64,
+                hot: DataFrame | None = None) -> DataFrame:
     """Join ``facts`` to ``rollup`` (one row per key), spreading the hot keys over ``salts`` tasks.
 
-    Only the rollup rows of hot keys are repeated, so the extra volume is at most
-    ``salts`` rows for each of the few keys ``hot_keys`` can return.
+    Only the rollup rows of hot keys are repeated, so the extra volume is at most ``salts`` rows for each.
     """
-    hot = hot_keys(facts, key) if hot is None else hot
-    if not hot:
-        return facts.join(rollup, key, how)
-    is_hot = F.col(key).isin(*hot)
+    hot = F.broadcast(hot_keys(facts, key) if hot is None else hot)
+    is_hot = F.col("hot").isNotNull()
     salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    left = facts.withColumn("_salt", F.when(is_hot, salt).otherwise(0))
+    left = facts.join(hot, F.col(key) == F.col("hot"), "left").withColumn("_salt", F.when(is_hot, salt).otherwise(0)).drop("hot")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = rollup.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+    right = rollup.join(hot, F.col(key) == F.col("hot"), "left").withColumn(
+        "_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))).drop("hot")
     return left.join(right, [key, "_salt"], how).drop("_salt")

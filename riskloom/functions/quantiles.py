@@ -1,8 +1,8 @@
 """Exact, linearly interpolated quantiles of many columns without a one-task sort.
 
-``percentile`` would hold every distinct value of a column in one task. Here a sketch
-first brackets each wanted rank, then only the values inside the brackets are counted
-and ordered; everything below a bracket collapses to one count on the map side.
+``percentile`` would hold every distinct value of a column in one task. Here a sketch, merged in two
+levels, first brackets each wanted rank, then only the values inside the brackets are counted and
+ordered; everything below a bracket collapses to one count on the map side. This is the path at every size.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sqltext import number, quoted, text
+from ..session import stage
+from .sketches import quantile_array, rank_error, sketch
+from .sqltext import quoted, text
 
 INF = float("inf")
 Result = dict[tuple[object, str], list[float | None]]
@@ -35,129 +37,93 @@ def interpolate(low: float, high: float, t: float) -> float | None:
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None = None,
-              accuracy: int = 10_000, exact_rows: int = 1_000_000) -> Result:
+              accuracy: int = 4000, exact_rows: int = 1_000_000) -> Result:
     """``{(group, column): [value per probability]}``; None for a column without values.
 
-    ``by`` names a column with few values (a label). Up to ``exact_rows`` values per
-    column and group are ordered whole; beyond, the sketch has rank error 1/accuracy and
-    the bracket is twice that. A bracket that still holds more than ``exact_rows`` values is
-    sketched again inside itself. Should a bracket miss, it is widened until it holds the rank.
+    ``by`` names a column with few values (a label). A sketch of size ``accuracy`` brackets every rank;
+    a bracket that may hold more than ``exact_rows`` values is sketched again inside itself, as often as it
+    takes; then the values inside are counted and ordered. Should a bracket miss its rank, it is widened.
     """
     columns = list(columns)
     if not columns:
         return {}
     source = df.where(F.col(by).isNotNull()) if by else df
-    group = [by] if by else []
-    counted = unpivoted(source, columns, group).groupBy(*group, "feature").agg(F.count("value").alias("n"))
-    sizes = {(r[by] if by else None, r["feature"]): r["n"] for r in counted.collect()}
+    group, error = ([by] if by else []), rank_error(accuracy)
+    edges = [e for p in probs for e in (p - 2 * error, p + 2 * error)]
+    first = sketch(unpivoted(source, columns, group), [*group, "feature"], accuracy).select(
+        *group, "feature", "n", quantile_array("sketch", edges).alias("edges")).collect()
+    rows = {(r[by] if by else None, r["feature"]): r for r in first}
+    sizes = {key: r["n"] for key, r in rows.items()}
     if not by:
         sizes = {(None, c): sizes.get((None, c), 0) for c in columns}
 
     ranks = {key: [(n - 1) * p for p in probs] for key, n in sizes.items() if n}
-    wanted = {(key, k) for key, positions in ranks.items() for x in positions
-              for k in (math.floor(x), math.ceil(x))}
+    bands: dict[tuple, set] = {}
+    for key, positions in ranks.items():
+        for i, x in enumerate(positions):
+            low, high = rows[key]["edges"][2 * i:2 * i + 2]
+            # the two rows beside a position may lie beyond the edges where rows are few
+            band = (*key, -INF if edges[2 * i] <= 2 / sizes[key] else low, INF if edges[2 * i + 1] >= 1 - 2 / sizes[key] else high)
+            bands.setdefault(band, set()).update((math.floor(x), math.ceil(x)))
     found: dict[tuple[tuple[object, str], int], float] = {}
-    slack = 2
-    while wanted:
-        bands = _brackets(source, by, columns, sizes, wanted, accuracy, exact_rows, slack)
-        if max(sizes.values()) * (2 * slack + 1) / accuracy > exact_rows:
-            bands = _narrow(source, by, bands, accuracy, exact_rows, slack)
-        found.update(_select(source, by, bands))
-        wanted = {w for w in wanted if w not in found}
-        slack *= 100
+    todo = [(*band, sorted(ks)) for band, ks in bands.items()]
+    wide = max(sizes.values(), default=0) * 4 * error > exact_rows
+    while todo:
+        found.update(_select(source, by, _narrow(source, by, todo, accuracy, exact_rows) if wide else todo))
+        # a sketch can be wrong by more than its error: such a rank is looked for among all values
+        todo = [(g, c, -INF, INF, left) for g, c, _, _, ks in todo if (left := [k for k in ks if ((g, c), k) not in found])]
+        wide = any(sizes[g, c] > exact_rows for g, c, *_ in todo)
 
     def at(key, x):
         return interpolate(found[key, math.floor(x)], found[key, math.ceil(x)], x - math.floor(x))
     return {key: [at(key, x) for x in ranks[key]] if n else [None] * len(probs) for key, n in sizes.items()}
 
 
-def _brackets(source, by, columns, sizes, wanted, accuracy, exact_rows, slack):
-    """[(group, column, low, high, ranks)]: values in [low, high] hold the wanted ranks."""
-    whole: dict[tuple[object, str], list[int]] = {}
-    edges: dict[tuple[object, str], dict[int, tuple[float, float]]] = {}
-    for key, k in wanted:
-        n = sizes[key]
-        below, above = k / n - slack / accuracy, (k + 1) / n + slack / accuracy
-        if n <= exact_rows or (below <= 0 and above >= 1):
-            whole.setdefault(key, []).append(k)
-        else:
-            edges.setdefault(key, {})[k] = (max(below, 0.0), min(above, 1.0))
-    bands = [(g, c, -INF, INF, sorted(ks)) for (g, c), ks in whole.items()]
-    if not edges:
-        return bands
-    sketched = sorted({c for _, c in edges})
-    cuts = {c: sorted({e for (_, cc), ks in edges.items() if cc == c for pair in ks.values() for e in pair})
-            for c in sketched}
-    rows = source.groupBy(*([by] if by else [])).agg(*[
-        F.expr(f"percentile_approx(CAST({quoted(c)} AS DOUBLE), array({', '.join(map(number, cuts[c]))}), "
-               f"{accuracy}) AS q{i}") for i, c in enumerate(sketched)]).collect()
-    for row in rows:
-        for i, c in enumerate(sketched):
-            key = (row[by] if by else None, c)
-            value_at = dict(zip(cuts[c], row[f"q{i}"] or []))
-            for k, (below, above) in edges.get(key, {}).items():
-                low = -INF if below == 0 else value_at[below]
-                high = INF if above == 1 else value_at[above]
-                bands.append((*key, low, high, [k]))
-    return bands
-
-
-def _narrow(source, by, bands, accuracy, exact_rows, slack, rounds=3):
-    """Sketch the values inside the wide bands, and shrink those bands around their rank."""
-    wide = {i for i, (_, _, low, high, ks) in enumerate(bands) if len(ks) == 1 and low < high}
-    for _ in range(rounds):
-        if not wide:
-            break
-
-        def measure(sql):
-            row = source.selectExpr(*[sql(i, *_band_sql(source, by, bands[i])) for i in sorted(wide)]).first()
-            return dict(zip(sorted(wide), row))
-        sizes = measure(lambda i, below, inside, value: f"struct(count_if({below}) AS below, count_if({inside}) AS size)")
-        wide = {i for i in wide if sizes[i].size > exact_rows and 0 <= bands[i][4][0] - sizes[i].below < sizes[i].size}
-
-        def cuts(i):
-            rank, size = bands[i][4][0] - sizes[i].below, sizes[i].size
-            return max(rank / size - slack / accuracy, 0.0), min((rank + 1) / size + slack / accuracy, 1.0)
-        if not wide:
-            break
-        edges = measure(lambda i, below, inside, value:
-                        f"percentile_approx(CASE WHEN {inside} THEN {value} END, "
-                        f"array({', '.join(map(number, cuts(i)))}), {accuracy})")
-        for i in list(wide):
-            group, column, low, high, ks = bands[i]
-            at_low, at_high = cuts(i)
-            shrunk = (low if at_low == 0 else edges[i][0], high if at_high == 1 else edges[i][1])
-            if shrunk == (low, high) or shrunk[0] == shrunk[1]:
-                wide.discard(i)     # ties fill the band: few distinct values are left in it
-            bands[i] = (group, column, *shrunk, ks)
-    return bands
-
-
-def _band_sql(source, by, band):
-    """Conditions "below the band" and "inside the band", and the value, as SQL text."""
-    group, column, low, high, _ = band
-    value = f"CAST({quoted(column)} AS DOUBLE)"
-    in_group = "true"
-    if by:
-        in_group = f"{quoted(by)} = {text(group) if isinstance(group, str) else group}"
-    return (f"{in_group} AND {value} < {number(low)}",
-            f"{in_group} AND {value} BETWEEN {number(low)} AND {number(high)}", value)
+def _in_bands(source, by, bands):
+    """(band, low, value) of the values up to the upper end of each band."""
+    group = [by] if by else []
+    rows = [((g,) if by else ()) + (c, i, low, high) for i, (g, c, low, high, _) in enumerate(bands)]
+    by_type = f"`{by}` {source.schema[by].dataType.simpleString()}, " if by else ""
+    # one row per group, column and wanted rank: small whatever the data
+    edges = F.broadcast(source.sparkSession.createDataFrame(rows, f"{by_type}feature string, band int, low double, high double"))
+    cells = unpivoted(source, sorted({c for _, c, *_ in bands}), group).where(F.col("value").isNotNull())
+    return cells.join(edges, [*group, "feature"]).where("value <= high").select("band", "low", "value")
+
+
+def _narrow(source, by, bands, accuracy, exact_rows):
+    """Sketch the values inside the wide bands, and shrink those bands around their ranks."""
+    error, done, todo = rank_error(accuracy), [], [(*b[:4], [k]) for b in bands for k in b[4]]
+    while todo:
+        inside = _in_bands(source, by, todo).select(
+            "band", F.when(F.col("value") >= F.col("low"), F.col("value")).alias("value"))
+        sketched = stage(sketch(inside, ["band"], accuracy, {"below": F.count_if(F.col("value").isNull())}), "bands")
+        measured = {r["band"]: (r["n"], r["below"]) for r in sketched.select("band", "n", "below").collect()}
+        open_bands, cuts = [], {}
+        for i, band in enumerate(todo):
+            size, below = measured.get(i, (0, 0))
+            rank = band[4][0] - below
+            if size <= exact_rows or not 0 <= rank < size:
+                done.append(band)
+            else:
+                cuts[i] = (rank / size - 2 * error, (rank + 1) / size + 2 * error)
+        points = F.coalesce(*[F.when(F.col("band") == i, quantile_array("sketch", c)) for i, c in cuts.items()], F.lit(None))
+        for r in (sketched.select("band", points.alias("at")).where("at is not null").collect() if cuts else []):
+            g, c, low, high, ks = todo[r["band"]]
+            at_low, at_high = cuts[r["band"]]
+            shrunk = (g, c, low if at_low <= 0 else r["at"][0], high if at_high >= 1 else r["at"][1], ks)
+            # ties fill a band that doesn't shrink, or whose ends meet: few distinct values are left in it
+            (done if shrunk[2:4] in ((low, high), (shrunk[2], shrunk[2])) else open_bands).append(shrunk)
+        todo = open_bands
+    return done
 
 
 def _select(source, by, bands):
     """Order statistics of the bands: {((group, column), rank): value}."""
-    spark, group = source.sparkSession, [by] if by else []
-    columns = sorted({c for _, c, *_ in bands})
-    rows = [((g,) if by else ()) + (c, i, low, high) for i, (g, c, low, high, _) in enumerate(bands)]
-    by_type = f"`{by}` {source.schema[by].dataType.simpleString()}, " if by else ""
-    # one row per group, column and wanted rank: small whatever the data
-    edges = F.broadcast(spark.createDataFrame(rows, f"{by_type}feature string, band int, low double, high double"))
-    targets = F.broadcast(spark.createDataFrame(
+    # one row per band and wanted rank: small whatever the data
+    targets = F.broadcast(source.sparkSession.createDataFrame(
         [(i, k) for i, (*_, ks) in enumerate(bands) for k in ks], "band int, k long"))
-
-    cells = unpivoted(source, columns, group).where(F.col("value").isNotNull())
-    inside = (cells.join(edges, [*group, "feature"]).where("value <= high")
-              .select("band", F.when(F.col("value") >= F.col("low"), F.col("value")).alias("value")))
+    inside = _in_bands(source, by, bands).select(
+        "band", F.when(F.col("value") >= F.col("low"), F.col("value")).alias("value"))
     counts = inside.groupBy("band", "value").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("band").orderBy(F.col("value").asc_nulls_first()))
     hits = (counts.withColumn("upto", upto).where("value IS NOT NULL").join(targets, "band")

@@ -15,25 +15,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import INF, unpivoted
-from .sqltext import as_double, number, quoted, text
+from .sketches import quantile_array, sketch
+from .sqltext import as_double, quoted, text
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
+#: rows of a range, and size of the sketch that finds the cuts
+ROWS_PER_RANGE, SKETCH = 1_000_000, 4000
 
 Cuts = dict[str, list[float]]
 
 
 def cut_points(df: DataFrame, columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> Cuts:
-    """Approximate quantile cuts per column; balance depends on them, results do not."""
-    parts = min(MAX_RANGES, math.ceil(df.count() / rows_per_range))
-    if parts <= 1:
-        return {}
-    fractions = [i / parts for i in range(1, parts)]
-    at = ", ".join(map(number, fractions))
-    row = df.selectExpr(*[
-        f"percentile_approx(CAST({quoted(c)} AS DOUBLE), array({at}), {max(10_000, 10 * parts)}) AS q{i}"
-        for i, c in enumerate(columns)]).first()
-    return {c: sorted({x for x in row[f"q{i}"] or [] if abs(x) != INF}) for i, c in enumerate(columns)}
+    """Approximate quantile cuts per column; balance depends on them, results do not.
+
+    There are at least as many ranges as shuffle partitions, and enough for ``rows_per_range`` rows each.
+    """
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / rows_per_range))
+    shares = [i / parts for i in range(1, parts)]
+    rows = sketch(unpivoted(df, columns), ["feature"], min(65_535, max(SKETCH, 10 * parts))).select(
+        "feature", quantile_array("sketch", shares).alias("at")).collect()
+    found = {r["feature"]: r["at"] for r in rows}
+    return {c: sorted({x for x in found.get(c) or [] if abs(x) != INF}) for c in columns}
 
 
 def range_cells(df: DataFrame, columns: Sequence[str], keep: Sequence[str], cuts: Cuts) -> DataFrame:
@@ -67,7 +68,7 @@ def running_counts(cells: DataFrame, group: Sequence[str], sums: dict[str, str],
         return within       # a single range
     # range totals come from the cells, where the map side shrinks them, not from the counts
     outer = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = cells.groupBy(*group, "range").agg(*aggregates(sums))     # at most MAX_RANGES rows per group
+    totals = cells.groupBy(*group, "range").agg(*aggregates(sums))     # one row per range
     earlier = totals.select(*group, "range", *[
         F.coalesce(F.sum(s).over(outer), F.lit(0)).alias(f"{s}_earlier") for s in sums])
     return within.join(earlier, [*group, "range"]).select(

@@ -83,8 +83,7 @@ def _payment_history(loans: DataFrame, by_loan: DataFrame) -> DataFrame:
     owners = (loans.where(F.col("SK_ID_BUREAU").isNotNull())
               .groupBy("SK_ID_BUREAU", "SK_ID_CURR").agg(F.count("*").alias("occurs")))
     # looked up in the scan, below the grouping: cheaper, and it can only name more loans
-    hot = hot_keys(loans, "SK_ID_BUREAU")
-    joined = join_rollup(owners, by_loan, "SK_ID_BUREAU", spread_by="SK_ID_CURR", hot=hot)
+    joined = join_rollup(owners, by_loan, "SK_ID_BUREAU", spread_by="SK_ID_CURR", hot=hot_keys(loans, "SK_ID_BUREAU"))
     return joined.groupBy("SK_ID_CURR").agg(
         F.min("bureau_month_min").alias("bureau_month_min"),
         F.max("bureau_month_max").alias("bureau_month_max"),

@@ -102,39 +102,29 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def _literal(value, kind: T.DataType) -> str:
-    if value is None:
-        return "NULL"
+def value_text(name: str, kind: T.DataType) -> str:
+    """A text that is the same for the same value only; +0 and -0 are one value."""
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return number(value)
-    return text(value) if isinstance(kind, T.StringType) else str(value)
+        return f"CAST({quoted(name)} + 0.0D AS STRING)"
+    if isinstance(kind, T.BinaryType):
+        return f"hex({quoted(name)})"
+    plain = not isinstance(kind, (T.ArrayType, T.MapType, T.StructType))
+    return f"CAST({quoted(name)} AS STRING)" if plain else f"to_json(struct({quoted(name)}))"
 
 
-def near_constant(df: DataFrame, share: float = 0.995) -> DataFrame:
-    """(feature, top_share) of the columns where one value, NULL included, has that share.
+def top_shares(df: DataFrame) -> DataFrame:
+    """(feature, top_share): the share of the most frequent value of each column, NULL included.
 
-    Such a value fills the middle of any ordering of the column, so the median of the
-    value hashes names it: three plain scans, no value is ever shuffled. An exact count
-    of the named value decides.
+    Values are counted where they lie, so a value of many rows is one row in the shuffle.
     """
-    if share < 0.6:
-        raise ValueError("a value below 60 % of the rows need not hold the median")
-    columns = df.columns
-    # 52 bits, since the sketch works on doubles
-    hashed = {c: f"shiftright(xxhash64({quoted(c)}), 12)" for c in columns}
-    # any rank within 5 % of the middle will do
-    middle = df.selectExpr(*[f"percentile_approx({hashed[c]}, 0.5, 100) AS h{i}" for i, c in enumerate(columns)]).first()
-    if middle[0] is None:
-        return df.sparkSession.createDataFrame([], "feature string, top_share double")
-    named = df.selectExpr(*[
-        f"max(CASE WHEN {hashed[c]} = {middle[i]}L THEN {quoted(c)} END) AS v{i}" for i, c in enumerate(columns)]).first()
-    values = dict(zip(columns, named))
+    cells = ", ".join(f"struct({text(f.name)} AS feature, {value_text(f.name, f.dataType)} AS value)" for f in df.schema.fields)
+    counts = df.selectExpr(f"inline(array({cells}))").groupBy("feature", "value").agg(F.count("*").alias("n"))
+    return counts.groupBy("feature").agg((F.max("n") / F.sum("n")).alias("top_share"))
 
-    wide = df.selectExpr("count(*) AS row_count", *[
-        f"count_if({quoted(f.name)} <=> {_literal(values[f.name], f.dataType)}) AS {quoted(f.name)}"
-        for f in df.schema.fields])
-    return (_long(wide, columns, "top").selectExpr("feature", "top / row_count AS top_share")
-            .where(F.col("top_share") >= share))
+
+def near_constant(df: DataFrame, share: float = 0.995) -> DataFrame:
+    """(feature, top_share) of the columns where one value, NULL included, has that share."""
+    return top_shares(df).where(F.col("top_share") >= share)
 
 
 def near_constant_columns(train: DataFrame, share: float = 0.995) -> list[str]:
@@ -256,11 +246,9 @@ def binary_columns(df: DataFrame) -> list[str]:
     """Columns of any type with at most two distinct values: those all equal to their min or max."""
     names = df.columns
     ends = df.selectExpr(*[f"{f}({quoted(c)}) AS {f}{i}" for i, c in enumerate(names) for f in ("min", "max")]).first()
-
-    def inner(i, f):
-        low, high = (_literal(ends[f"{m}{i}"], f.dataType) for m in ("min", "max"))
-        return f"count_if({quoted(f.name)} NOT IN ({low}, {high})) AS b{i}"
-    between = df.selectExpr(*[inner(i, f) for i, f in enumerate(df.schema.fields)]).first()
+    inner = [F.count_if(~F.col(quoted(c)).isin(F.lit(ends[f"min{i}"]), F.lit(ends[f"max{i}"]))).alias(f"b{i}")
+             for i, c in enumerate(names)]
+    between = df.select(*inner).first()
     return [c for i, c in enumerate(names) if not between[f"b{i}"]]
 
 

@@ -30,7 +30,7 @@ def table(spark):
 PROBS = (0.0, 0.0025, 0.25, 0.5, 0.75, 0.99, 1.0)
 
 
-@pytest.mark.parametrize("accuracy, exact_rows", [(10_000, 1_000_000), (100, 500), (20, 100), (20, 15), (100, 5)])
+@pytest.mark.parametrize("accuracy, exact_rows", [(4000, 1_000_000), (100, 500), (20, 100), (20, 15), (100, 5)])
 def test_quantiles_are_exact(table, accuracy, exact_rows):
     df, pdf = table
     got = quantiles(df, ["a", "b", "c", "d", "flat", "empty"], PROBS, accuracy=accuracy, exact_rows=exact_rows)
@@ -139,6 +139,14 @@ def test_near_constant(spark):
     assert {r["feature"]: r["top_share"] for r in profiling.near_constant(df).collect()}["gaps"] == 0.996
 
 
+def test_near_constant_of_dates_and_any_share(spark):
+    df = spark.range(10).selectExpr("DATE'2020-01-02' AS day", "IF(id < 3, TIMESTAMP'2020-01-02 03:04:05', timestamp_seconds(id)) AS at",
+                                    "IF(id < 5, -0.0D, 0.0D) AS zero", "array(1, 2) AS list")
+    assert {r["feature"]: r["top_share"] for r in profiling.near_constant(df, 0.3).collect()} == {
+        "day": 1.0, "at": 0.3, "zero": 1.0, "list": 1.0}
+    assert profiling.binary_columns(df.select("day", "at", "zero")) == ["day", "zero"]
+
+
 def test_decisions(spark):
     names = ["TARGET", "SK_ID_X", "flag", "DAYS_EMPLOYED", "calm", "wild"]
     records = [(i % 2, i, i % 2, -float(i), float(i), 1e6 if i % 5 == 0 else float(i % 3)) for i in range(100)]
