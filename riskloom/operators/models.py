@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +22,12 @@ from pyspark.sql import types as T
 
 from ..functions.selectors import ID, LABEL
 from ..functions.sqltext import number, quoted
-from ..session import stage, staged_path
+from ..session import stage, staged_path, unstage
 from .metrics import roc_auc
 from .preprocess import Recipe, class_counts, fit_fills, fit_recipe, load_recipe, save_recipe
 from .scoring import BANDS, THRESHOLD, decisions, pad_columns
 
-ROUNDS, PATIENCE, SEED = 1000, 250, 42
-LINEAR_STEPS = 200
+SEED = 42
 
 
 @dataclass(frozen=True)
@@ -38,11 +37,12 @@ class Family:
     recipe: str
     balanced: bool          # weights n / (2 n_c); otherwise 1 and negatives / positives
     params: Mapping[str, float]
+    rounds: int = 1000      # trees at most; steps of the linear family
 
 
 # Display names, short keys and baseline parameters.
 FAMILIES = {f.key: f for f in (
-    Family("sgd", "Elastic Net log reg", "scaled", True, {"l1_ratio": 0.5, "alpha": 1e-4}),
+    Family("sgd", "Elastic Net log reg", "scaled", True, {"l1_ratio": 0.5, "alpha": 1e-4}, 200),
     Family("xgb", "XG Boost Classifier", "onehot", False,
            {"max_depth": 6, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0, "min_child_weight": 1}),
     Family("lgbm", "LightGBM Classifier", "indexed", False,
@@ -61,30 +61,22 @@ def tree_depth(params: Mapping[str, float]) -> int:
     return max(1, min(limits, default=5))
 
 
-def estimator(key: str, params: Mapping[str, float], rounds: int, max_bins: int = 64, seed: int = SEED):
+def estimator(key: str, params: Mapping[str, float], rounds: int, max_bins: int = 64, seed: int = SEED,
+              validated: bool = False):
     columns = dict(featuresCol="features", labelCol="label", weightCol="weight")
     if key == "sgd":
-        return LogisticRegression(elasticNetParam=params["l1_ratio"], regParam=params["alpha"], maxIter=min(rounds, LINEAR_STEPS),
+        return LogisticRegression(elasticNetParam=params["l1_ratio"], regParam=params["alpha"], maxIter=rounds,
                                   standardization=False, **columns)
     share = params.get("colsample_bytree", 1.0)
     at_least = params.get("min_child_samples", params.get("min_child_weight", 1))
+    if validated:   # stops at the first tree after which the validation loss is higher than the best so far
+        columns |= dict(validationIndicatorCol="validation", validationTol=0.0)
     return GBTClassifier(
         maxIter=rounds, maxDepth=tree_depth(params), stepSize=params["learning_rate"],
         subsamplingRate=params.get("subsample", 1.0), featureSubsetStrategy="all" if share >= 1 else str(share),
         minInstancesPerNode=max(1, int(at_least)), maxBins=max_bins, seed=seed, **columns)
 
 
-def best_length(losses: list[float], patience: int) -> int:
-    """Rounds to keep: up to the lowest loss seen before ``patience`` rounds without gain."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
 @dataclass
 class Bundle:
     """A fitted recipe and model with what is needed to score a raw batch."""
@@ -101,7 +93,7 @@ class Bundle:
         kept = [c for c in keep if c in df.columns]
         fields = [f for f in self.input_schema.fields if f.name not in kept]
         padded = pad_columns(df, T.StructType([df.schema[c] for c in kept] + fields))
-        ready = model_input(self.recipe, self.recipe.transform(padded, is_train), kept)
+        ready = model_input(self.recipe, self.recipe.transform(padded, is_train, spread=False), kept)
         scored = self.pipeline.transform(ready)
         return scored.select(*kept, vector_to_array("probability")[1].alias("probability"))
 
@@ -115,19 +107,31 @@ class Bundle:
 
 def model_input(recipe: Recipe, df: DataFrame, keep=()) -> DataFrame:
     """Features under plain names f0, f1, ... (category values may hold any character)."""
-    return df.selectExpr(*map(quoted, keep), *[f"{quoted(c)} AS f{i}" for i, c in enumerate(recipe.features())])
+    return df.selectExpr(*map(quoted, keep), *[f"{quoted(c)} AS f{i}" for i, c in enumerate(recipe.inputs())])
 
 
 def _assembly(recipe: Recipe, ready: DataFrame) -> PipelineModel:
-    """Vector assembly; for the indexed recipe texts become nominal codes of the train vocabulary."""
-    names = [f"f{i}" for i in range(len(recipe.features()))]
+    """Vector assembly. Texts get the codes of the train vocabulary; one-hot recipes make sparse vectors of them.
+
+    A text that train did not hold, and the first category where that is dropped, have a code behind all others,
+    which one-hot vectors leave out.
+    """
+    names = [f"f{i}" for i in range(len(recipe.inputs()))]
     stages = []
-    if recipe.kind == "indexed" and recipe.texts():
-        first = len(recipe.numeric())
-        coded = [f"c{i}" for i in range(first, len(names))]
-        stages.append(StringIndexer(inputCols=names[first:], outputCols=coded, stringOrderType="alphabetAsc",
-                                    handleInvalid="keep"))
-        names = names[:first] + coded
+    if recipe.kind != "encoded" and recipe.texts():
+        skip = 1 if recipe.kind == "scaled" else 0
+        labels = {f"f{len(recipe.numeric()) + i}": recipe.vocabularies[c][skip:] for i, c in enumerate(recipe.texts())}
+        labels = {f: v for f, v in labels.items() if v}
+        names = names[:len(recipe.numeric())]
+        if labels:
+            coded = [f"c{f}" for f in labels]
+            stages.append(StringIndexerModel.from_arrays_of_labels(list(labels.values()), list(labels), coded, handleInvalid="keep"))
+            if recipe.kind == "indexed":
+                names += coded
+            else:
+                spread = [f"h{f}" for f in labels]
+                stages.append(OneHotEncoder(inputCols=coded, outputCols=spread, dropLast=True))
+                names += spread
     stages.append(VectorAssembler(inputCols=names, outputCol="features"))
     return Pipeline(stages=stages).fit(ready)
 
@@ -165,7 +169,7 @@ def prepare(key: str, train: DataFrame, val: DataFrame | None = None, label: str
     weight = f"CASE WHEN {quoted(label)} = 1 THEN {number(weights[1])} ELSE {number(weights[0])} END AS weight"
 
     def ready(df, is_train=None):
-        return model_input(recipe, recipe.transform(df, is_train), (id_column, label))
+        return model_input(recipe, recipe.transform(df, is_train, spread=False), (id_column, label))
     ready_train = ready(train, F.lit(True))
     assembly = _assembly(recipe, ready_train)
 
@@ -179,41 +183,47 @@ def prepare(key: str, train: DataFrame, val: DataFrame | None = None, label: str
         T.StructType([f for f in train.schema.fields if f.name not in outside]))
 
 
-def fit_prepared(prepared: Prepared, params: Mapping[str, float] | None = None, rounds: int = ROUNDS,
-                 patience: int = PATIENCE) -> Bundle:
-    """Fit one parameter set. With validation vectors, boosting keeps the length that does best there."""
+def fit_prepared(prepared: Prepared, params: Mapping[str, float] | None = None, rounds: int | None = None) -> Bundle:
+    """Fit one parameter set, once. With validation vectors, boosting stops by the loss there and keeps the best length."""
     key = prepared.key
-    params = {**FAMILIES[key].params, **(params or {})}
-    model = estimator(key, params, rounds, prepared.max_bins).fit(prepared.train)
-    if prepared.val is not None and key != "sgd":
-        keep = best_length(model.evaluateEachIteration(prepared.val), patience)
-        if keep < rounds:   # same seed, so the same first trees
-            model = estimator(key, params, keep, prepared.max_bins).fit(prepared.train)
+    params, rounds = {**FAMILIES[key].params, **(params or {})}, rounds or FAMILIES[key].rounds
+    validated = prepared.val is not None and key != "sgd"
+    rows = prepared.train
+    if validated:
+        rows = rows.withColumn("validation", F.lit(False)).unionByName(prepared.val.withColumn("validation", F.lit(True)))
+    model = estimator(key, params, rounds, prepared.max_bins, validated=validated).fit(rows)
     return Bundle(key, prepared.recipe, PipelineModel(prepared.assembly.stages + [model]), params, prepared.input_schema)
 
 
+def fitted_rounds(bundle: Bundle) -> int | None:
+    """Trees that a boosted model kept."""
+    return getattr(bundle.pipeline.stages[-1], "getNumTrees", None)
+
+
 def fit_family(key: str, train: DataFrame, val: DataFrame | None = None, params: Mapping[str, float] | None = None,
-               rounds: int = ROUNDS, patience: int = PATIENCE, label: str = LABEL, id_column: str = ID) -> Bundle:
-    return fit_prepared(prepare(key, train, val, label, id_column), params, rounds, patience)
+               rounds: int | None = None, label: str = LABEL, id_column: str = ID) -> Bundle:
+    return fit_prepared(prepare(key, train, val, label, id_column), params, rounds)
 
 
-def evaluate_params(prepared: Prepared, params: Mapping[str, float], rounds: int = ROUNDS,
-                    patience: int = PATIENCE) -> float | None:
-    """Validation ROC-AUC of one parameter set; the evaluation rows are never touched."""
-    model = fit_prepared(prepared, params, rounds, patience).pipeline.stages[-1]
+def evaluate_params(prepared: Prepared, params: Mapping[str, float], rounds: int | None = None) -> float | None:
+    """Validation ROC-AUC of one parameter set; the evaluation rows are never touched. None where one class is missing."""
+    model = fit_prepared(prepared, params, rounds).pipeline.stages[-1]
     scored = model.transform(prepared.val).select("label", vector_to_array("probability")[1].alias("probability"))
-    return roc_auc(stage(scored, f"{prepared.key}-scored"), "probability", "label").first()["roc_auc"]
+    spark, path = scored.sparkSession, staged_path(scored.sparkSession, f"{prepared.key}-scored")
+    scored.write.parquet(path)
+    area = roc_auc(spark.read.parquet(path), "probability", "label").first()["roc_auc"]
+    unstage(spark, path)
+    return area
 
 
-def validation_objective(train: DataFrame, val: DataFrame, rounds: int = ROUNDS, patience: int = PATIENCE,
-                         label: str = LABEL):
+def validation_objective(train: DataFrame, val: DataFrame, rounds: int | None = None, label: str = LABEL):
     """(family key, params) -> validation ROC-AUC; each family is prepared at its first trial."""
     prepared: dict[str, Prepared] = {}
 
     def objective(key: str, params: Mapping[str, float]) -> float | None:
         if key not in prepared:
             prepared[key] = prepare(key, train, val, label)
-        return evaluate_params(prepared[key], params, rounds, patience)
+        return evaluate_params(prepared[key], params, rounds)
     return objective
 
 
@@ -257,7 +267,7 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
 
 
 def train_final(df: DataFrame, path: str, params: Mapping[str, float] | None = None, key: str = "catbc",
-                rounds: int = ROUNDS, baseline=(None, None), source_data: str = "", label: str = LABEL) -> Bundle:
+                rounds: int | None = None, baseline=(None, None), source_data: str = "", label: str = LABEL) -> Bundle:
     """Refit one family on all rows and save it with its metadata."""
     rows = df.where(F.col(label).isNotNull())
     bundle = fit_family(key, rows, None, params, rounds, label=label)
@@ -266,7 +276,7 @@ def train_final(df: DataFrame, path: str, params: Mapping[str, float] | None = N
     return bundle
 
 
-def train_baselines(split_rows: DataFrame, rounds: int = ROUNDS, patience: int = PATIENCE, label: str = LABEL,
+def train_baselines(split_rows: DataFrame, rounds: int | None = None, label: str = LABEL,
                     folder: str | None = None) -> tuple[DataFrame, dict[str, Bundle]]:
     """Fit the four families on train (length chosen on val) and score the evaluation split.
 
@@ -278,7 +288,7 @@ def train_baselines(split_rows: DataFrame, rounds: int = ROUNDS, patience: int =
     scored, bundles, trained = None, {}, train.count()
     fills = fit_fills(train, label)
     for key, family in FAMILIES.items():   # each fit spreads over the whole cluster
-        bundle = fit_prepared(prepare(key, train, val, label, fills=fills), None, rounds, patience)
+        bundle = fit_prepared(prepare(key, train, val, label, fills=fills), None, rounds)
         bundle.metadata = bundle_metadata(bundle, trained)
         if folder:
             save_bundle(spark, bundle, f"{folder}/{key}")

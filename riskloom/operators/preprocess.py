@@ -10,6 +10,7 @@ import sys
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +20,6 @@ from ..functions.sqltext import number, quoted, text
 from ..session import stage
 from .split import split_hash
 
-MAX_CATEGORIES = 10_000
 SCALE_RANGE = (0.0025, 0.0075)   # as the original scales: 0.25 to 0.75 percent; quartiles are (0.25, 0.75)
 
 
@@ -55,18 +55,12 @@ def fit_scales(df: DataFrame, columns: Sequence[str], span=SCALE_RANGE) -> dict[
     return scales
 
 
-def fit_vocabularies(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted distinct texts per column. A column with more than ``limit`` is refused: it can
-    be neither one column per value nor a literal list; encode it by target means instead."""
+def fit_vocabularies(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct texts per column; each goes into the fitted recipe, as in any encoder with one code per text."""
     if not columns:
         return {}
-    values = _text_cells(df, columns).distinct()
-    sizes = {r["feature"]: r["n"] for r in values.groupBy("feature").agg(F.count("*").alias("n")).collect()}
-    wide = [c for c, n in sizes.items() if n > limit]
-    if wide:
-        raise ValueError(f"more than {limit} categories: {', '.join(sorted(wide))}")
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in values.collect():
+    for row in _text_cells(df, columns).distinct().collect():
         found[row["feature"]].append(row["value"])
     return {c: sorted(v) for c, v in found.items()}
 
@@ -105,10 +99,13 @@ def one_hot(df: DataFrame, vocabularies: dict[str, list[str]], drop_first: bool
 
 def category_codes(df: DataFrame, vocabularies: dict[str, list[str]]) -> DataFrame:
     """Replace texts by their place in the train vocabulary; an unseen text becomes NULL."""
-    def code(c, values):
-        listed = f"CAST(array({', '.join(map(text, values))}) AS array<string>)"
-        return f"CAST(nullif(array_position({listed}, {quoted(c)}), 0) - 1 AS INT)"
-    return replace_columns(df, {c: code(c, v) for c, v in vocabularies.items()})
+    known = {c: v for c, v in vocabularies.items() if v}
+    if known:
+        coded = [f"__code_{i}" for i in range(len(known))]
+        indexer = StringIndexerModel.from_arrays_of_labels(list(known.values()), list(known), coded, handleInvalid="keep")
+        df = indexer.transform(df)
+    places = {c: f"CAST(CASE WHEN __code_{i} < {len(v)} THEN __code_{i} END AS INT)" for i, (c, v) in enumerate(known.items())}
+    return replace_columns(df, {**{c: "CAST(NULL AS INT)" for c in vocabularies}, **places}, [f"__code_{i}" for i in range(len(known))])
 
 
 def fold_of(key: str, folds: int, seed: int = 42) -> Column:
@@ -132,9 +129,8 @@ def target_encode(df: DataFrame, means: DataFrame, columns: Sequence[str], prior
     """
     encoded = df.withColumn("_fold", F.when(is_train, fold_of(key, folds)) if is_train is not None
                             else F.lit(None).cast("int"))
-    small = means.select("feature", "value").distinct().count() <= MAX_CATEGORIES
-    # a big table is written first: adaptive execution can then split a hot category
-    means = means if small else stage(means, "target-means")
+    # written first: Spark then knows its size, and adaptive execution can split a hot category of a big one
+    means = stage(means, "target-means")
     for c in columns:
         by_fold = F.map_from_entries(F.collect_list(F.struct("fold", F.struct("total", "n"))))   # <= folds entries
         stats = means.where(F.col("feature") == c).groupBy(F.col("value").alias(c)).agg(
@@ -142,7 +138,7 @@ def target_encode(df: DataFrame, means: DataFrame, columns: Sequence[str], prior
         own = "try_element_at(_folds, _fold)"
         mean = (f"try_divide(_total - coalesce({own}.total, 0) + {number(smoothing * prior)}, "
                 f"_n - coalesce({own}.n, 0) + {number(smoothing)})")
-        joined = encoded.join(F.broadcast(stats) if small else stage(stats, "target-means"), c, "left")
+        joined = encoded.join(stats, c, "left")
         encoded = replace_columns(joined, {c: f"coalesce({mean}, {number(prior)})"}, ["_total", "_n", "_folds"])
     return encoded.drop("_fold")
 
@@ -196,12 +192,17 @@ class Recipe:
             return self.numeric() + [f"{c}_{v}" for c in self.texts() for v in self.vocabularies[c][skip:]]
         return self.numeric() + self.texts()
 
-    def transform(self, df: DataFrame, is_train: Column | None = None) -> DataFrame:
+    def inputs(self) -> list[str]:
+        """Columns that ``transform`` leaves when texts are not spread over columns."""
+        return self.numeric() + self.texts()
+
+    def transform(self, df: DataFrame, is_train: Column | None = None, spread: bool = True) -> DataFrame:
+        """Apply the recipe; with ``spread`` false texts stay for an encoder that makes sparse vectors of them."""
         spark = df.sparkSession
         df = impute_mode(impute_median(df, self.medians), self.modes)
         if self.kind == "scaled":
             df = robust_scale(df, self.scales)
-        if self.kind in ("scaled", "onehot"):
+        if spread and self.kind in ("scaled", "onehot"):
             return one_hot(df, {c: self.vocabularies[c] for c in self.texts()}, drop_first=self.kind == "scaled")
         if self.kind == "encoded" and self.texts():
             return target_encode(df, spark.read.parquet(self.means_path), self.texts(), self.prior, is_train)

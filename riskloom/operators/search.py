@@ -57,7 +57,8 @@ def search(spark: SparkSession, families: Sequence[str], objective: Callable[[st
             if (key, trial) in done:
                 continue
             params = sample_params(key, trial, seed)
-            row = (key, trial, json.dumps(params, sort_keys=True), float(objective(key, params)))
+            value = objective(key, params)
+            row = (key, trial, json.dumps(params, sort_keys=True), None if value is None else float(value))
             spark.createDataFrame([row], TRIALS).coalesce(1).write.mode("append").parquet(path)
     return read_trials(spark, path)
 

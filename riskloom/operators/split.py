@@ -16,9 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.selectors import ID, LABEL
 
 SPLITS = ("train", "val", "eval")
-MAX_LABELS = 100
 _STEP = 3          # hex digits per look-up round: 4096 prefixes
-_SMALL = 10_000    # rows under one prefix that may be listed
 
 
 def split_hash(key: str, seed: int) -> Column:
@@ -46,48 +44,48 @@ def split_sizes(counts: dict, holdout: float = 0.30, eval_share: float = 0.50) -
 
 
 def _label_counts(df: DataFrame, label: str) -> dict:
-    rows = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"{label} has more than {MAX_LABELS} values")
+    """Rows by label; one entry per class."""
+    rows = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).collect()
     return {r[label]: r["n"] for r in rows}
 
 
 def _find_cuts(keys: DataFrame, wanted: set) -> dict:
-    """{(label, k): (hash, id)} of the k-th row of each label, in (hash, id) order."""
+    """{(label, k): (hash, id)} of the k-th row of each label, in (hash, id) order.
+
+    Every round counts the rows by a longer prefix of the hash; it ends when a single row is left under each.
+    """
+    spark, kind = keys.sparkSession, keys.schema["label"].dataType.simpleString()
     open_cuts = {cut: ("", cut[1]) for cut in wanted}   # prefix so far, rank below it
-    length = 0
-    while True:
-        length += _STEP
-        here = reduce(lambda a, b: a | b, [
-            (F.col("label") == lab) & F.col("hash").startswith(p) for (lab, _), (p, _) in open_cuts.items()])
-        counted = (keys.where(here).groupBy("label", F.substring("hash", 1, length).alias("prefix"))
-                   .agg(F.count("*").alias("n")).collect())
-        biggest = 0
+    for length in [*range(_STEP, 32, _STEP), 32]:
+        asked = spark.createDataFrame(sorted({(lab, p) for (lab, _), (p, _) in open_cuts.items()}, key=str),
+                                      f"asked_label {kind}, asked string")
+        here = (F.col("label") == F.col("asked_label")) & F.col("hash").startswith(F.col("asked"))
+        counted = keys.join(F.broadcast(asked), here).groupBy(
+            "label", "asked", F.substring("hash", 1, length).alias("prefix")).agg(
+                F.count("*").alias("n"), F.min("hash").alias("hash"), F.min("id").alias("id")).collect()
+        under: dict = {}
+        for row in sorted(counted, key=lambda r: r["prefix"]):
+            under.setdefault((row["label"], row["asked"]), []).append(row)
+        cuts = {}
         for (lab, k), (prefix, rank) in open_cuts.items():
-            for row in sorted((r for r in counted if r["label"] == lab and r["prefix"].startswith(prefix)),
-                              key=lambda r: r["prefix"]):
+            for row in under[lab, prefix]:
                 if rank <= row["n"]:
                     open_cuts[lab, k] = (row["prefix"], rank)
-                    biggest = max(biggest, row["n"])
+                    if row["n"] == 1:
+                        cuts[lab, k] = (row["hash"], row["id"])
                     break
                 rank -= row["n"]
-        if biggest <= _SMALL:
-            break
-        if length >= 32:
-            raise ValueError("the split id is not unique")
-    here = reduce(lambda a, b: a | b, [
-        (F.col("label") == lab) & F.col("hash").startswith(p) for (lab, _), (p, _) in open_cuts.items()])
-    listed = keys.where(here).collect()   # at most _SMALL rows per cut
-    cuts = {}
-    for (lab, k), (prefix, rank) in open_cuts.items():
-        under = sorted((r["hash"], r["id"]) for r in listed if r["label"] == lab and r["hash"].startswith(prefix))
-        cuts[lab, k] = under[rank - 1]
-    return cuts
+        if len(cuts) == len(open_cuts):
+            return cuts
+    raise ValueError("the split id is not unique")
 
 
 def stratified_split(df: DataFrame, key: str = ID, label: str = LABEL, holdout: float = 0.30,
                      eval_share: float = 0.50, seed: int = 42) -> DataFrame:
-    """Add ``split``: class shares kept to within one row, sizes exact. ``key`` must be unique."""
+    """Add ``split``: class shares kept to within one row, sizes exact. ``key`` must be unique.
+
+    A row without a label belongs to no split (NULL): it can neither train nor be evaluated.
+    """
     sizes = split_sizes(_label_counts(df, label), holdout, eval_share)
     hashed = split_hash(key, seed)
     ends = {lab: (train, train + val) for lab, (train, val, _) in sizes.items()}

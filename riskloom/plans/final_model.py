@@ -8,12 +8,12 @@ from __future__ import annotations
 import argparse
 
 from ..operators.metrics import top_models
-from ..operators.models import ROUNDS, train_final
+from ..operators.models import train_final
 from ..operators.search import best_params, read_trials
 from ..session import get_session
 
 
-def run(spark, clean: str, artifacts: str, family: str = "catbc", rounds: int = ROUNDS) -> None:
+def run(spark, clean: str, artifacts: str, family: str = "catbc", rounds: int | None = None) -> None:
     """Tuned parameters of the family are used when there are any."""
     source = f"{clean}/final_train_cleaned"
     tuned = best_params(read_trials(spark, f"{artifacts}/trials")).get(family, {}).get("params")
@@ -27,7 +27,7 @@ def main(argv=None):
     parser.add_argument("--clean", required=True)
     parser.add_argument("--artifacts", required=True)
     parser.add_argument("--family", default="catbc", choices=("sgd", "xgb", "lgbm", "catbc"))
-    parser.add_argument("--rounds", type=int, default=ROUNDS)
+    parser.add_argument("--rounds", type=int)
     args = parser.parse_args(argv)
     run(get_session("final_model"), args.clean, args.artifacts, args.family, args.rounds)
 

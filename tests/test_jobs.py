@@ -43,7 +43,7 @@ def test_profile(spark, chain):
 
 def test_train_tune_refit_score(spark, chain, tmp_path):
     artifacts = chain["artifacts"]
-    train_models.run(spark, chain["clean"], artifacts, rounds=2, patience=2)
+    train_models.run(spark, chain["clean"], artifacts, rounds=2)
     results = spark.read.parquet(f"{artifacts}/baseline_results")
     assert results.count() == 4 and results.where("roc_auc BETWEEN 0 AND 1").count() == 4
 
@@ -54,7 +54,7 @@ def test_train_tune_refit_score(spark, chain, tmp_path):
     score_batch.run(spark, artifacts, batch, f"{tmp_path}/first")       # best baseline
     assert spark.read.parquet(f"{tmp_path}/first").count() == 100
 
-    tune_models.run(spark, artifacts, trials=1, rounds=2, patience=2)
+    tune_models.run(spark, artifacts, trials=1, rounds=2)
     assert spark.read.parquet(f"{artifacts}/best_params").where("winner").count() == 1
     final_model.run(spark, chain["clean"], artifacts, rounds=2)
     metadata = spark.read.parquet(f"{artifacts}/final/metadata").first()

@@ -17,9 +17,9 @@ def brute_split(rows, seed=42):
     return out
 
 
-@pytest.mark.parametrize("small", [10_000, 3])
-def test_split_is_exact_and_independent_of_layout(spark, monkeypatch, small):
-    monkeypatch.setattr(split, "_SMALL", small)    # 3: several look-up rounds
+@pytest.mark.parametrize("step", [3, 1])
+def test_split_is_exact_and_independent_of_layout(spark, monkeypatch, step):
+    monkeypatch.setattr(split, "_STEP", step)
     rows = [(i, int(i % 11 == 0)) for i in range(1999)]
     df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int")
     got = {r["SK_ID_CURR"]: r["split"] for r in split.stratified_split(df.repartition(5)).collect()}
@@ -35,8 +35,13 @@ def test_split_sizes():
     assert split.split_sizes({0: 3, 1: 1}) and sum(sum(s) for s in split.split_sizes({0: 3, 1: 1}).values()) == 4
 
 
-def test_repeated_id_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(split, "_SMALL", 2)
+def test_split_of_many_labels(spark):
+    rows = [(i, i % 150) for i in range(3000)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int")
+    assert {r["SK_ID_CURR"]: r["split"] for r in split.stratified_split(df).collect()} == brute_split(rows)
+
+
+def test_repeated_id_is_refused(spark):
     df = spark.createDataFrame([(7, 0)] * 50, "SK_ID_CURR long, TARGET int")
     with pytest.raises(ValueError, match="unique"):
         split.stratified_split(df)
@@ -74,13 +79,17 @@ def test_encodings(spark):
     assert [tuple(r) for r in hot.collect()] == [(1, 1, 0, 0), (2, 0, 0, 1), (3, 0, 0, 0)]
     assert preprocess.one_hot(rows, words, drop_first=True).columns == ["k", "s_b", "s_it's"]
     assert [r["s"] for r in preprocess.category_codes(rows, words).collect()] == [0, 2, None]
-    with pytest.raises(ValueError, match="categories"):
-        preprocess.fit_vocabularies(train, ["s"], limit=2)
 
 
-@pytest.mark.parametrize("broadcast_limit", [10_000, 0])
-def test_target_encoding_leaves_out_the_own_fold(spark, monkeypatch, broadcast_limit):
-    monkeypatch.setattr(preprocess, "MAX_CATEGORIES", broadcast_limit)
+def test_codes_of_many_categories(spark):
+    many = spark.range(20_000).selectExpr("concat('v', id) AS s", "id")
+    words = preprocess.fit_vocabularies(many, ["s"])
+    assert len(words["s"]) == 20_000
+    got = preprocess.category_codes(many, words).collect()
+    assert all(words["s"][r["s"]] == f"v{r['id']}" for r in got)
+
+
+def test_target_encoding_leaves_out_the_own_fold(spark):
     rows = [(i, int(i % 3 == 0), "ab"[i % 2], i < 40) for i in range(60)]
     df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, s string, in_train boolean")
     train = df.where("in_train")
