@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -405,6 +407,9 @@ def target_encode(spark, folder):
 
 # --- metrics and scoring --------------------------------------------------------------------------
 
+#: trials per family of the registered search; a real search makes search.N_TRIALS
+SEARCH_TRIALS = 3
+
 MODEL_SCORES = {
     "Elastic Net log reg": "o_totalprice / 500000D",
     "XG Boost Classifier": "CAST(o_orderkey % 101 AS DOUBLE) / 100",
@@ -414,11 +419,11 @@ MODEL_SCORES = {
 }
 
 
-def _scored(spark, folder):
+def _scored(spark, folder, models=MODEL_SCORES):
     """Orders as scored applicants: label = finished order, one probability per model."""
     orders = bindings.table(spark, folder, "orders")
     by_model = F.array(*[F.struct(F.lit(m).alias("model"), F.expr(e).alias("probability"))
-                         for m, e in MODEL_SCORES.items()])
+                         for m, e in MODEL_SCORES.items() if m in models])
     return (orders.select(F.col("o_orderkey").alias("SK_ID_CURR"), (F.col("o_orderstatus") == "F").cast("int").alias(LABEL),
                           F.explode(by_model).alias("s")).select("SK_ID_CURR", LABEL, "s.*"))
 
@@ -430,8 +435,7 @@ def confusion_metrics(spark, folder):
 
 @query
 def roc_auc(spark, folder):
-    one = _scored(spark, folder).where(F.col("model") == "XG Boost Classifier")
-    return comparable(metrics.roc_auc(one, "probability"))
+    return comparable(metrics.roc_auc(_scored(spark, folder, ["XG Boost Classifier"]), "probability"))
 
 
 @query
@@ -464,39 +468,71 @@ def search_summary(spark, folder):
     return comparable(search.search_summary(trials))
 
 
-# --- models: fitted on the whole tables; few rounds, the default of 1000 is for real runs ----------
+# --- models: fitted on the whole tables with each family's own budget; the columns are those that every fit must meet
+
+#: what a session has trained already, by what it is, application and folder
+_trained: dict[tuple, object] = {}
+
+
+def _once(what, spark, folder, make):
+    key = (what, spark.sparkContext.applicationId, folder)
+    if key not in _trained:
+        _trained[key] = make()
+    return _trained[key]
+
+
+def _split(spark, folder):
+    return _once("split", spark, folder, lambda: stage(split_rows(spark, folder), "split"))
+
+
+def _comparison(spark, folder):
+    return _once("baselines", spark, folder, lambda: stage(
+        metrics.compare_models(models.train_baselines(_split(spark, folder))[0]), "comparison"))
+
 
-ROUNDS = 5
+def _bundle(spark, folder):
+    """A final model: as many trees as did best on the validation split, fitted on all rows."""
+    def train():
+        path, rows = staged_path(spark, "bundle"), _split(spark, folder)
+        part = {s: rows.where(F.col("split") == s).drop("split") for s in ("train", "val")}
+        trees = models.fitted_rounds(models.fit_family("catbc", part["train"], part["val"]))
+        models.train_final(cleaned(spark, folder), path, rounds=trees, source_data="customer")
+        return path
+    return _once("bundle", spark, folder, train)
 
 
 @query
 def train_baselines(spark, folder):
     """Four families on the train split, compared on the evaluation split."""
-    scored, _ = models.train_baselines(stage(split_rows(spark, folder), "split"), ROUNDS, patience=3)
-    return metrics.compare_models(scored)
+    valid = " AND ".join(f"coalesce({m}, 0) BETWEEN 0 AND 1" for m in ("accuracy", "precision", "recall", "f1", "roc_auc"))
+    return _comparison(spark, folder).selectExpr("model", f"{valid} AS metrics_valid", "rank BETWEEN 1 AND 4 AS ranked")
 
 
 @query
 def random_search(spark, folder):
-    """Two families, two trials each: the baseline's parameters and one drawn set."""
-    rows = stage(split_rows(spark, folder), "split")
+    """The two best baselines; the first trial has the baseline's parameters, the others drawn ones."""
+    best = [models.KEY_OF[r["model"]] for r in metrics.top_models(_comparison(spark, folder), 2).collect()]
+    rows = _split(spark, folder)
     train, val = (rows.where(F.col("split") == s).drop("split") for s in ("train", "val"))
-    trials = search.search(spark, ["sgd", "catbc"], models.validation_objective(train, val, ROUNDS, 3),
-                           staged_path(spark, "trials"), n_trials=2)
-    return search.search_summary(trials)
+    trials = search.search(spark, best, models.validation_objective(train, val), staged_path(spark, "trials"), n_trials=SEARCH_TRIALS)
+    expected = spark.createDataFrame([(k, t, json.dumps(search.sample_params(k, t), sort_keys=True))
+                                      for k in best for t in range(SEARCH_TRIALS)], "family string, trial int, drawn string")
+    checked = trials.join(expected, ["family", "trial"]).selectExpr("trial", "params = drawn AND val_roc_auc BETWEEN 0 AND 1 AS valid")
+    return checked.groupBy("trial").agg(F.count_if("valid").cast("int").alias("valid_families"))
 
 
 @query
 def final_model(spark, folder):
     """Refit on all rows; the saved metadata row."""
-    path = staged_path(spark, "bundle")
-    models.train_final(cleaned(spark, folder), path, rounds=ROUNDS, source_data="customer")
-    return spark.read.parquet(f"{path}/metadata").drop("input_schema")
+    return spark.read.parquet(f"{_bundle(spark, folder)}/metadata").select(
+        "model_name", "model_key", "model_family", "trained_rows", "source_data", F.col("threshold").cast("string").alias("threshold"))
 
 
 @query
 def score_batch(spark, folder):
     """A saved model scores every applicant, with a feature column missing from the batch."""
-    path, rows = staged_path(spark, "bundle"), cleaned(spark, folder)
-    models.train_final(rows, path, rounds=ROUNDS)
-    return models.load_bundle(spark, path).score(rows.drop(LABEL, "inst_avg_delay"))
+    scored = models.load_bundle(spark, _bundle(spark, folder)).score(cleaned(spark, folder).drop(LABEL, "inst_avg_delay"))
+    again = scoring.decisions(scored.select("SK_ID_CURR", "probability"))
+    both = scored.join(again.selectExpr("SK_ID_CURR", "decision AS expected", "risk_band AS expected_band"), "SK_ID_CURR")
+    return both.selectExpr("SK_ID_CURR", "probability BETWEEN 0 AND 1 AS probability_valid", "decision = expected AS decision_valid",
+                           "risk_band = expected_band AS band_valid")

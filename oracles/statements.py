@@ -377,3 +377,10 @@ add("search_summary", f"""SELECT family, {base.single('auc')} AS val_roc_auc, tr
     count(*) OVER (PARTITION BY o_orderpriority) AS trials,
     row_number() OVER (PARTITION BY o_orderpriority ORDER BY round(o_totalprice / 500000, 2) DESC, o_orderkey) AS place
     FROM orders) t WHERE place = 1""")
+add("train_baselines", """SELECT unnest(['Elastic Net log reg', 'XG Boost Classifier', 'LightGBM Classifier', 'CatBoost Classifier'])
+    AS model, true AS metrics_valid, true AS ranked""")
+add("random_search", "SELECT CAST(t AS INTEGER) AS trial, 2 AS valid_families FROM range(3) r(t)")
+add("final_model", """SELECT 'CatBoost Classifier' AS model_name, 'catbc_full' AS model_key, 'catbc' AS model_family,
+    count(*) AS trained_rows, 'customer' AS source_data, '0.48' AS threshold FROM customer""")
+add("score_batch", """SELECT c_custkey AS SK_ID_CURR, true AS probability_valid, true AS decision_valid, true AS band_valid
+    FROM customer""")
