@@ -20,7 +20,8 @@ from riskloom.llm.textbytes import BLANK, pieces, words
 ACCEPT = 0.7
 #: cosine features, ridge penalty for each training row, folds of the calibration, kernel width per statistic
 FEATURES, PENALTY, FOLDS, WIDTH = 256, 1e-3, 5, 1.0
-#: labelled rows that a fit reads at most (those with the smallest id hashes), and tasks that sum them
+#: labelled rows that a fit reads at most (those with the smallest id hashes), and tasks that sum them: each gives
+#: FOLDS * FEATURES**2 numbers, so there are few however many partitions the cluster has
 FIT_ROWS, FIT_TASKS = 20_000, 8
 
 STATISTICS = [
@@ -185,8 +186,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: st
     is bounded by ``fit_rows`` and FEATURES. Without labels the score is 1, with a single label it is that one.
     """
     small_batches(docs.sparkSession)
-    rows = _training(docs, labels, fit_rows, id_col, text_col).repartition(FIT_TASKS, "doc_id")
-    train = rows.persist()
+    rows = _training(docs, labels, fit_rows, id_col, text_col).repartition(FIT_TASKS)
+    train = rows.persist()  # at most fit_rows rows of numbers
     try:
         k = len(STATISTICS)
         aggregates = [f(F.get("stats", F.lit(i))) for i in range(k) for f in (F.avg, F.stddev_pop)]
