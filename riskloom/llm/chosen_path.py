@@ -10,14 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import NO_ID, noted, small_batches, table, whole_text, written
+from riskloom.llm.common import NO_ID, Scratch, release, small_batches, table, whole_text, written
 from riskloom.llm.graph import components
 from riskloom.llm.textbytes import RangeHash, lower, mix64, pieces, random_words, words
+from riskloom.session import staged_path, unstage
 
 #: minwise functions, trees, and functions that a tree begins after those of the tree before it
 FUNCTIONS, TREES, STRIDE = 60, 10, 6
-#: branchings before nodes are looked at, branchings at most, and documents of a node that is compared in full
-FIRST, DEPTH, LEAF = 2, 30, 16
+#: branchings before nodes are looked at, branchings at most, and strays of a node that is compared in full
+FIRST, DEPTH, LEAF = 2, 30, 64
 #: pairs whose signatures agree by this many standard deviations less than a link would are not looked at
 LENIENCE = 4.5
 
@@ -113,72 +114,135 @@ def _token(tree: Column, level: int) -> Column:
     return F.get("sig", F.pmod(tree * STRIDE + level, F.lit(FUNCTIONS)))
 
 
-def _grow(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(star pairs, leaf pairs) of all trees: a, b.
-
-    A node is a path of minwise tokens. Documents of a node of 2..LEAF are compared with each other; a larger
-    node compares its documents with its smallest one, which is linear, and branches further. A node that is
-    still large after DEPTH branchings holds documents that agree in 30 minwise tokens; there each is also
-    compared with the next one in order of the id, and the trees differ in the rest.
-    """
-    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    tree = F.col("tree")
-    path = F.xxhash64(tree, *[_token(tree, level) for level in range(FIRST)])
-    at = signed.withColumn("tree", trees).select("tree", "key", path.alias("node"))
-    stars, leaves = [], []
-    level = FIRST
-    while True:
-        # the sizes are summed where the documents lie; of nodes with one document nothing is left
-        sizes = at.groupBy("node").agg(F.count("*").alias("size"), F.min("key").alias("least")).where("size > 1")
-        placed = noted(at.join(sizes.withColumnRenamed("node", "of"), F.col("node") == F.col("of")).select(
-            "tree", "key", "node", "size", "least"), "paths")
-        stars.append(placed.where("key != least").select(F.col("least").alias("a"), F.col("key").alias("b")))
-        small = placed.where(f"size between 3 and {LEAF}")
-        other = small.select(F.col("node").alias("of"), F.col("key").alias("b"))
-        leaves.append(small.join(other, (F.col("node") == F.col("of")) & (F.col("key") < F.col("b"))).select(
-            F.col("key").alias("a"), "b"))
-        large = placed.where(F.col("size") > LEAF)
-        if large.isEmpty():
-            break
-        if level == DEPTH:
-            after = large.select("node", F.col("key").alias("b"))
-            leaves.append(large.join(after, "node").where("b > key").groupBy("node", "key").agg(F.min("b").alias("b"))
-                          .select(F.col("key").alias("a"), "b"))
-            break
-        at = large.join(signed.select(F.col("key").alias("own"), "sig"), F.col("key") == F.col("own")).select(
-            "tree", "key", F.xxhash64("node", _token(tree, level)).alias("node"))
-        level += 1
-
-    def union(parts: list[DataFrame]) -> DataFrame:
-        every = parts[0]
-        for part in parts[1:]:
-            every = every.union(part)
-        return every.distinct()
-
-    return union(stars), union(leaves)
+def _with_component(rows: DataFrame, group: DataFrame | None) -> DataFrame:
+    """``rows`` with the component that their document has by now; one without a link is a component of its own."""
+    if group is None:
+        return rows.withColumn("component", F.col("key"))
+    known = group.select(F.col("node").alias("linked"), F.col("component").alias("of_linked"))
+    return rows.join(known, F.col("key") == F.col("linked"), "left").withColumn(
+        "component", F.coalesce("of_linked", "key")).drop("linked", "of_linked")
 
 
-def _plausible(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
-    """Pairs that can be links by their sizes and, up to LENIENCE standard deviations, by their signatures."""
+def _similar(percent: int) -> Column:
+    """Whether a pair (n_a, sig_a, n_b, sig_b) can be a link by its sizes and, up to LENIENCE standard deviations, by
+    its signatures."""
     share = percent / 100
     least = FUNCTIONS * share - LENIENCE * (FUNCTIONS * share * (1 - share)) ** 0.5
-    left = signed.select(F.col("key").alias("left"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
-    right = signed.select(F.col("key").alias("right"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
     agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda same: same))
-    return pairs.join(left, F.col("a") == F.col("left")).join(right, F.col("b") == F.col("right")).where(
-        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (agree >= least)).select("a", "b", "n_a", "n_b")
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return sizes & (agree >= least)
+
+
+def _side(rows: DataFrame, side: str, *columns: str) -> DataFrame:
+    return rows.select(*[F.col(c).alias(f"{c}_{side}") for c in columns])
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
+    """The pairs (key_a, key_b) whose full sets are similar enough, as (a, b)."""
     left = sets.select(F.col("key").alias("left"), F.col("members").alias("of_a"))
     right = sets.select(F.col("key").alias("right"), F.col("members").alias("of_b"))
     common = F.size(F.array_intersect("of_a", "of_b"))
-    both = pairs.join(left, F.col("a") == F.col("left")).join(right, F.col("b") == F.col("right")).select(
-        "a", "b", common.alias("common"), (F.col("n_a") + F.col("n_b")).alias("total"))
+    both = pairs.join(left, F.col("key_a") == F.col("left")).join(right, F.col("key_b") == F.col("right")).select(
+        F.col("key_a").alias("a"), F.col("key_b").alias("b"), common.alias("common"),
+        (F.size("of_a") + F.size("of_b")).alias("total"))
     return both.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
 
 
+class _Links:
+    """The links found so far, written as they come, and the components that they make."""
+
+    def __init__(self, spark: SparkSession, sets: DataFrame, percent: int) -> None:
+        self.spark, self.sets, self.percent = spark, sets, percent
+        self.paths: list[str] = []
+        self.group: DataFrame | None = None
+
+    def confirm(self, pairs: DataFrame, scratch: Scratch) -> None:
+        path = staged_path(self.spark, "links")
+        _links(scratch.keep(pairs, "pairs"), self.sets, self.percent).write.parquet(path)
+        every = self.spark.read.schema("a long, b long").parquet(*self.paths, path)
+        if self.spark.read.schema("a long, b long").parquet(path).isEmpty():
+            return
+        self.paths.append(path)
+        self.group = components(every)
+
+
+def _grow(signed: DataFrame, sets_of, percent: int) -> DataFrame | None:
+    """The components (node, component) that chosen-path trees find among ``signed``; None without a link.
+
+    A node is a path of minwise tokens. In each node every document is first compared with one of them, that with the
+    most copies, which is linear. What then lies in the node outside its largest component are strays. With up to LEAF
+    strays each is compared with all documents of other components in the node, so nothing in it is left out; a node
+    with more strays branches by one more token. A node of one component is done. Only few nodes live on for long, so
+    the levels get small; one with more strays after DEPTH tokens, of which all its documents share every one, is dealt
+    by hash into parts of about LEAF documents, which are compared in full.
+    """
+    spark = signed.sparkSession
+    tree, level, links, left_over = F.col("tree"), FIRST, None, []
+    path = F.xxhash64(tree, *[_token(tree, level) for level in range(FIRST)])
+    at = signed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))).select("tree", "key", path.alias("node"))
+    slim = signed.select(F.col("key").alias("own"), "n", "sig")
+    counted = signed.select(F.col("key").alias("own"), "copies")
+    scratch = Scratch(spark)
+    while True:
+        before = list(scratch.paths)
+        # sizes are summed where the documents lie and written, so that the join can split a large node
+        sizes = scratch.keep(at.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").select(F.col("node").alias("of")), "sizes")
+        placed = scratch.keep(at.join(sizes, F.col("node") == F.col("of"), "left_semi"), "paths")
+        scratch.forget(before)  # all that the level before has left is in ``placed``
+        if links is None:
+            links = _Links(spark, sets_of(placed.select("key").distinct()), percent)
+        members = _with_component(placed, links.group).join(counted, F.col("key") == F.col("own")).drop("own")
+        order = F.struct("copies", -F.col("key"))
+        hubs = members.groupBy(F.col("node").alias("of")).agg(F.max_by("key", order).alias("hub"), F.max_by("component", order).alias("of_hub"))
+        rays = members.join(scratch.keep(hubs, "hubs"), F.col("node") == F.col("of")).where(
+            F.col("component") != F.col("of_hub")).select("hub", "key").distinct()
+        ends = rays.join(_side(slim, "a", "own", "n", "sig"), F.col("hub") == F.col("own_a")).join(
+            _side(slim, "b", "own", "n", "sig"), (F.col("key") == F.col("own_b")) & _similar(percent))
+        links.confirm(ends.select(F.col("own_a").alias("key_a"), F.col("own_b").alias("key_b")), scratch)
+
+        members = scratch.keep(_with_component(placed, links.group), "members")
+        parts = members.groupBy("node", "component").agg(F.count("*").alias("part"))
+        state = scratch.keep(parts.groupBy(F.col("node").alias("of")).agg(
+            F.sum("part").alias("size"), (F.sum("part") - F.max("part")).alias("strays"), F.max_by("component", "part").alias("main"))
+            .where("strays > 0"), "nodes")
+        opened = scratch.keep(members.join(state, F.col("node") == F.col("of")).drop("of").join(
+            slim, F.col("key") == F.col("own")).drop("own"), "open-members")
+        small = opened.where(F.col("strays") <= LEAF)
+        strays = _side(small.where("component != main"), "a", "node", "key", "component", "n", "sig")
+        others = _side(small, "b", "node", "key", "component", "main", "n", "sig")
+        # two strays meet once
+        apart = (F.col("component_a") != F.col("component_b")) & ((F.col("component_b") == F.col("main_b")) | (F.col("key_a") < F.col("key_b")))
+        out = staged_path(spark, "leaf-pairs")
+        strays.join(others, (F.col("node_a") == F.col("node_b")) & apart & _similar(percent)).select(
+            "key_a", "key_b").distinct().write.parquet(out)
+        left_over.append(out)
+        large = opened.where(F.col("strays") > LEAF)
+        if large.isEmpty():
+            break
+        if level == DEPTH:
+            block = F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / LEAF))
+            dealt = large.withColumn("block", block)
+            out = staged_path(spark, "leaf-pairs")
+            _side(dealt, "a", "node", "block", "key").join(_side(dealt, "b", "node", "block", "key"), (
+                F.col("node_a") == F.col("node_b")) & (F.col("block_a") == F.col("block_b")) & (F.col("key_a") < F.col("key_b"))).select(
+                "key_a", "key_b").distinct().write.parquet(out)
+            left_over.append(out)
+            break
+        at = large.select("tree", "key", F.xxhash64("node", _token(tree, level)).alias("node"))
+        level += 1
+    pairs = spark.read.schema("key_a long, key_b long").parquet(*left_over).distinct()
+    if links.group is not None:
+        group = links.group.select(F.col("node"), F.col("component").alias("of_node"))
+        for side in ("a", "b"):
+            pairs = pairs.join(_side(group, side, "node", "of_node"), F.col(f"key_{side}") == F.col(f"node_{side}"), "left").drop(f"node_{side}")
+        pairs = pairs.where("of_node_a is null or of_node_b is null or of_node_a != of_node_b").select("key_a", "key_b")
+    links.confirm(pairs, scratch)
+    scratch.forget(list(scratch.paths))
+    for path in [*left_over, *links.paths]:
+        unstage(spark, path)
+    return links.group
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
@@ -188,11 +252,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     100 * intersection >= ``percent`` * union are linked; a component is named by its smallest id.
 
     Equal sets are one class, represented by its smallest id, so copies never meet each other. Representatives
-    are joined by TREES independent chosen-path trees (see ``_grow``). All comparisons are confirmed on the full
-    sets: first those with the smallest document of a node, then, of documents that these haven't brought
-    together yet, all within small nodes. A pair at the threshold 0.85 shares a small node of one of ten trees
-    with two branchings with a chance of 1 - 3e-6, with six branchings 0.991; a component is found when enough
-    of its links are.
+    are joined by TREES independent chosen-path trees (see ``_grow``); every link is confirmed on the full sets.
+    A pair at the threshold 0.85 shares a node of one of ten trees with two branchings with a chance of 1 - 3e-6,
+    with six branchings 0.991; a component is found when enough of its links are.
 
     Null and empty texts and texts of white space have no set and are linked with nothing. Rows with a null id
     are compared like others, the id sorting last; such a component is null. Rows that repeat an id are one
@@ -204,31 +266,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     hashed = rows.withColumn("md5", F.md5(F.encode("text", "UTF-8")))
     every = written(hashed.mapInArrow(
         _signer(width), "key long, md5 string, n long, d1 long, d2 long, sig array<int>"), "signatures")
-    classes = written(every.where("n > 0").groupBy("d1", "d2").agg(F.min("key").alias("least")), "classes")
+    classes = written(every.where("n > 0").groupBy("d1", "d2").agg(F.min("key").alias("least"), F.count("*").alias("copies")), "classes")
     named = classes.withColumnsRenamed({"d1": "c1", "d2": "c2"})
     signed = written(every.join(named, (F.col("key") == F.col("least")) & (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")))
-                     .select("key", "md5", "n", "sig").groupBy("key").agg(
-                         F.min("md5").alias("md5"), F.first("n").alias("n"), F.first("sig").alias("sig")), "representatives")
-    stars, leaves = _grow(signed)
-    first = written(_plausible(stars, signed, percent), "star-pairs")
-    second = written(_plausible(leaves, signed, percent), "leaf-pairs")
-    pairs = first.union(second)
-    needed = pairs.select("a").union(pairs.select("b")).distinct().join(
-        signed.select("key", "md5"), F.col("a") == F.col("key")).select(F.col("a").alias("need"), F.col("md5").alias("need_md5"))
-    fetched = hashed.join(needed, (F.col("key") == F.col("need")) & (F.col("md5") == F.col("need_md5")), "left_semi")
-    sets = written(fetched.select("key", "text").mapInArrow(_set_maker(width), "key long, members array<long>"), "sets")
-    links = written(_links(first, sets, percent), "star-links")
-    group = components(links)
-    known = second
-    for side in ("a", "b"):
-        known = known.join(group.select(F.col("node").alias(f"of_{side}"), F.col("component").alias(f"in_{side}")),
-                           F.col(side) == F.col(f"of_{side}"), "left")
-    apart = noted(known.where("in_a is null or in_b is null or in_a != in_b").select("a", "b", "n_a", "n_b"), "open-pairs")
-    if not apart.isEmpty():
-        group = components(links.union(_links(apart, sets, percent)))
+                     .select("key", "md5", "n", "copies", "sig").groupBy("key").agg(
+                         *[F.first(c).alias(c) for c in ("md5", "n", "copies", "sig")]), "representatives")
+
+    def sets_of(keys: DataFrame) -> DataFrame:
+        """The sets of some representatives, from their texts."""
+        needed = keys.select(F.col("key").alias("wanted")).join(signed.select("key", "md5"), F.col("wanted") == F.col("key")).select(
+            "wanted", F.col("md5").alias("wanted_md5"))
+        fetched = hashed.join(needed, (F.col("key") == F.col("wanted")) & (F.col("md5") == F.col("wanted_md5")), "left_semi")
+        return sets.keep(fetched.select("key", "text").mapInArrow(_set_maker(width), "key long, members array<long>"), "sets")
+
+    sets = Scratch(docs.sparkSession)
+    group = _grow(signed, sets_of, percent)
+    sets.forget(list(sets.paths))
+    release(docs.sparkSession)
     # the class table carries the component, so that a class of many copies meets a single row
-    final = named.join(group, F.col("least") == F.col("node"), "left").select(
-        "c1", "c2", F.coalesce("component", "least").alias("component"))
+    if group is None:
+        final = named.select("c1", "c2", F.col("least").alias("component"))
+    else:
+        final = named.join(group, F.col("least") == F.col("node"), "left").select(
+            "c1", "c2", F.coalesce("component", "least").alias("component"))
     out = every.select("key", "n", "d1", "d2").join(final, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")), "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("key"))
     ident = F.when(F.col("key") != NO_ID, F.col("key"))

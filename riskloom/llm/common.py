@@ -7,7 +7,7 @@ import gc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.session import stage
+from riskloom.session import stage, staged_path, unstage
 
 #: stands for a missing id while rows are ordered or joined; it sorts after every real id
 NO_ID = 2**63 - 1
@@ -59,3 +59,22 @@ def noted(df: DataFrame, label: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+class Scratch:
+    """Tables of an iteration that are deleted once the round after the next no longer reads them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        path = staged_path(self.spark, label)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def forget(self, paths: list[str]) -> None:
+        for path in paths:
+            unstage(self.spark, path)
+        self.paths = [p for p in self.paths if p not in paths]
