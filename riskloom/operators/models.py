@@ -125,7 +125,7 @@ def _assembly(recipe: Recipe, ready: DataFrame) -> PipelineModel:
         names = names[:len(recipe.numeric())]
         if labels:
             coded = [f"c{f}" for f in labels]
-            stages.append(StringIndexerModel.from_arrays_of_labels(list(labels.values()), list(labels), coded, handleInvalid="keep"))
+            stages += [StringIndexerModel.from_labels(v, f, f"c{f}", handleInvalid="keep") for f, v in labels.items()]
             if recipe.kind == "indexed":
                 names += coded
             else:

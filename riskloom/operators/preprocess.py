@@ -100,10 +100,8 @@ def one_hot(df: DataFrame, vocabularies: dict[str, list[str]], drop_first: bool
 def category_codes(df: DataFrame, vocabularies: dict[str, list[str]]) -> DataFrame:
     """Replace texts by their place in the train vocabulary; an unseen text becomes NULL."""
     known = {c: v for c, v in vocabularies.items() if v}
-    if known:
-        coded = [f"__code_{i}" for i in range(len(known))]
-        indexer = StringIndexerModel.from_arrays_of_labels(list(known.values()), list(known), coded, handleInvalid="keep")
-        df = indexer.transform(df)
+    for i, (c, v) in enumerate(known.items()):
+        df = StringIndexerModel.from_labels(v, c, f"__code_{i}", handleInvalid="keep").transform(df)
     places = {c: f"CAST(CASE WHEN __code_{i} < {len(v)} THEN __code_{i} END AS INT)" for i, (c, v) in enumerate(known.items())}
     return replace_columns(df, {**{c: "CAST(NULL AS INT)" for c in vocabularies}, **places}, [f"__code_{i}" for i in range(len(known))])
 
