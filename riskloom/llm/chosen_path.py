@@ -17,8 +17,10 @@ from riskloom.session import staged_path, unstage
 
 #: minwise functions, trees, and functions that a tree begins after those of the tree before it
 FUNCTIONS, TREES, STRIDE = 60, 10, 6
-#: branchings before nodes are looked at, branchings at most, and strays of a node that is compared in full
+#: branchings before nodes are looked at, branchings at most, and strays of a node that branches no more
 FIRST, DEPTH, LEAF = 2, 30, 64
+#: documents and shingles of a block of a node that is compared block by block; tokens that are counted at a time
+BLOCK, BLOCK_SHINGLES, TOKENS = 256, 1 << 20, 4096
 #: pairs whose signatures agree by this many standard deviations less than a link would are not looked at
 LENIENCE = 4.5
 
@@ -148,6 +150,69 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
 
 
+def _block_links(percent: int):
+    """Links between the two blocks of a pair, or within one, on the full sets; enough of them to join what is linked."""
+    def compare(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        keys, component, side = (block.column(c).to_numpy() for c in ("key", "component", "block"))
+        lists = block.column("members").combine_chunks()
+        size = lists.value_lengths().to_numpy().astype(np.int64)
+        token, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)[1:]
+        row = np.repeat(np.arange(len(keys)), size)
+        shared = times[token] > 1
+        row, token = row[shared], (np.cumsum(times > 1) - 1)[token[shared]]
+        order = np.argsort(token, kind="stable")
+        row, token = row[order], token[order]
+        low, high = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+        common = np.zeros((len(low), len(high)))
+        edges = np.searchsorted(token, np.arange(0, (token[-1] if len(token) else 0) + TOKENS + 1, TOKENS))
+        for a, b in zip(edges[:-1], edges[1:]):
+            holds = np.zeros((len(keys), TOKENS), np.float32)
+            holds[row[a:b], token[a:b] % TOKENS] = 1
+            common += holds[low] @ holds[high].T
+        linked = 100 * common >= percent * (size[low][:, None] + size[high][None, :] - common)
+        linked &= component[low][:, None] != component[high][None, :]
+        above = {c: c for c in component.tolist()}
+
+        def root(c: int) -> int:
+            while above[c] != c:
+                above[c] = c = above[above[c]]
+            return c
+
+        found = []
+        for x, y in zip(*np.nonzero(linked)):
+            p, q = root(int(component[low[x]])), root(int(component[high[y]]))
+            if p != q:
+                above[p] = q
+                found.append((int(keys[low[x]]), int(keys[high[y]])))
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return compare
+
+
+def _whole_nodes(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) that join the components of each node: its strays are compared with all of the node, block by block.
+
+    Strays and documents of the largest component are dealt to blocks of their own; every block of strays meets every
+    block of the node, each pair of blocks in a task of its own, and documents of the largest component never meet.
+    """
+    stray = F.col("component") != F.col("main")
+
+    def blocks(of: Column) -> Column:
+        return F.ceil(F.greatest(F.count_if(of) / BLOCK, F.sum(F.when(of, F.col("n")).otherwise(0)) / BLOCK_SHINGLES))
+
+    counts = large.groupBy(F.col("node").alias("of")).agg(blocks(stray).alias("of_strays"), blocks(~stray).alias("of_main"))
+    own = F.when(stray, F.pmod(F.xxhash64("key"), F.col("of_strays"))).otherwise(
+        F.col("of_strays") + F.pmod(F.xxhash64("key"), F.col("of_main")))
+    dealt = large.join(counts, F.col("node") == F.col("of")).select("node", "key", "component", "of_strays", "of_main", own.alias("block"))
+    partners = F.when(F.col("block") < F.col("of_strays"), F.col("of_strays") + F.col("of_main")).otherwise(F.col("of_strays"))
+    full = dealt.join(sets.select(F.col("key").alias("own"), "members"), F.col("key") == F.col("own"))
+    met = full.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), partners - 1))).select(
+        "node", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "component", "members")
+    return met.groupBy("node", "low", "high").applyInArrow(_block_links(percent), "a long, b long")
+
+
 class _Links:
     """The links found so far, written as they come, and the components that they make."""
 
@@ -157,8 +222,11 @@ class _Links:
         self.group: DataFrame | None = None
 
     def confirm(self, pairs: DataFrame, scratch: Scratch) -> None:
+        self.add(_links(scratch.keep(pairs, "pairs"), self.sets, self.percent))
+
+    def add(self, links: DataFrame) -> None:
         path = staged_path(self.spark, "links")
-        _links(scratch.keep(pairs, "pairs"), self.sets, self.percent).write.parquet(path)
+        links.write.parquet(path)
         every = self.spark.read.schema("a long, b long").parquet(*self.paths, path)
         if self.spark.read.schema("a long, b long").parquet(path).isEmpty():
             return
@@ -173,8 +241,8 @@ def _grow(signed: DataFrame, sets_of, percent: int) -> DataFrame | None:
     most copies, which is linear. What then lies in the node outside its largest component are strays. With up to LEAF
     strays each is compared with all documents of other components in the node, so nothing in it is left out; a node
     with more strays branches by one more token. A node of one component is done. Only few nodes live on for long, so
-    the levels get small; one with more strays after DEPTH tokens, of which all its documents share every one, is dealt
-    by hash into parts of about LEAF documents, which are compared in full.
+    the levels get small; in one with more strays after DEPTH tokens the strays are compared with all of it as well,
+    block by block on the full sets.
     """
     spark = signed.sparkSession
     tree, level, links, left_over = F.col("tree"), FIRST, None, []
@@ -220,13 +288,7 @@ def _grow(signed: DataFrame, sets_of, percent: int) -> DataFrame | None:
         if large.isEmpty():
             break
         if level == DEPTH:
-            block = F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / LEAF))
-            dealt = large.withColumn("block", block)
-            out = staged_path(spark, "leaf-pairs")
-            _side(dealt, "a", "node", "block", "key").join(_side(dealt, "b", "node", "block", "key"), (
-                F.col("node_a") == F.col("node_b")) & (F.col("block_a") == F.col("block_b")) & (F.col("key_a") < F.col("key_b"))).select(
-                "key_a", "key_b").distinct().write.parquet(out)
-            left_over.append(out)
+            links.add(_whole_nodes(large, links.sets, percent))
             break
         at = large.select("tree", "key", F.xxhash64("node", _token(tree, level)).alias("node"))
         level += 1

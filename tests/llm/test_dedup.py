@@ -133,6 +133,34 @@ def test_near_duplicates_with_large_nodes(spark, monkeypatch):
     assert got == near_by_hand(rows, 3, 85)
 
 
+def family(spark, size, planted):
+    """Texts that are alike but under the threshold, and for some of them a near copy just over it."""
+    draw = random.Random(11)
+    words = [f"w{n}" for n in range(100_000)]
+    base = [draw.choice(words) for _ in range(150)]
+
+    def changed(text, places):
+        own = list(text)
+        for place in draw.sample(range(2, len(own) - 2), places):
+            own[place] = draw.choice(words)
+        return own
+
+    texts = [changed(base, 8) for _ in range(size)]
+    texts += [changed(texts[n], 3) for n in range(0, size, size // planted)]
+    return spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+
+
+def test_near_duplicates_in_a_large_node_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "LEAF", 8)
+    monkeypatch.setattr(chosen_path, "DEPTH", 2)
+    monkeypatch.setattr(chosen_path, "BLOCK", 50)
+    docs = family(spark, 500, 100)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = near_by_hand(rows, 3, 85)
+    assert sum(not kept for *_, kept in want.values()) >= 80
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs, 3, 85).collect()} == want
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     got = near_duplicates(odd_docs).collect()
     assert len(got) == len(ODD_TEXTS)
