@@ -15,10 +15,12 @@ from riskloom.llm.graph import components
 from riskloom.llm.textbytes import RangeHash, lower, mix64, pieces, random_words, words
 from riskloom.session import staged_path, unstage
 
-#: minwise functions, trees, and functions that a tree begins after those of the tree before it
+#: minwise functions, trees, and functions of each tree, which no other tree uses
 FUNCTIONS, TREES, STRIDE = 60, 10, 6
 #: branchings before nodes are looked at, branchings at most, and strays of a node that branches no more
-FIRST, DEPTH, LEAF = 2, 30, 64
+FIRST, DEPTH, LEAF = 2, STRIDE, 64
+#: chance that a pair at the threshold shares a node of a tree at the last level that the trees grow to
+RECALL = 0.999
 #: documents and shingles of a block of a node that is compared block by block; tokens that are counted at a time
 BLOCK, BLOCK_SHINGLES, TOKENS = 256, 1 << 20, 4096
 #: pairs whose signatures agree by this many standard deviations less than a link would are not looked at
@@ -213,6 +215,12 @@ def _whole_nodes(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("node", "low", "high").applyInArrow(_block_links(percent), "a long, b long")
 
 
+def _depth(percent: int) -> int:
+    """The last level at which a pair at the threshold is together in one of the trees with a chance of RECALL."""
+    levels = range(FIRST, DEPTH + 1)
+    return max([d for d in levels if 1 - (1 - (percent / 100) ** d) ** TREES >= RECALL], default=FIRST)
+
+
 class _Links:
     """The links found so far, written as they come, and the components that they make."""
 
@@ -241,10 +249,11 @@ def _grow(signed: DataFrame, sets_of, percent: int) -> DataFrame | None:
     most copies, which is linear. What then lies in the node outside its largest component are strays. With up to LEAF
     strays each is compared with all documents of other components in the node, so nothing in it is left out; a node
     with more strays branches by one more token. A node of one component is done. Only few nodes live on for long, so
-    the levels get small; in one with more strays after DEPTH tokens the strays are compared with all of it as well,
-    block by block on the full sets.
+    the levels get small; in one with more strays after as many tokens as RECALL allows the strays are compared with
+    all of it as well, block by block on the full sets.
     """
     spark = signed.sparkSession
+    last = _depth(percent)
     tree, level, links, left_over = F.col("tree"), FIRST, None, []
     path = F.xxhash64(tree, *[_token(tree, level) for level in range(FIRST)])
     at = signed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))).select("tree", "key", path.alias("node"))
@@ -287,7 +296,7 @@ def _grow(signed: DataFrame, sets_of, percent: int) -> DataFrame | None:
         large = opened.where(F.col("strays") > LEAF)
         if large.isEmpty():
             break
-        if level == DEPTH:
+        if level >= last:
             links.add(_whole_nodes(large, links.sets, percent))
             break
         at = large.select("tree", "key", F.xxhash64("node", _token(tree, level)).alias("node"))
@@ -315,8 +324,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
     Equal sets are one class, represented by its smallest id, so copies never meet each other. Representatives
     are joined by TREES independent chosen-path trees (see ``_grow``); every link is confirmed on the full sets.
-    A pair at the threshold 0.85 shares a node of one of ten trees with two branchings with a chance of 1 - 3e-6,
-    with six branchings 0.991; a component is found when enough of its links are.
+    A tree uses functions of its own and branches only as often as a pair at the threshold keeps a chance of RECALL
+    to share a node of one of the ten: four times at 0.85 (0.9993), three times at 0.80 (0.9992), twice at less; what
+    is still large then is compared whole. A component is found when enough of its links are.
 
     Null and empty texts and texts of white space have no set and are linked with nothing. Rows with a null id
     are compared like others, the id sorting last; such a component is null. Rows that repeat an id are one

@@ -133,7 +133,7 @@ def test_near_duplicates_with_large_nodes(spark, monkeypatch):
     assert got == near_by_hand(rows, 3, 85)
 
 
-def family(spark, size, planted):
+def family(spark, size, planted, apart=8, near=3):
     """Texts that are alike but under the threshold, and for some of them a near copy just over it."""
     draw = random.Random(11)
     words = [f"w{n}" for n in range(100_000)]
@@ -145,8 +145,8 @@ def family(spark, size, planted):
             own[place] = draw.choice(words)
         return own
 
-    texts = [changed(base, 8) for _ in range(size)]
-    texts += [changed(texts[n], 3) for n in range(0, size, size // planted)]
+    texts = [changed(base, apart) for _ in range(size)]
+    texts += [changed(texts[n], near) for n in range(0, size, size // planted)]
     return spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
 
 
@@ -161,6 +161,26 @@ def test_near_duplicates_in_a_large_node_meet_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs, 3, 85).collect()} == want
 
 
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_trees_keep_their_recall_at_the_last_level(percent):
+    depth = chosen_path._depth(percent)
+    draw = np.random.default_rng(percent)
+    same = draw.random((20_000, chosen_path.FUNCTIONS)) < percent / 100
+    tokens = (np.arange(chosen_path.TREES)[:, None] * chosen_path.STRIDE + np.arange(depth)) % chosen_path.FUNCTIONS
+    assert len(np.unique(tokens)) == tokens.size
+    assert same[:, tokens].all(axis=2).any(axis=1).mean() > 0.998
+
+
+def test_near_duplicates_in_a_family_under_the_threshold(spark):
+    docs = family(spark, 3000, 150, apart=4, near=4)
+    rows = {r.doc_id: frozenset(zip(*[r.text.split()[k:] for k in range(3)])) for r in docs.collect()}
+    planted = [(n, 3000 + k) for k, n in enumerate(range(0, 3000, 20))]
+    linked = [(a, b) for a, b in planted if 100 * len(rows[a] & rows[b]) >= 85 * len(rows[a] | rows[b])]
+    assert len(linked) > 100
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs, 3, 85).collect()}
+    assert sum(got[a] == got[b] for a, b in linked) >= len(linked) - 1
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     got = near_duplicates(odd_docs).collect()
     assert len(got) == len(ODD_TEXTS)
