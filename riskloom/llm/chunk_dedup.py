@@ -13,15 +13,15 @@ from riskloom.llm.common import NO_ID, small_batches, table, whole_text, written
 from riskloom.llm.textbytes import RangeHash, pieces, random_words
 
 #: bytes of a chunk: least and most; a cut falls on one of 2**CUT_BITS bytes beyond the least
-LEAST, MOST, CUT_BITS = 32, 256, 5
+LEAST, MOST, CUT_BITS = 16, 256, 4
 #: bytes that the rolling hash sees; no more than the least chunk, so that it never sees another text
-WINDOW = 32
-#: a run of repeated chunks counts from this many bytes on
+WINDOW = 16
+#: a run of repeated chunks counts from this many bytes on, one that is the whole text always
 RUN_BYTES = 80
 
 
 def gear_hashes(raw: np.ndarray) -> np.ndarray:
-    """The gear hash after every byte: h = (h << 1) + G[byte], of which a byte's trace is gone after 32 steps."""
+    """The gear hash after every byte: h = (h << 1) + G[byte], of which a byte's trace is gone after WINDOW steps."""
     h = (random_words(211, 256) >> np.uint64(32)).astype(np.uint32)[raw]
     span = 1
     while span < WINDOW:
@@ -104,7 +104,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     else:
                         runs.append([begin, end, [(begin, end, gone)]])
                 begin = end
-            runs = [r for r in runs if r[1] - r[0] >= RUN_BYTES]
+            runs = [r for r in runs if r[1] - r[0] >= min(RUN_BYTES, n_bytes)]
             if not runs:
                 continue
             removed: list[list[int]] = []
@@ -126,9 +126,9 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each document with a repeated passage: doc_id, n_bytes, n_chunks, n_shared, n_removed, n_spans, spans.
 
-    Texts (UTF-8) are cut where a rolling hash of the last 32 bytes says so, 64 bytes apart on average, so
+    Texts (UTF-8) are cut where a rolling hash of the last 16 bytes says so, 32 bytes apart on average, so
     an insertion moves only the cuts next to it. Chunks with one 128-bit digest are the same. Runs of chunks
-    that occur more than once count from RUN_BYTES bytes on (``n_shared`` bytes); of each chunk the first place in
+    that occur more than once count from RUN_BYTES bytes on, and whole texts of any size (``n_shared`` bytes); of each chunk the first place in
     the document with the smallest id stays, all others are removed (``spans``, begin:end in bytes).
 
     A chunk that comes again within its text is settled there, so a text repeated a thousand times over

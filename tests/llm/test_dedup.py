@@ -226,6 +226,22 @@ def test_chunk_dedup_survives_an_insertion(spark):
     assert got[1].n_removed == 0 and got[2].n_removed > 0.85 * len(text)
 
 
+def test_chunk_dedup_finds_passages_of_two_documents(spark):
+    draw = random.Random(8)
+
+    def prose(n):
+        return " ".join("".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(2, 8))) for _ in range(n))
+
+    texts = []
+    for _ in range(300):
+        passage = prose(51)
+        texts += [f"{prose(draw.randint(5, 60))} {passage} {prose(draw.randint(5, 60))}" for _ in range(2)]
+    texts += ["a short text", "b", "a short text"]
+    got = {r.doc_id: r for r in chunk_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert sum(n in got for n in range(600)) >= 598
+    assert got[600].n_removed == 0 and got[602].n_removed == got[602].n_bytes and 601 not in got
+
+
 def test_chunk_dedup_odd_rows(odd_docs, no_docs):
     got = {r.doc_id: r for r in chunk_dedup(odd_docs).collect()}
     assert got[7].n_removed > 0.99 * got[7].n_bytes and 6 in got
