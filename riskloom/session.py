@@ -52,3 +52,8 @@ def unstage(spark: SparkSession, path: str) -> None:
     """Delete a staged table that nothing reads any more."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
