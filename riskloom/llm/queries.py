@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from riskloom.llm import (chosen_path, chunk_dedup, decontaminate, exact_dedup, mixing, quality, secret_scan, suffix_dedup,
-                          token_orc, url_filter)
+                          token_cache, token_orc, url_filter)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_chosen_path": chosen_path.op9_chosen_path,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_token_counts": token_cache.op11_token_counts,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,16 +36,14 @@ _PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{
 _COMMON = regex.compile("[\t\n\r\x20-\x7e\xa1-\u024f]*")
 
 
-def _byte_letters() -> str:
+@functools.cache
+def byte_letters() -> str:
     """The letter by which a byte-level vocabulary writes each byte: printable bytes as themselves, others from 256 on."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = iter(range(256, 512))
     return "".join(chr(b if b in printable else next(others)) for b in range(256))
 
 
-_LETTERS = _byte_letters()
-
-
 class _Units(dict):
     """Ids (as bytes) of the units of a text: a word, mostly with the blank before it, or a line feed.
 
@@ -61,7 +60,7 @@ class _Units(dict):
     def word(self, pre_token: str) -> bytes:
         """Ids of a single pre-token: the vocabulary's merges, without looking for pre-tokens again."""
         if (ids := self.get(pre_token)) is None:
-            letters = pre_token.encode().decode("latin-1").translate(_LETTERS)
+            letters = pre_token.encode().decode("latin-1").translate(byte_letters())
             ids = np.asarray([token.id for token in self.merge(letters)], "<i4").tobytes()
             if len(pre_token) <= REMEMBERED_CHARS and len(self) < REMEMBERED:
                 self[pre_token] = ids
