@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from riskloom.llm import (chosen_path, chunk_dedup, decontaminate, exact_dedup, mixing, quality, secret_scan, suffix_dedup,
-                          token_cache, token_orc, url_filter)
+from riskloom.llm import (chosen_path, chunk_dedup, decontaminate, exact_dedup, mixing, periodic_runs, quality, secret_scan,
+                          suffix_dedup, token_cache, token_orc, url_filter)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_chosen_path": chosen_path.op9_chosen_path,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     "op11_token_counts": token_cache.op11_token_counts,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
