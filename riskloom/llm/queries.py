@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from riskloom.llm import (chosen_path, chunk_dedup, decontaminate, exact_dedup, mixing, periodic_runs, quality, secret_scan,
-                          suffix_dedup, token_cache, token_orc, url_filter)
+                          structure_repair, suffix_dedup, token_cache, token_orc, url_filter)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     "op11_token_counts": token_cache.op11_token_counts,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_structure_repair": structure_repair.op13_structure_repair,
     "pipeline": corpus_pipeline.run,
 }
 
