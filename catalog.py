@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from riskloom.functions.selectors import LABEL, numeric_columns, string_columns
 from riskloom.functions.sqltext import quoted
 from riskloom.operators import (
-    application, bureau, checks, cleaning, correlation, credit_card, installments, metrics, models, pos_cash,
+    application, bureau, checks, cleaning, correlation, credit_card, dictionary, installments, metrics, models, pos_cash,
     preprocess, previous, profiling, scoring, search)
 from riskloom.operators import assemble as asm
 from riskloom.operators import split as splitting
@@ -389,10 +389,10 @@ def one_hot_full(spark, folder):
 
 @query
 def frozen_vocab(spark, folder):
-    """Vocabulary of the train split; a text seen only elsewhere becomes NULL."""
+    """Dictionary of the train split; a text seen only elsewhere becomes NULL."""
     filled, texts = _filled_texts(spark, folder)
-    vocabularies = preprocess.fit_vocabularies(filled.where("split = 'train'"), texts)
-    return comparable(preprocess.category_codes(filled, vocabularies).drop("split", LABEL))
+    fitted = dictionary.fit_dictionary(filled.where("split = 'train'"), texts)
+    return comparable(preprocess.category_codes(filled, fitted, texts).drop("split", LABEL))
 
 
 @query

@@ -26,14 +26,14 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
 
 def join_rollup(facts: DataFrame, rollup: DataFrame, key: str, spread_by: str, how: str = "inner", salts: int = 64,
                 hot: DataFrame | None = None) -> DataFrame:
-    """Join ``facts`` to ``rollup`` (one row per key), spreading the hot keys over ``salts`` tasks.
+    """Join ``facts`` to ``rollup`` (one row per key), spreading hot keys, and facts without one, over ``salts`` tasks.
 
     Only the rollup rows of hot keys are repeated, so the extra volume is at most ``salts`` rows for each.
     """
     hot = F.broadcast(hot_keys(facts, key) if hot is None else hot)
     is_hot = F.col("hot").isNotNull()
     salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    left = facts.join(hot, F.col(key) == F.col("hot"), "left").withColumn("_salt", F.when(is_hot, salt).otherwise(0)).drop("hot")
+    left = facts.join(hot, F.col(key) == F.col("hot"), "left").withColumn("_salt", F.when(is_hot | F.col(key).isNull(), salt).otherwise(0)).drop("hot")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     right = rollup.join(hot, F.col(key) == F.col("hot"), "left").withColumn(
         "_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))).drop("hot")

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,8 @@ from .preprocess import Recipe, class_counts, fit_fills, fit_recipe, load_recipe
 from .scoring import BANDS, THRESHOLD, decisions, pad_columns
 
 SEED = 42
+#: text columns with fewer texts are categories to the trees
+NOMINAL = 10_000
 
 
 @dataclass(frozen=True)
@@ -93,7 +95,8 @@ class Bundle:
         kept = [c for c in keep if c in df.columns]
         fields = [f for f in self.input_schema.fields if f.name not in kept]
         padded = pad_columns(df, T.StructType([df.schema[c] for c in kept] + fields))
-        ready = model_input(self.recipe, self.recipe.transform(padded, is_train, spread=False), kept)
+        spread_by = kept[0] if kept else self.input_schema.names[0]
+        ready = model_input(self.recipe, self.recipe.transform(padded, is_train, spread=False, key=spread_by), kept)
         scored = self.pipeline.transform(ready)
         return scored.select(*kept, vector_to_array("probability")[1].alias("probability"))
 
@@ -106,32 +109,30 @@ class Bundle:
 
 
 def model_input(recipe: Recipe, df: DataFrame, keep=()) -> DataFrame:
-    """Features under plain names f0, f1, ... (category values may hold any character)."""
-    return df.selectExpr(*map(quoted, keep), *[f"{quoted(c)} AS f{i}" for i, c in enumerate(recipe.inputs())])
+    """Features under plain names f0, f1, ... (category values may hold any character).
 
+    Codes of a dictionary are marked as categories, their number known beforehand, for the encoder and the trees;
+    with more than ``NOMINAL`` texts a column's codes enter the trees as numbers in text order.
+    """
+    ready = df.selectExpr(*map(quoted, keep), *[f"{quoted(c)} AS f{i}" for i, c in enumerate(recipe.inputs())])
+    for c, n in recipe.categories().items():
+        if recipe.kind != "indexed" or n < NOMINAL:
+            name = f"f{recipe.inputs().index(c)}"
+            ready = ready.withMetadata(name, {"ml_attr": {"type": "nominal", "name": name, "num_vals": n + 1}})
+    return ready
 
-def _assembly(recipe: Recipe, ready: DataFrame) -> PipelineModel:
-    """Vector assembly. Texts get the codes of the train vocabulary; one-hot recipes make sparse vectors of them.
 
-    A text that train did not hold, and the first category where that is dropped, have a code behind all others,
-    which one-hot vectors leave out.
-    """
-    names = [f"f{i}" for i in range(len(recipe.inputs()))]
-    stages = []
-    if recipe.kind != "encoded" and recipe.texts():
-        skip = 1 if recipe.kind == "scaled" else 0
-        labels = {f"f{len(recipe.numeric()) + i}": recipe.vocabularies[c][skip:] for i, c in enumerate(recipe.texts())}
-        labels = {f: v for f, v in labels.items() if v}
-        names = names[:len(recipe.numeric())]
-        if labels:
-            coded = [f"c{f}" for f in labels]
-            stages += [StringIndexerModel.from_labels(v, f, f"c{f}", handleInvalid="keep") for f, v in labels.items()]
-            if recipe.kind == "indexed":
-                names += coded
-            else:
-                spread = [f"h{f}" for f in labels]
-                stages.append(OneHotEncoder(inputCols=coded, outputCols=spread, dropLast=True))
-                names += spread
+def _assembly(recipe: Recipe, ready: DataFrame) -> PipelineModel:
+    """Vector assembly; of the codes of one-hot recipes sparse vectors are made, which leave the last code out."""
+    names, stages = [f"f{i}" for i in range(len(recipe.inputs()))], []
+    if recipe.kind in ("scaled", "onehot") and recipe.texts():
+        numeric = len(recipe.numeric())
+        coded = [f"f{numeric + i}" for i, c in enumerate(recipe.texts()) if recipe.categories()[c]]
+        names = names[:numeric]
+        if coded:
+            spread = [f"h{f}" for f in coded]
+            stages.append(OneHotEncoder(inputCols=coded, outputCols=spread, dropLast=True))
+            names += spread
     stages.append(VectorAssembler(inputCols=names, outputCol="features"))
     return Pipeline(stages=stages).fit(ready)
 
@@ -169,7 +170,7 @@ def prepare(key: str, train: DataFrame, val: DataFrame | None = None, label: str
     weight = f"CASE WHEN {quoted(label)} = 1 THEN {number(weights[1])} ELSE {number(weights[0])} END AS weight"
 
     def ready(df, is_train=None):
-        return model_input(recipe, recipe.transform(df, is_train, spread=False), (id_column, label))
+        return model_input(recipe, recipe.transform(df, is_train, spread=False, key=id_column), (id_column, label))
     ready_train = ready(train, F.lit(True))
     assembly = _assembly(recipe, ready_train)
 
@@ -179,7 +180,7 @@ def prepare(key: str, train: DataFrame, val: DataFrame | None = None, label: str
     outside = {label, id_column, "split", "dataset"}
     return Prepared(
         key, recipe, assembly, vectors(ready_train), None if val is None else vectors(ready(val)),
-        max([64, *[len(v) + 1 for v in recipe.vocabularies.values()]]) if recipe.kind == "indexed" else 64,
+        max([64, *[n + 1 for n in recipe.categories().values() if n < NOMINAL]]) if recipe.kind == "indexed" else 64,
         T.StructType([f for f in train.schema.fields if f.name not in outside]))
 
 
@@ -248,11 +249,13 @@ def bundle_metadata(bundle: Bundle, trained_rows: int, source_data: str = "", ba
 
 
 def save_bundle(spark: SparkSession, bundle: Bundle, path: str) -> None:
-    """Model, recipe (with its target means) and a one-row metadata table under ``path``."""
+    """Model, recipe (with its target means or dictionary) and a one-row metadata table under ``path``."""
     recipe = bundle.recipe
     if recipe.means_path and recipe.means_path != f"{path}/target_means":
         spark.read.parquet(recipe.means_path).write.mode("overwrite").parquet(f"{path}/target_means")
         recipe.means_path = f"{path}/target_means"
+    if recipe.dictionary and recipe.dictionary.sizes and recipe.dictionary.path != f"{path}/dictionary":
+        recipe.dictionary = recipe.dictionary.copied(spark, f"{path}/dictionary")
     save_recipe(spark, recipe, f"{path}/recipe")
     bundle.pipeline.write().overwrite().save(f"{path}/model")
     metadata = bundle.metadata or bundle_metadata(bundle, 0)

@@ -1,6 +1,6 @@
-"""Imputing, scaling and encoding: fitted on train, applied to any rows as one projection.
+"""Imputing, scaling and encoding: fitted on train, applied to any rows.
 
-Fitted values are small (a few numbers and a vocabulary per column) and become literals.
+Fitted numbers (a few per column) become literals; the texts of a column stay in a table, see ``dictionary``.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import sys
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +17,7 @@ from ..functions.quantiles import quantiles
 from ..functions.selectors import ID, LABEL, numeric_columns, string_columns
 from ..functions.sqltext import number, quoted, text
 from ..session import stage
+from .dictionary import Dictionary, encode, fit_dictionary, text_cells
 from .split import split_hash
 
 SCALE_RANGE = (0.0025, 0.0075)   # as the original scales: 0.25 to 0.75 percent; quartiles are (0.25, 0.75)
@@ -29,16 +29,11 @@ def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None
     return {c: v[0] for (_, c), v in quantiles(df, columns, (0.5,)).items()}
 
 
-def _text_cells(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    pairs = ", ".join(f"struct({text(c)} AS feature, {quoted(c)} AS value)" for c in columns)
-    return df.selectExpr(*map(quoted, keep), f"inline(array({pairs}))").where("value IS NOT NULL")
-
-
 def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     """Most frequent text per column, the smallest of tied ones."""
     if not columns:
         return {}
-    counts = _text_cells(df, columns).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    counts = text_cells(df, columns).groupBy("feature", "value").agg(F.count("*").alias("n"))
     best = counts.groupBy("feature").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
     found = {r["feature"]: r["mode"] for r in best.collect()}
     return {c: found.get(c) for c in columns}
@@ -56,13 +51,8 @@ def fit_scales(df: DataFrame, columns: Sequence[str], span=SCALE_RANGE) -> dict[
 
 
 def fit_vocabularies(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct texts per column; each goes into the fitted recipe, as in any encoder with one code per text."""
-    if not columns:
-        return {}
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in _text_cells(df, columns).distinct().collect():
-        found[row["feature"]].append(row["value"])
-    return {c: sorted(v) for c, v in found.items()}
+    """Sorted distinct texts per column, on the driver: for encoders that make one column of each text."""
+    return fit_dictionary(df, columns).values(df.sparkSession, columns)
 
 
 # --- applying -------------------------------------------------------------------------------
@@ -97,13 +87,20 @@ def one_hot(df: DataFrame, vocabularies: dict[str, list[str]], drop_first: bool
     return df.selectExpr(*kept, *flags)
 
 
-def category_codes(df: DataFrame, vocabularies: dict[str, list[str]]) -> DataFrame:
-    """Replace texts by their place in the train vocabulary; an unseen text becomes NULL."""
-    known = {c: v for c, v in vocabularies.items() if v}
-    for i, (c, v) in enumerate(known.items()):
-        df = StringIndexerModel.from_labels(v, c, f"__code_{i}", handleInvalid="keep").transform(df)
-    places = {c: f"CAST(CASE WHEN __code_{i} < {len(v)} THEN __code_{i} END AS INT)" for i, (c, v) in enumerate(known.items())}
-    return replace_columns(df, {**{c: "CAST(NULL AS INT)" for c in vocabularies}, **places}, [f"__code_{i}" for i in range(len(known))])
+def category_codes(df: DataFrame, dictionary: Dictionary, columns: Sequence[str], key: str = ID) -> DataFrame:
+    """Replace texts by their place among the train texts; an unseen text becomes NULL."""
+    return encode(df, dictionary, columns, key)
+
+
+def indicator_codes(df: DataFrame, dictionary: Dictionary, columns: Sequence[str], drop_first: bool, key: str = ID) -> DataFrame:
+    """``category_codes`` as doubles without gaps: what has no indicator of its own (NULL, an unseen text and, with
+    ``drop_first``, the first text) has the code behind all others."""
+    coded, skip = category_codes(df, dictionary, columns, key), int(drop_first)
+
+    def shown(c):
+        n = dictionary.sizes[c] - skip
+        return f"CAST(CASE WHEN {quoted(c)} >= {skip} THEN {quoted(c)} - {skip} ELSE {n} END AS DOUBLE)"
+    return replace_columns(coded, {c: shown(c) for c in columns})
 
 
 def fold_of(key: str, folds: int, seed: int = 42) -> Column:
@@ -114,7 +111,7 @@ def fit_target_means(train: DataFrame, columns: Sequence[str], key: str = ID, la
                      folds: int = 5) -> DataFrame:
     """(feature, value, fold, total, n): label sums per category and fold, of the train rows."""
     rows = train.where(F.col(label).isNotNull()).withColumn("fold", fold_of(key, folds))
-    cells = _text_cells(rows, columns, [label, "fold"])
+    cells = text_cells(rows, columns, [label, "fold"])
     return cells.groupBy("feature", "value", "fold").agg(F.sum(label).alias("total"), F.count("*").alias("n"))
 
 
@@ -165,7 +162,7 @@ class Recipe:
 
     scaled: median, robust scale, mode, one-hot without the first category
     onehot: median, mode, one-hot
-    indexed: median, mode, texts kept for a frozen train vocabulary
+    indexed: median, mode, texts replaced by their place in a frozen train dictionary
     encoded: median, mode, texts replaced by target means
     """
 
@@ -173,7 +170,7 @@ class Recipe:
     medians: dict[str, float | None]
     modes: dict[str, str | None]
     scales: dict[str, tuple[float, float]] = field(default_factory=dict)
-    vocabularies: dict[str, list[str]] = field(default_factory=dict)
+    dictionary: Dictionary | None = None
     prior: float = 0.0
     means_path: str | None = None
 
@@ -183,28 +180,41 @@ class Recipe:
     def texts(self) -> list[str]:
         return [c for c, m in self.modes.items() if m is not None]
 
-    def features(self) -> list[str]:
-        """Columns that enter the model; text columns last."""
+    def drop_first(self) -> bool:
+        return self.kind == "scaled"
+
+    def categories(self) -> dict[str, int]:
+        """How many codes each text column has, without the one for all other texts."""
+        if self.dictionary is None:
+            return {}
+        return {c: self.dictionary.sizes[c] - int(self.drop_first()) for c in self.texts()}
+
+    def features(self, spark: SparkSession) -> list[str]:
+        """Columns that ``transform`` gives; text columns, or the columns made of them, last."""
         if self.kind in ("scaled", "onehot"):
-            skip = 1 if self.kind == "scaled" else 0
-            return self.numeric() + [f"{c}_{v}" for c in self.texts() for v in self.vocabularies[c][skip:]]
-        return self.numeric() + self.texts()
+            values = self.dictionary.values(spark, self.texts())
+            return self.numeric() + [f"{c}_{v}" for c in self.texts() for v in values[c][int(self.drop_first()):]]
+        return self.inputs()
 
     def inputs(self) -> list[str]:
         """Columns that ``transform`` leaves when texts are not spread over columns."""
         return self.numeric() + self.texts()
 
-    def transform(self, df: DataFrame, is_train: Column | None = None, spread: bool = True) -> DataFrame:
-        """Apply the recipe; with ``spread`` false texts stay for an encoder that makes sparse vectors of them."""
+    def transform(self, df: DataFrame, is_train: Column | None = None, spread: bool = True, key: str = ID) -> DataFrame:
+        """Apply the recipe; with ``spread`` false the one-hot kinds give ``indicator_codes``, for sparse vectors."""
         spark = df.sparkSession
         df = impute_mode(impute_median(df, self.medians), self.modes)
         if self.kind == "scaled":
             df = robust_scale(df, self.scales)
-        if spread and self.kind in ("scaled", "onehot"):
-            return one_hot(df, {c: self.vocabularies[c] for c in self.texts()}, drop_first=self.kind == "scaled")
-        if self.kind == "encoded" and self.texts():
+        if not self.texts():
+            return df
+        if self.kind == "encoded":
             return target_encode(df, spark.read.parquet(self.means_path), self.texts(), self.prior, is_train)
-        return df
+        if not spread:
+            return indicator_codes(df, self.dictionary, self.texts(), self.drop_first(), key)
+        if self.kind == "indexed":
+            return category_codes(df, self.dictionary, self.texts(), key)
+        return one_hot(df, self.dictionary.values(spark, self.texts()), self.drop_first())
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -213,6 +223,7 @@ class Recipe:
     def from_json(text: str) -> "Recipe":
         raw = json.loads(text)
         raw["scales"] = {c: tuple(v) for c, v in raw["scales"].items()}
+        raw["dictionary"] = raw["dictionary"] and Dictionary(**raw["dictionary"])
         return Recipe(**raw)
 
 
@@ -231,7 +242,7 @@ def fit_recipe(train: DataFrame, kind: str, means_path: str | None = None, label
     if kind == "scaled":
         recipe.scales = fit_scales(impute_median(train, recipe.medians), recipe.numeric(), span)
     if kind in ("scaled", "onehot", "indexed"):
-        recipe.vocabularies = fit_vocabularies(impute_mode(train, recipe.modes), recipe.texts())
+        recipe.dictionary = fit_dictionary(impute_mode(train, recipe.modes), recipe.texts())
     if kind == "encoded" and recipe.texts():
         if not means_path:
             raise ValueError("target means need a path to be kept at")

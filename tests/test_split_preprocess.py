@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import preprocess, split
+from riskloom.operators import dictionary, preprocess, split
 
 
 def brute_split(rows, seed=42):
@@ -78,15 +78,45 @@ def test_encodings(spark):
     assert hot.columns == ["k", "s_a", "s_b", "s_it's"]
     assert [tuple(r) for r in hot.collect()] == [(1, 1, 0, 0), (2, 0, 0, 1), (3, 0, 0, 0)]
     assert preprocess.one_hot(rows, words, drop_first=True).columns == ["k", "s_b", "s_it's"]
-    assert [r["s"] for r in preprocess.category_codes(rows, words).collect()] == [0, 2, None]
-
-
-def test_codes_of_many_categories(spark):
-    many = spark.range(20_000).selectExpr("concat('v', id) AS s", "id")
-    words = preprocess.fit_vocabularies(many, ["s"])
-    assert len(words["s"]) == 20_000
-    got = preprocess.category_codes(many, words).collect()
-    assert all(words["s"][r["s"]] == f"v{r['id']}" for r in got)
+    codes = dictionary.fit_dictionary(train, ["s"])
+    assert [r["s"] for r in preprocess.category_codes(rows, codes, ["s"], "k").orderBy("k").collect()] == [0, 2, None]
+    shown = preprocess.indicator_codes(rows, codes, ["s"], True, "k").orderBy("k").collect()
+    assert [r["s"] for r in shown] == [2.0, 1.0, 2.0]
+
+
+@pytest.mark.parametrize("limit", [dictionary.BROADCAST_BYTES, 0])
+def test_codes_are_dense_and_in_text_order(spark, monkeypatch, limit):
+    """Codes by broadcast and by shuffle, with a hot text, texts that only sort by their bytes, NULL and an empty column."""
+    monkeypatch.setattr(dictionary, "BROADCAST_BYTES", limit)
+    texts = ["v%d" % (i % 700) for i in range(5000)] + ["hot"] * 4000 + ["", " ", "é", "z", "漢", "😀", "it's", "a\\b", None, None]
+    rows = [(i, t, "same", None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, s string, flat string, gone string").repartition(5)
+    fitted = dictionary.fit_dictionary(df, ["s", "flat", "gone"])
+    order = {v: i for i, v in enumerate(sorted({t for t in texts if t is not None}))}
+    assert fitted.sizes == {"s": len(order), "flat": 1, "gone": 0}
+    assert fitted.values(spark, ["s"]) == {"s": list(order)}
+    later = df.unionByName(spark.createDataFrame([(-1, "new", "other", "x")], df.schema))
+    got = {r["SK_ID_CURR"]: tuple(r)[1:] for r in dictionary.encode(later, fitted, ["s", "flat", "gone"]).collect()}
+    assert got == {-1: (None, None, None), **{i: (order.get(t), 0, None) for i, t, *_ in rows}}
+    copy = fitted.copied(spark, fitted.path + "-copy")
+    assert copy.table(spark).count() == len(order) + 1
+    assert dictionary.fit_dictionary(df.where("false"), ["s"]).sizes == {"s": 0} and dictionary.fit_dictionary(df, []).sizes == {}
+
+
+def test_two_million_texts(spark):
+    """Fitted and applied without the driver holding a text; a third of the rows have one text."""
+    many = spark.range(3_000_000).selectExpr("id AS SK_ID_CURR", "IF(id % 3 = 0, 'hot', concat('v', xxhash64(id))) AS s")
+    fitted = dictionary.fit_dictionary(many, ["s"])
+    assert fitted.sizes["s"] == 2_000_001
+    coded = many.selectExpr("*", "s AS shown").join(fitted.of(spark, "s").withColumnRenamed("value", "s"), "s", "left_anti")
+    assert coded.isEmpty()
+    ends = fitted.table(spark).agg(F.min("code"), F.max("code"), F.count_distinct("code")).first()
+    assert tuple(ends) == (0, 2_000_000, 2_000_001)
+    codes = fitted.table(spark).toPandas().sort_values("code")["value"].to_numpy()
+    assert (codes[:-1] < codes[1:]).all()
+    got = dictionary.encode(many.selectExpr("*", "s AS shown"), fitted, ["s"])
+    right = got.join(fitted.table(spark).withColumnRenamed("code", "s"), "s").where("shown = value")
+    assert right.count() == 3_000_000
 
 
 def test_target_encoding_leaves_out_the_own_fold(spark):
@@ -108,7 +138,8 @@ def test_class_weights(spark):
     assert {r["TARGET"]: r["weight"] for r in preprocess.class_weights(df).collect()} == {0: 4 / 6, 1: 2.0}
 
 
-def test_recipe_survives_json():
-    recipe = preprocess.Recipe("scaled", {"x": 0.1, "gone": None}, {"s": "a"}, {"x": (0.1, math.pi)}, {"s": ["a", "b"]})
+def test_recipe_survives_json(spark, tmp_path):
+    fitted = dictionary.fit_dictionary(spark.createDataFrame([("a",), ("b",)], "s string"), ["s"], str(tmp_path / "words"))
+    recipe = preprocess.Recipe("scaled", {"x": 0.1, "gone": None}, {"s": "a"}, {"x": (0.1, math.pi)}, fitted)
     assert preprocess.Recipe.from_json(recipe.to_json()) == recipe
-    assert recipe.features() == ["x", "s_b"]
+    assert recipe.features(spark) == ["x", "s_b"] and recipe.categories() == {"s": 1}
