@@ -29,6 +29,15 @@ def number(value: float | None) -> str:
     return f"{value!r}D" if "e" not in repr(value) else f"double('{value!r}')"
 
 
+def literal(value) -> str:
+    """A literal of a text, a truth value, a whole number or a double; None is NULL."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, (bool, int)):
+        return str(value)
+    return number(value) if isinstance(value, float) else text(str(value))
+
+
 def finite(c: str) -> str:
     return f"CASE WHEN NOT isnan({c}) AND abs({c}) <> {INFINITE} THEN {c} END"
 

@@ -17,6 +17,8 @@ from ..session import stage
 # A value is looked up through a broadcast table when it holds at least 1/FREQUENT of a
 # column's rows; there are at most FREQUENT such values per column.
 FREQUENT = 2000
+#: pairs of columns whose moments one pass keeps
+PAIRS = 512
 
 
 def spearman_with_label(df: DataFrame, columns: Sequence[str] | None = None, label: str = LABEL,
@@ -69,10 +71,12 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = ID,
 
     A column is ranked once per null pattern it can be paired with (not once per pair),
     by a table (feature, value) -> ranks. Frequent values are looked up by broadcast, the
-    rest by a shuffle in which no key is hot. Each row then holds one rank list per
-    column, and the pairs are formed and summed in place: no pair is ever shuffled.
+    rest by a shuffle in which no key is hot. Each row then holds its ranks side by side, and
+    the moments of all pairs (of up to PAIRS in a pass) are kept in one wide aggregate: a row is never multiplied by the pairs.
     """
     columns = list(columns)
+    if len(columns) < 2:
+        return df.sparkSession.createDataFrame([], "feature_x string, feature_y string, rho double")
     classes = _mask_classes(df, columns)
     members = {m: next(c for c in columns if classes[c] == m) for m in sorted(set(classes.values()))}
     masks = [f"CAST({quoted(c)} IS NOT NULL AS INT) AS m{m}" for m, c in members.items()]
@@ -96,19 +100,27 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = ID,
     ranked = first.where(F.col("ranks").isNotNull()).unionByName(rare)
 
     # at most one entry per column and row
-    by_row = ranked.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", "ranks"))).alias("ranks")
-    ).selectExpr(f"array({', '.join(f'try_element_at(ranks, {text(c)})' for c in columns)}) AS ranks")
-
+    by_row = ranked.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("feature", "ranks"))).alias("ranks"))
+    held = {m: f"try_element_at(ranks, {text(c)})" for m, c in members.items()}
     pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
-    # a constant list, folded into one literal; the same few lines of code serve every pair
-    plan = ", ".join(f"struct({p} AS pair, {i} AS i, {j} AS j, {classes[columns[j]]} AS i_within, "
-                     f"{classes[columns[i]]} AS j_within)" for p, (i, j) in enumerate(pairs))
-    sums = (by_row.selectExpr("ranks", f"inline(array({plan}))")
-            .selectExpr("pair", "get(get(ranks, i), i_within) AS x", "get(get(ranks, j), j_within) AS y")
-            .where("x IS NOT NULL AND y IS NOT NULL")
-            .groupBy("pair").agg(F.covar_pop("x", "y").alias("c"), F.var_pop("x").alias("vx"),
-                                 F.var_pop("y").alias("vy")))
+    within = sorted({(i, classes[columns[j]]) for p in pairs for i, j in (p, p[::-1])})
+    # the rank of column i among the rows that hold it and the columns of class m; NULL for all other rows
+    flat = by_row.selectExpr(*[
+        f"CASE WHEN {held[m]} IS NOT NULL THEN get(try_element_at(ranks, {text(columns[i])}), {list(members).index(m)}) END AS r{i}_{m}"
+        for i, m in within])
+    rounds = -(-len(pairs) // PAIRS)
+    flat = stage(flat, "row-ranks") if rounds > 1 else flat
+    sums = None
+    for at in range(rounds):
+        some = pairs[at * PAIRS:(at + 1) * PAIRS]
+        ranks = {(i, j): (f"r{i}_{classes[columns[j]]}", f"r{j}_{classes[columns[i]]}") for i, j in some}
+        spread = {r: f"v{k}" for k, r in enumerate(sorted({r for xy in ranks.values() for r in xy}))}
+        wide = flat.agg(*[F.covar_pop(*xy).alias(f"c{k}") for k, xy in enumerate(ranks.values())],
+                        *[F.var_pop(r).alias(v) for r, v in spread.items()])
+        listed = ", ".join(f"struct({at * PAIRS + k} AS pair, c{k} AS c, {spread[x]} AS vx, {spread[y]} AS vy)"
+                           for k, (x, y) in enumerate(ranks.values()))
+        one = wide.selectExpr(f"inline(array({listed}))")
+        sums = one if sums is None else sums.unionByName(one)
     names = df.sparkSession.createDataFrame([(p, columns[i], columns[j]) for p, (i, j) in enumerate(pairs)],
                                             "pair int, feature_x string, feature_y string")
     return names.join(F.broadcast(sums), "pair", "left").select(

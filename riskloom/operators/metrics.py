@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranks import ROWS_PER_RANGE, cut_points, range_cells, running_counts
+from ..functions.ranks import ROWS_PER_RANGE, cut_points, grouped_cells, range_cells, running_counts
 from ..functions.selectors import LABEL
 from ..functions.sqltext import quoted
 
@@ -31,12 +31,23 @@ def roc_auc(df: DataFrame, score: str, label: str = LABEL, by: Sequence[str] = (
             rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; NULL when a class is absent.
 
-    Scores are counted first, so tied scores are one row, then ranked over value ranges.
+    Scores are counted first, so tied scores are one row, then ranked over value ranges of each group's own.
     """
     rows = df.where(F.col(label).isNotNull())
-    cuts = cut_points(rows, [score], rows_per_range)
-    ranked = running_counts(range_cells(rows, [score], [*by, label], cuts), list(by),
-                            {"neg": f"count_if({quoted(label)} <> 1)"}, {"pos": f"count_if({quoted(label)} = 1)"}, cuts)
+    cells, cuts = grouped_cells(rows, score, by, [label], rows_per_range)
+    return areas(running_counts(cells, list(by), {"neg": f"count_if({quoted(label)} <> 1)"},
+                                {"pos": f"count_if({quoted(label)} = 1)"}, cuts), by)
+
+
+def roc_aucs(df: DataFrame, scores: Sequence[str], label: str = LABEL, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """(feature, roc_auc) of several score columns of the same rows."""
+    rows = df.where(F.col(label).isNotNull())
+    cuts = cut_points(rows, scores, rows_per_range)
+    return areas(running_counts(range_cells(rows, scores, [label], cuts), ["feature"], {"neg": f"count_if({quoted(label)} <> 1)"},
+                                {"pos": f"count_if({quoted(label)} = 1)"}, cuts), ["feature"])
+
+
+def areas(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
     wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return ranked.groupBy(*by).agg(F.try_divide(wins, pairs).alias("roc_auc"))

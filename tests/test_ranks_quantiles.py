@@ -6,6 +6,9 @@ import random
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
+from riskloom.functions import ranks
 from riskloom.functions.quantiles import quantiles
 from riskloom.operators import correlation, metrics, profiling
 
@@ -68,9 +71,10 @@ def test_spearman_with_label(table, rows_per_range):
     assert got["flat"] is None
 
 
-@pytest.mark.parametrize("rows_per_range, frequent", [(1_000_000, 2000), (150, 2)])
-def test_spearman_matrix_ranks_within_each_pair(table, monkeypatch, rows_per_range, frequent):
+@pytest.mark.parametrize("rows_per_range, frequent, pairs", [(1_000_000, 2000, 512), (150, 2, 4)])
+def test_spearman_matrix_ranks_within_each_pair(table, monkeypatch, rows_per_range, frequent, pairs):
     monkeypatch.setattr(correlation, "FREQUENT", frequent)   # 2: only the hot values are broadcast
+    monkeypatch.setattr(correlation, "PAIRS", pairs)
     df, pdf = table
     columns = ["a", "b", "c", "d", "flat", "TARGET"]
     out = correlation.spearman_matrix(df, columns, rows_per_range=rows_per_range).collect()
@@ -90,6 +94,22 @@ def test_roc_auc(table, rows_per_range):
     assert metrics.roc_auc(df, "a", rows_per_range=rows_per_range).first()["roc_auc"] == pytest.approx(expected)
 
 
+def test_roc_auc_of_models_with_narrow_scores(spark):
+    """One model's scores lie within a hundredth of the others' range; it is cut as finely as they are."""
+    rng = random.Random(9)
+    records = [(m, int(rng.random() < 0.3), round(rng.random() * wide + low, 6))
+               for m, wide, low in (("wide", 1.0, 0.0), ("narrow", 0.01, 0.5), (None, 0.5, 0.2)) for _ in range(900)]
+    df = spark.createDataFrame(records, "model string, TARGET int, p double")
+    cells, cuts = ranks.grouped_cells(df, "p", ["model"], ["TARGET"], 100)
+    assert len(cuts) == 3 and all(len(at) >= 7 for at in cuts.values())
+    sizes = {(r["model"], r["range"]): r["n"] for r in cells.groupBy("model", "range").agg(F.count("*").alias("n")).collect()}
+    assert max(sizes.values()) < 200 and len(sizes) >= 24
+    got = {r["model"]: r["roc_auc"] for r in metrics.roc_auc(df, "p", by=["model"], rows_per_range=100).collect()}
+    for model in ("wide", "narrow", None):
+        pos, neg = ([p for m, y, p in records if m == model and y == v] for v in (1, 0))
+        assert got[model] == pytest.approx(sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / len(pos) / len(neg))
+
+
 def test_roc_auc_small(spark):
     df = spark.createDataFrame([(0.1, 0), (0.4, 0), (0.4, 1), (0.8, 1)], "p double, TARGET int")
     assert metrics.roc_auc(df, "p").first()["roc_auc"] == 0.875
