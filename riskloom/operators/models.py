@@ -26,6 +26,7 @@ from ..session import stage, staged_path, unstage
 from .metrics import roc_auc
 from .preprocess import Recipe, class_counts, fit_fills, fit_recipe, load_recipe, save_recipe
 from .scoring import BANDS, THRESHOLD, decisions, pad_columns
+from .stopping import PATIENCE, kept_trees
 
 SEED = 42
 #: text columns with fewer texts are categories to the trees
@@ -63,16 +64,13 @@ def tree_depth(params: Mapping[str, float]) -> int:
     return max(1, min(limits, default=5))
 
 
-def estimator(key: str, params: Mapping[str, float], rounds: int, max_bins: int = 64, seed: int = SEED,
-              validated: bool = False):
+def estimator(key: str, params: Mapping[str, float], rounds: int, max_bins: int = 64, seed: int = SEED):
     columns = dict(featuresCol="features", labelCol="label", weightCol="weight")
     if key == "sgd":
         return LogisticRegression(elasticNetParam=params["l1_ratio"], regParam=params["alpha"], maxIter=rounds,
                                   standardization=False, **columns)
     share = params.get("colsample_bytree", 1.0)
     at_least = params.get("min_child_samples", params.get("min_child_weight", 1))
-    if validated:   # stops at the first tree after which the validation loss is higher than the best so far
-        columns |= dict(validationIndicatorCol="validation", validationTol=0.0)
     return GBTClassifier(
         maxIter=rounds, maxDepth=tree_depth(params), stepSize=params["learning_rate"],
         subsamplingRate=params.get("subsample", 1.0), featureSubsetStrategy="all" if share >= 1 else str(share),
@@ -184,15 +182,32 @@ def prepare(key: str, train: DataFrame, val: DataFrame | None = None, label: str
         T.StructType([f for f in train.schema.fields if f.name not in outside]))
 
 
-def fit_prepared(prepared: Prepared, params: Mapping[str, float] | None = None, rounds: int | None = None) -> Bundle:
-    """Fit one parameter set, once. With validation vectors, boosting stops by the loss there and keeps the best length."""
+def _boosted(prepared: Prepared, params: Mapping[str, float], rounds: int, patience: int):
+    """(model, trees to keep, validation ROC-AUC with these): boosting that ends after ``patience`` trees without gain.
+
+    Trees depend on those before them only, so a longer fit begins with a shorter one's trees: a fit in which
+    patience has not run out is made again with twice the trees.
+    """
+    trees = min(rounds, patience + max(1, patience // 4))
+    while True:
+        model = estimator(prepared.key, params, trees, prepared.max_bins).fit(prepared.train)
+        kept, stopped, area = kept_trees(model, prepared.val, patience)
+        if stopped or trees == rounds:
+            return model, kept, area
+        trees = min(rounds, 2 * trees)
+
+
+def fit_prepared(prepared: Prepared, params: Mapping[str, float] | None = None, rounds: int | None = None,
+                 patience: int = PATIENCE) -> Bundle:
+    """Fit one parameter set. With validation vectors a boosted family keeps the trees with the best ROC-AUC there."""
     key = prepared.key
     params, rounds = {**FAMILIES[key].params, **(params or {})}, rounds or FAMILIES[key].rounds
-    validated = prepared.val is not None and key != "sgd"
-    rows = prepared.train
-    if validated:
-        rows = rows.withColumn("validation", F.lit(False)).unionByName(prepared.val.withColumn("validation", F.lit(True)))
-    model = estimator(key, params, rounds, prepared.max_bins, validated=validated).fit(rows)
+    if prepared.val is not None and key != "sgd":
+        model, kept, _ = _boosted(prepared, params, rounds, patience)
+        if kept < model.getNumTrees:
+            model = estimator(key, params, kept, prepared.max_bins).fit(prepared.train)
+    else:
+        model = estimator(key, params, rounds, prepared.max_bins).fit(prepared.train)
     return Bundle(key, prepared.recipe, PipelineModel(prepared.assembly.stages + [model]), params, prepared.input_schema)
 
 
@@ -202,12 +217,15 @@ def fitted_rounds(bundle: Bundle) -> int | None:
 
 
 def fit_family(key: str, train: DataFrame, val: DataFrame | None = None, params: Mapping[str, float] | None = None,
-               rounds: int | None = None, label: str = LABEL, id_column: str = ID) -> Bundle:
-    return fit_prepared(prepare(key, train, val, label, id_column), params, rounds)
+               rounds: int | None = None, label: str = LABEL, id_column: str = ID, patience: int = PATIENCE) -> Bundle:
+    return fit_prepared(prepare(key, train, val, label, id_column), params, rounds, patience)
 
 
-def evaluate_params(prepared: Prepared, params: Mapping[str, float], rounds: int | None = None) -> float | None:
+def evaluate_params(prepared: Prepared, params: Mapping[str, float], rounds: int | None = None,
+                    patience: int = PATIENCE) -> float | None:
     """Validation ROC-AUC of one parameter set; the evaluation rows are never touched. None where one class is missing."""
+    if prepared.key != "sgd":
+        return _boosted(prepared, {**FAMILIES[prepared.key].params, **params}, rounds or FAMILIES[prepared.key].rounds, patience)[2]
     model = fit_prepared(prepared, params, rounds).pipeline.stages[-1]
     scored = model.transform(prepared.val).select("label", vector_to_array("probability")[1].alias("probability"))
     spark, path = scored.sparkSession, staged_path(scored.sparkSession, f"{prepared.key}-scored")
@@ -217,14 +235,15 @@ def evaluate_params(prepared: Prepared, params: Mapping[str, float], rounds: int
     return area
 
 
-def validation_objective(train: DataFrame, val: DataFrame, rounds: int | None = None, label: str = LABEL):
+def validation_objective(train: DataFrame, val: DataFrame, rounds: int | None = None, label: str = LABEL,
+                         patience: int = PATIENCE):
     """(family key, params) -> validation ROC-AUC; each family is prepared at its first trial."""
     prepared: dict[str, Prepared] = {}
 
     def objective(key: str, params: Mapping[str, float]) -> float | None:
         if key not in prepared:
             prepared[key] = prepare(key, train, val, label)
-        return evaluate_params(prepared[key], params, rounds)
+        return evaluate_params(prepared[key], params, rounds, patience)
     return objective
 
 
@@ -280,7 +299,7 @@ def train_final(df: DataFrame, path: str, params: Mapping[str, float] | None = N
 
 
 def train_baselines(split_rows: DataFrame, rounds: int | None = None, label: str = LABEL,
-                    folder: str | None = None) -> tuple[DataFrame, dict[str, Bundle]]:
+                    folder: str | None = None, patience: int = PATIENCE) -> tuple[DataFrame, dict[str, Bundle]]:
     """Fit the four families on train (length chosen on val) and score the evaluation split.
 
     Returns (applicant, label, model, probability) rows and the bundles; with ``folder`` the
@@ -291,7 +310,7 @@ def train_baselines(split_rows: DataFrame, rounds: int | None = None, label: str
     scored, bundles, trained = None, {}, train.count()
     fills = fit_fills(train, label)
     for key, family in FAMILIES.items():   # each fit spreads over the whole cluster
-        bundle = fit_prepared(prepare(key, train, val, label, fills=fills), None, rounds)
+        bundle = fit_prepared(prepare(key, train, val, label, fills=fills), None, rounds, patience)
         bundle.metadata = bundle_metadata(bundle, trained)
         if folder:
             save_bundle(spark, bundle, f"{folder}/{key}")
