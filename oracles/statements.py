@@ -86,8 +86,13 @@ def point(values: str, p: float) -> str:
 ALL_TEXT = {"all_text": texts(NAMES, "stored_raw")}
 add("table_info", f"""SELECT (SELECT count(*) FROM assembled) AS row_count, CAST({len(NAMES) - 1} AS BIGINT) AS feature_count,
     count(*) FILTER (WHERE value IS NULL) AS missing_cells FROM all_text""", **ALL_TEXT)
-add("column_info", f"""SELECT CAST(list_position([{', '.join(f"'{n}'" for n in NAMES)}], feature) - 1 AS BIGINT) AS ordinal,
-    feature, count(value) AS non_null FROM all_text GROUP BY feature""", **ALL_TEXT)
+_KINDS = {"i": "bigint", "d": "double", "s": "string"}
+_LISTED = ", ".join(f"('{n}', {i}, '{_KINDS[k]}')" for i, (k, n, *_) in enumerate(base.ASSEMBLED))
+add("column_info", f"""SELECT CAST(ordinal AS BIGINT) AS ordinal, feature, dtype, count(value) AS non_null FROM all_text
+    JOIN (VALUES {_LISTED}) l(feature, ordinal, dtype) USING (feature) GROUP BY feature, ordinal, dtype""", **ALL_TEXT)
+add("name_rules", f"""SELECT feature, feature LIKE 'SK\\_ID%' ESCAPE '\\' AS is_id, contains(feature, 'DAYS') AS is_days,
+    contains(lower(feature), 'month') AS is_month, contains(lower(feature), 'ratio') AS is_ratio,
+    contains(lower(feature), 'count') OR contains(lower(feature), 'cnt_') AS is_count FROM (VALUES {_LISTED}) l(feature, ordinal, dtype)""")
 add("missing_report", f"""SELECT feature, count(*) FILTER (WHERE value IS NULL) AS missing,
     {base.single("count(*) FILTER (WHERE value IS NULL) / count(*) * 100")} AS missing_pct
     FROM all_text GROUP BY feature HAVING missing > 0""", **ALL_TEXT)
@@ -240,6 +245,15 @@ add("check_row_counts", "SELECT 'application' AS table_name, count(*) AS row_cou
                         "UNION ALL SELECT 'assembled', count(*) FROM assembled")
 
 
+_WATCHED = {"applications": "application", "bureau": "bureau_features", "previous_application": "previous_features",
+            "installments_payments": "installment_features", "credit_card_balance": "credit_card_features",
+            "POS_CASH_balance": "pos_features", "assembled": "assembled"}
+add("observed_assembly", " UNION ALL ".join(
+    f"SELECT '{p}' AS place, count(*) AS row_count, count(SK_ID_CURR) AS key_rows, CAST(sum(SK_ID_CURR) AS BIGINT) AS key_sum "
+    f"FROM (SELECT SK_ID_CURR FROM {t}) q" for p, t in _WATCHED.items()))
+add("bucketed_assembly", select_shown(base.ASSEMBLED, "assembled"))
+
+
 # --- split ----------------------------------------------------------------------------------------
 
 def split_tables(source: str) -> dict[str, str]:
@@ -268,6 +282,19 @@ add("stratified_split_sizes", "SELECT CAST(TARGET AS BIGINT) AS TARGET, split, c
 add("split_round_trip", select_shown(base.APPLICATION, "members WHERE split = 'val'"), **APP_SPLIT)
 
 
+_BY_ID = {
+    "loans": "SELECT SK_ID_BUREAU, SK_ID_CURR, CAST(SK_ID_CURR % 9 = 0 OR SK_ID_BUREAU % 501 = 0 AS INT) AS TARGET FROM bureau",
+    "ids": "SELECT SK_ID_CURR, min(TARGET) AS TARGET, count(*) AS n FROM loans GROUP BY SK_ID_CURR",
+    **{**split_tables("loans"), "class_sizes": """SELECT TARGET, CAST(sum(n) AS BIGINT) AS n, CAST(sum(sum(n)) OVER () AS BIGINT) AS total
+        FROM ids GROUP BY TARGET""",
+       "members": """SELECT SK_ID_CURR, CASE WHEN 2 * (train_n - before) >= n THEN 'train' WHEN 2 * (train_n + val_n - before) >= n
+           THEN 'val' ELSE 'eval' END AS split FROM (SELECT *, sum(n) OVER (PARTITION BY TARGET ORDER BY
+           md5(SK_ID_CURR || '-42'), SK_ID_CURR) - n AS before FROM ids) i JOIN split_sizes USING (TARGET)"""},
+}
+add("split_repeated_ids", """SELECT SK_ID_BUREAU, SK_ID_CURR, CAST(loans.TARGET AS BIGINT) AS TARGET, split
+    FROM loans JOIN members USING (SK_ID_CURR)""", **_BY_ID)
+
+
 # --- preprocessing --------------------------------------------------------------------------------
 
 FILLED_NAMES = [n for k, n, *_ in base.ASSEMBLED if k != "s" and n not in ("SK_ID_CURR", "TARGET")]
@@ -362,6 +389,12 @@ add("threshold_decision", f"""SELECT SK_ID_CURR, TARGET, model, {base.single('pr
          ELSE 'Very high' END AS risk_band FROM scored""", **SCORED)
 
 
+add("scored_arrivals", f"""SELECT SK_ID_CURR, TARGET, {base.single('probability')} AS probability,
+    CASE WHEN probability >= 0.48 THEN 'High risk' ELSE 'Low risk' END AS decision,
+    CASE WHEN probability < 0.25 THEN 'Low' WHEN probability < 0.5 THEN 'Medium' WHEN probability < 0.75 THEN 'High'
+         ELSE 'Very high' END AS risk_band FROM scored WHERE model = 'CatBoost Classifier'""", **SCORED)
+
+
 def _padded():
     from riskloom.sources.schemas import APPLICATION_TEST
     have = {n: k for k, n, *_ in base.APPLICATION if n not in ("TARGET", "AMT_CREDIT")}
@@ -378,9 +411,9 @@ add("search_summary", f"""SELECT family, {base.single('auc')} AS val_roc_auc, tr
     row_number() OVER (PARTITION BY o_orderpriority ORDER BY round(o_totalprice / 500000, 2) DESC, o_orderkey) AS place
     FROM orders) t WHERE place = 1""")
 add("train_baselines", """SELECT unnest(['Elastic Net log reg', 'XG Boost Classifier', 'LightGBM Classifier', 'CatBoost Classifier'])
-    AS model, true AS metrics_valid, true AS ranked""")
+    AS model, true AS metrics_valid, true AS learnt, true AS ranked""")
 add("random_search", "SELECT CAST(t AS INTEGER) AS trial, 2 AS valid_families FROM range(3) r(t)")
 add("final_model", """SELECT 'CatBoost Classifier' AS model_name, 'catbc_full' AS model_key, 'catbc' AS model_family,
     count(*) AS trained_rows, 'customer' AS source_data, '0.48' AS threshold FROM customer""")
-add("score_batch", """SELECT c_custkey AS SK_ID_CURR, true AS probability_valid, true AS decision_valid, true AS band_valid
+add("score_batch", """SELECT c_custkey AS SK_ID_CURR, true AS probability_valid, true AS learnt, true AS decision_valid, true AS band_valid
     FROM customer""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,6 +43,34 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return report
 
 
+def watch(df: DataFrame, key: str, place: str, watched: dict[str, Observation] | None, split: str | None = None) -> DataFrame:
+    """``df``, its rows and keys counted by whatever job runs over it; no scan of its own. ``watched`` gets the counts.
+
+    ``split`` names a column whose values train and test are counted apart, where the table has it.
+    """
+    if watched is None:
+        return df
+    watched[place] = Observation()
+    parts = [F.count_if(F.col(split) == v).alias(v) for v in ("train", "test")] if split in df.columns else []
+    return df.observe(watched[place], F.count(F.lit(1)).alias("row_count"), F.count(key).alias("key_rows"),
+                      F.sum(F.col(key).cast("decimal(38,0)")).alias("key_sum"), *parts)
+
+
+def watched_report(spark: SparkSession, watched: dict[str, Observation]) -> DataFrame:
+    """(place, row_count, key_rows, key_sum), a row for each watched place, once the job has run.
+
+    A left join keeps its rows if what comes out has the rows, keys and sum of keys of the left side.
+    """
+    rows = [(place, *(seen.get.get(c) for c in ("row_count", "key_rows", "key_sum"))) for place, seen in watched.items()]
+    return spark.createDataFrame(rows, "place string, row_count long, key_rows long, key_sum decimal(38,0)")
+
+
+def assert_kept(before: Observation, after: Observation, what: str) -> None:
+    """Fail if a join lost, repeated or exchanged rows of its left side, by the counts of both."""
+    if before.get != after.get:
+        raise ValueError(f"{what}: {before.get} became {after.get}")
+
+
 def assert_unique(df: DataFrame, key: str, what: str) -> None:
     if not repeated_keys(df, key).isEmpty():
         raise ValueError(f"{what}: {key} is not unique")

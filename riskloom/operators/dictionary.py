@@ -94,6 +94,8 @@ def encode(df: DataFrame, dictionary: Dictionary, columns: Sequence[str], spread
         codes = dictionary.of(spark, c).withColumnsRenamed({"value": c, "code": "__code"})
         if dictionary.widths[c] + 8 * dictionary.sizes[c] <= BROADCAST_BYTES:
             df = df.join(F.broadcast(codes), c, "left")
+        elif df.isStreaming:    # hot texts of a stream aren't known beforehand
+            df = df.join(codes, c, "left")
         else:
             df = join_rollup(df, codes, c, spread_by, "left")
         df = df.drop(c).withColumnRenamed("__code", c)

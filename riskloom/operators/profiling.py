@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,8 +14,15 @@ from ..functions.scalar import nan_to_null, sample_skewness
 from ..functions.selectors import (
     ID, LABEL, boolean_columns, day_columns, float_columns, month_columns, numeric_columns, string_columns, without)
 from ..functions.sqltext import INFINITE, number, quoted, text
+from ..session import stage
 
 FENCE = 1.5
+#: up to this many repeated digests (16 bytes each) are broadcast
+REPEATED_DIGESTS = 500_000
+#: values that a summary of frequent values tracks at least; longer texts enter it as a digest
+LEAST_TRACKED, LONG_TEXT = 1024, 64
+#: whole numbers of one bitmap, and values that a column needs for each bitmap
+BUCKET, ROWS_PER_BUCKET = 32_768, 2_048
 
 
 def _per_column(df: DataFrame, columns: Sequence[str], measure: str, name: str) -> DataFrame:
@@ -91,15 +99,55 @@ def head(df: DataFrame, key: str, n: int = 5) -> DataFrame:
 
 # --- duplicates and near-constants -------------------------------------------------------
 
+def _row_digest(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a row that are the same for equal rows; which cells are NULL goes in as well."""
+    cells = [F.col(quoted(c)) for c in df.columns]
+    present = F.concat(*[F.when(c.isNull(), "0").otherwise("1") for c in cells])
+    return [F.xxhash64(*cells, present).alias("__h1"), F.xxhash64(present, *reversed(cells)).alias("__h2")]
+
+
+def _hashable(df: DataFrame) -> bool:
+    return bool(df.columns) and "map<" not in df.schema.simpleString()
+
+
+def _repeated_digests(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """(__h1, __h2, __n) of the digests that more than one row has; the observation counts all rows."""
+    seen = Observation()
+    counts = df.select(*_row_digest(df)).groupBy("__h1", "__h2").agg(F.count("*").alias("__n"))
+    return stage(counts.observe(seen, F.sum("__n").alias("row_count")).where("__n > 1"), "repeated-digests"), seen
+
+
+def _among(df: DataFrame, digests: DataFrame, how: str) -> DataFrame:
+    """Rows of ``df`` whose digest is (left_semi) or isn't (left_anti) among ``digests``."""
+    return df.select("*", *_row_digest(df)).join(digests, ["__h1", "__h2"], how).select(*[quoted(c) for c in df.columns])
+
+
 def duplicate_report(df: DataFrame) -> DataFrame:
-    """One row: rows, and how many of them repeat an earlier row."""
-    return df.groupBy(*df.columns).agg(F.count("*").alias("__copies")).agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("row_count"),
+    """One row: rows, and how many of them repeat an earlier row.
+
+    Row digests of 16 bytes are counted first; only rows whose digest repeats are moved and compared in full.
+    """
+    if not _hashable(df):
+        return df.groupBy(*df.columns).agg(F.count("*").alias("__copies")).agg(
+            F.coalesce(F.sum("__copies"), F.lit(0)).alias("row_count"),
+            F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicates"))
+    repeated, seen = _repeated_digests(df)
+    alike = _among(df, repeated.drop("__n"), "left_semi")
+    return alike.groupBy(*map(quoted, df.columns)).agg(F.count("*").alias("__copies")).agg(
+        F.lit(seen.get["row_count"] or 0).cast("long").alias("row_count"),
         F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicates"))
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """Each row once. While the repeated digests fit a broadcast, rows with a digest of their own stay where they are."""
+    if not _hashable(df):
+        return df.dropDuplicates()
+    repeated = _repeated_digests(df)[0].drop("__n")
+    n = repeated.count()
+    if n > REPEATED_DIGESTS:
+        return df.dropDuplicates()
+    few = F.broadcast(repeated)
+    return _among(df, few, "left_anti").unionByName(_among(df, few, "left_semi").dropDuplicates()) if n else df
 
 
 def value_text(name: str, kind: T.DataType) -> str:
@@ -112,19 +160,40 @@ def value_text(name: str, kind: T.DataType) -> str:
     return f"CAST({quoted(name)} AS STRING)" if plain else f"to_json(struct({quoted(name)}))"
 
 
-def top_shares(df: DataFrame) -> DataFrame:
-    """(feature, top_share): the share of the most frequent value of each column, NULL included.
-
-    Values are counted where they lie, so a value of many rows is one row in the shuffle.
-    """
-    cells = ", ".join(f"struct({text(f.name)} AS feature, {value_text(f.name, f.dataType)} AS value)" for f in df.schema.fields)
-    counts = df.selectExpr(f"inline(array({cells}))").groupBy("feature", "value").agg(F.count("*").alias("n"))
-    return counts.groupBy("feature").agg((F.max("n") / F.sum("n")).alias("top_share"))
+def _cell_texts(df: DataFrame) -> DataFrame:
+    """t0, t1, ...: every cell as a text, NULL as the empty one; texts of over LONG_TEXT characters as their SHA-256."""
+    def shown(f):
+        cell = value_text(f.name, f.dataType)
+        return f"coalesce(concat('=', if(char_length({cell}) > {LONG_TEXT}, sha2({cell}, 256), {cell})), '')"
+    return df.selectExpr(*[f"{shown(f)} AS t{i}" for i, f in enumerate(df.schema.fields)])
 
 
 def near_constant(df: DataFrame, share: float = 0.995) -> DataFrame:
-    """(feature, top_share) of the columns where one value, NULL included, has that share."""
-    return top_shares(df).where(F.col("top_share") >= share)
+    """(feature, top_share) of the columns where one value, NULL included, has that share.
+
+    Summaries of frequent values, one for each column and task and merged in two levels, name the values that may have the share: a
+    summary of m values counts none too low, nor too high by more than 3.5 / m of the rows, so there are few. These are
+    then counted exactly, in one pass. No cell is shuffled.
+    """
+    spark, names = df.sparkSession, df.columns
+    if not names:
+        return spark.createDataFrame([], "feature string, top_share double")
+    tracked = max(LEAST_TRACKED, 2 ** math.ceil(math.log2(16 / share)))
+    most = math.ceil(1 / (share - 3.5 / tracked)) + 1
+    fan, cells = int(spark.conf.get("spark.sql.shuffle.partitions")), _cell_texts(df)
+    by_task = cells.groupBy(F.pmod(F.spark_partition_id(), F.lit(fan)).alias("task")).agg(F.count("*").alias("n"), *[
+        F.call_function("approx_top_k_accumulate", F.col(f"t{i}"), F.lit(tracked)).alias(f"s{i}") for i in range(len(names))])
+    merged = by_task.withColumn("every", F.lit(0)).groupBy("every").agg(F.sum("n").alias("n"), *[F.call_function("approx_top_k_estimate", F.call_function(
+        "approx_top_k_combine", F.col(f"s{i}"), F.lit(tracked)), F.lit(most)).alias(f"s{i}") for i in range(len(names))]).first()
+    rows = merged["n"] if merged else 0
+    likely = [(i, r["item"]) for i in range(len(names) if rows else 0) for r in merged[f"s{i}"] if r["count"] >= share * rows]
+    if not likely:
+        return spark.createDataFrame([], "feature string, top_share double")
+    counts = cells.selectExpr(*[f"count_if(t{i} = {text(value)})" for i, value in likely]).first()
+    shares: dict[int, float] = {}
+    for (i, _), n in zip(likely, counts):
+        shares[i] = max(shares.get(i, 0.0), n / rows)
+    return spark.createDataFrame([(names[i], s) for i, s in shares.items() if s >= share], "feature string, top_share double")
 
 
 def near_constant_columns(train: DataFrame, share: float = 0.995) -> list[str]:
@@ -185,10 +254,35 @@ def iqr_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
         (F.count_if(_outside()) / F.count("*") * 100).alias("outlier_pct"))
 
 
+def _dense_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Whole-number columns with at least ROWS_PER_BUCKET values for each bucket that they span (or one bucket)."""
+    whole = [f.name for f in df.schema.fields if f.name in set(columns) and isinstance(f.dataType, T.IntegralType)]
+    if not whole:
+        return []
+    ends = df.selectExpr(*[f"struct(count({quoted(c)}), min({quoted(c)}), max({quoted(c)})) AS c{i}" for i, c in enumerate(whole)]).first()
+    return [c for c, (n, low, high) in zip(whole, ends) if n and (high // BUCKET - low // BUCKET + 1) * ROWS_PER_BUCKET <= max(n, ROWS_PER_BUCKET)]
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, distinct_values) of numeric columns: exact, NULL not counted."""
-    values = unpivoted(df, columns).where(F.col("value").isNotNull()).distinct()
-    return values.groupBy("feature").agg(F.count("*").alias("distinct_values"))
+    """(feature, distinct_values) of numeric columns: exact, NULL not counted.
+
+    Whole numbers that lie close are marked in bitmaps, a bit for each value and 4 KB for 32,768 of them, and the
+    bitmaps are merged; the others' distinct values are shuffled.
+    """
+    dense = _dense_columns(df, columns)
+    loose, found = [c for c in columns if c not in dense], None
+    if loose:
+        values = unpivoted(df, loose).where(F.col("value").isNotNull()).distinct()
+        found = values.groupBy("feature").agg(F.count("*").alias("distinct_values"))
+    if dense:
+        cells = ", ".join(f"CAST({quoted(c)} AS BIGINT)" for c in dense)
+        listed = df.selectExpr(f"posexplode(array({cells})) AS (place, value)").where("value IS NOT NULL")
+        bitmaps = listed.groupBy("place", F.bitmap_bucket_number("value").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("value")).alias("bits"))
+        counts = bitmaps.groupBy("place").agg(F.sum(F.bitmap_count("bits")).alias("distinct_values"))
+        marked = counts.selectExpr(f"get(array({', '.join(map(text, dense))}), place) AS feature", "distinct_values")
+        found = marked if found is None else found.unionByName(marked)
+    return found
 
 
 def skew_report(df: DataFrame, k: int | None = 20, label: str = LABEL) -> DataFrame:

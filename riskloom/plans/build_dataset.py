@@ -11,25 +11,24 @@ from pyspark.sql import functions as F
 
 from ..functions.selectors import ID, LABEL
 from ..operators.assemble import build
-from ..operators.checks import assert_unique
+from ..operators.checks import assert_kept, assert_unique, watched_report
 from ..session import get_session
 from ..sources.readers import load_sources
 from ..sources.writers import feature_names, write_dataset
 
 
 def run(spark, source: str, out: str, fmt: str = "csv", null_sentinel_first: bool = False) -> None:
-    """Writes final_train, final_test (parquet) and the column names of each."""
+    """Writes both datasets (parquet), the column names of each, and the counts observed while they were joined."""
     sources = load_sources(spark, source, fmt)
     for name in ("application_train", "application_test"):
         assert_unique(sources[name], ID, name)
-    built = build(sources, null_sentinel_first)
+    watched: dict = {}
+    built = build(sources, null_sentinel_first, watched)
     # both datasets come out of one plan; the folder per dataset keeps their scans apart
     built.write.mode("overwrite").partitionBy("dataset").parquet(f"{out}/final")
-    rows = {r["dataset"]: r["n"] for r in spark.read.parquet(f"{out}/final").groupBy("dataset").agg(F.count("*").alias("n")).collect()}
+    assert_kept(watched["applications"], watched["assembled"], "applicants")
+    write_dataset(watched_report(spark, watched).coalesce(1), f"{out}/observed")
     for dataset, dropped in (("train", ["dataset"]), ("test", ["dataset", LABEL])):
-        before = sources[f"application_{dataset}"].count()
-        if rows.get(dataset, 0) != before:
-            raise ValueError(f"{dataset}: {before} applicants became {rows.get(dataset, 0)} rows")
         names = feature_names(spark.read.parquet(f"{out}/final").where(F.col("dataset") == dataset).drop(*dropped))
         write_dataset(names.coalesce(1), f"{out}/final_{dataset}_feature_names", "csv")
 

@@ -72,6 +72,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return normalize_missing(df)
 
 
+def stream_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv", files: int | None = None) -> DataFrame:
+    """Files of a folder as they come. CSV files have a header with the schema's columns in its order; others fail the job."""
+    reader = spark.readStream if files is None else spark.readStream.option("maxFilesPerTrigger", files)
+    if fmt == "parquet":
+        return normalize_missing(reader.schema(schema).parquet(path))
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = reader.schema(texts).option("header", True).option("enforceSchema", False).option("quote", '"').option("escape", '"').csv(path)
+    return normalize_missing(raw).select([_typed(f) for f in schema.fields])
+
+
 def load_sources(spark: SparkSession, folder: str, fmt: str = "csv", schemas=None) -> dict[str, DataFrame]:
     """The eight raw tables of ``folder`` by name."""
     return {name: read_table(spark, f"{folder.rstrip('/')}/{name}.{fmt}", schema)
