@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.quantiles import unpivoted
 from ..functions.ranks import ROWS_PER_RANGE, average_rank, cut_points, range_cells, running_counts
 from ..functions.selectors import ID, LABEL, numeric_columns
-from ..functions.sqltext import as_double, quoted, text
+from ..functions.sqltext import as_double, number, quoted, text
 from ..session import stage
 
 # A value is looked up through a broadcast table when it holds at least 1/FREQUENT of a
@@ -90,7 +90,11 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = ID,
     lookup = stage(counts.select(
         "feature", "value", "n", F.array(*[average_rank(s) for s in sizes]).alias("ranks")), "ranks")
 
-    total = rows.count()
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
+    within = sorted({(i, classes[columns[j]]) for p in pairs for i, j in (p, p[::-1])})
+    sizes_of = rows.selectExpr("count(*) AS total", *[
+        f"count_if({quoted(columns[i])} IS NOT NULL AND {quoted(members[m])} IS NOT NULL) AS n{i}_{m}" for i, m in within]).first()
+    total = sizes_of["total"]
     frequent = F.col("n") * FREQUENT >= total
     values = unpivoted(rows, columns, [key]).where(F.col("value").isNotNull())
     common = F.broadcast(lookup.where(frequent).drop("n"))  # <= FREQUENT rows per column
@@ -101,24 +105,23 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str = ID,
 
     # at most one entry per column and row
     by_row = ranked.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("feature", "ranks"))).alias("ranks"))
-    held = {m: f"try_element_at(ranks, {text(c)})" for m, c in members.items()}
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
-    within = sorted({(i, classes[columns[j]]) for p in pairs for i, j in (p, p[::-1])})
-    # the rank of column i among the rows that hold it and the columns of class m; NULL for all other rows
+    by_row = by_row.selectExpr(f"array({', '.join(f'try_element_at(ranks, {text(c)})' for c in columns)}) AS ranks")
+    place, at_class = {m: columns.index(c) for m, c in members.items()}, {m: k for k, m in enumerate(members)}
+    # the rank of column i among the rows that hold it and the columns of class m, less its mean (n + 1) / 2; 0 for other rows
     flat = by_row.selectExpr(*[
-        f"CASE WHEN {held[m]} IS NOT NULL THEN get(try_element_at(ranks, {text(columns[i])}), {list(members).index(m)}) END AS r{i}_{m}"
-        for i, m in within])
+        f"CASE WHEN get(ranks, {place[m]}) IS NOT NULL AND get(ranks, {i}) IS NOT NULL THEN get(get(ranks, {i}), {at_class[m]}) - "
+        f"{number((sizes_of[f'n{i}_{m}'] + 1) / 2)} ELSE 0D END AS r{i}_{m}" for i, m in within])
     rounds = -(-len(pairs) // PAIRS)
     flat = stage(flat, "row-ranks") if rounds > 1 else flat
     sums = None
     for at in range(rounds):
         some = pairs[at * PAIRS:(at + 1) * PAIRS]
-        ranks = {(i, j): (f"r{i}_{classes[columns[j]]}", f"r{j}_{classes[columns[i]]}") for i, j in some}
-        spread = {r: f"v{k}" for k, r in enumerate(sorted({r for xy in ranks.values() for r in xy}))}
-        wide = flat.agg(*[F.covar_pop(*xy).alias(f"c{k}") for k, xy in enumerate(ranks.values())],
-                        *[F.var_pop(r).alias(v) for r, v in spread.items()])
-        listed = ", ".join(f"struct({at * PAIRS + k} AS pair, c{k} AS c, {spread[x]} AS vx, {spread[y]} AS vy)"
-                           for k, (x, y) in enumerate(ranks.values()))
+        ranks = [(f"r{i}_{classes[columns[j]]}", f"r{j}_{classes[columns[i]]}") for i, j in some]
+        squares = {r: f"v{k}" for k, r in enumerate(sorted({r for xy in ranks for r in xy}))}
+        wide = flat.selectExpr(*[f"sum({x} * {y}) AS c{k}" for k, (x, y) in enumerate(ranks)],
+                               *[f"sum({r} * {r}) AS {v}" for r, v in squares.items()])
+        listed = ", ".join(f"struct({at * PAIRS + k} AS pair, c{k} AS c, {squares[x]} AS vx, {squares[y]} AS vy)"
+                           for k, (x, y) in enumerate(ranks))
         one = wide.selectExpr(f"inline(array({listed}))")
         sums = one if sums is None else sums.unionByName(one)
     names = df.sparkSession.createDataFrame([(p, columns[i], columns[j]) for p, (i, j) in enumerate(pairs)],
