@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import small_batches, table, whole_text
+from riskloom.llm.common import small_batches, table, whole_text, written
 
 #: BM25 constants
 K1, B = 1.2, 0.75
@@ -53,26 +54,42 @@ def shingles(words: list) -> set[tuple]:
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+@dataclass
+class Statistics:
+    """What all items of a benchmark say together: how many have words, their mean and greatest number of words, and how
+    many hold each word (of those words that a segment needs)."""
+
+    items: int
+    mean: float
+    longest: int
+    holders: dict[str, int]
+
+    @staticmethod
+    def of(items: list[tuple[int | None, str]]) -> "Statistics":
+        words = [w for w in (plain_words(t) for _, t in items) if w]
+        sizes = [len(w) for w in words]
+        return Statistics(len(words), sum(sizes) / max(1, len(sizes)), max(sizes, default=0), Counter(w for ws in words for w in set(ws)))
+
+
 class Index:
     """Postings by term in blocks of BLOCK items. An item's weights are divided by its score against itself.
 
     Items are numbered by length, so the items of a block have impacts of one size and its maximum is tight.
     """
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
-        known = sorted(((plain_words(t), i, t) for i, t in items), key=lambda x: (len(x[0]), x[1]))
+    def __init__(self, items: list[tuple[int | None, str]], all_items: Statistics | None = None) -> None:
+        all_items = all_items or Statistics.of(items)
+        known = sorted(((plain_words(t), i, t) for i, t in items), key=lambda x: (len(x[0]), x[1] is None, x[1] or 0, x[2]))
         known = [(w, i, t) for w, i, t in known if w]
-        self.ids = np.array([i for _, i, _ in known], np.int64)
+        self.ids = [i for _, i, _ in known]
         self.vocabulary = {w: n for n, w in enumerate(sorted({w for ws, _, _ in known for w in ws}))}
-        self.longest = max((len(w) for w, _, _ in known), default=0)
+        self.longest = all_items.longest
         self.parts = [question_and_answer(t) for _, _, t in known]
         self.parts = [tuple([self.vocabulary[w] for w in part] for part in parts) for parts in self.parts]
-        lengths = np.array([len(w) for w, _, _ in known], float)
-        holders = Counter(t for ws, _, _ in known for t in set(ws))
-        rows = []
+        holders, rows = all_items.holders, []
         for number, (ws, _, _) in enumerate(known):
-            norm = K1 * (1 - B + B * lengths[number] / lengths.mean())
-            weights = {t: np.log1p((len(known) - holders[t] + 0.5) / (holders[t] + 0.5)) * n * (K1 + 1) / (n + norm)
+            norm = K1 * (1 - B + B * len(ws) / all_items.mean)
+            weights = {t: np.log1p((all_items.items - holders[t] + 0.5) / (holders[t] + 0.5)) * n * (K1 + 1) / (n + norm)
                        for t, n in Counter(ws).items()}
             own = sum(weights.values())
             rows += [(self.vocabulary[t], number, w / own) for t, w in weights.items()]
@@ -103,19 +120,33 @@ def retrieve(index: Index, passage: np.ndarray, term: np.ndarray, passages: int,
              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(passage, item, score) of all pairs with at least ``threshold``; ``passage`` and ``term`` are distinct pairs.
 
-    Bounds first, as in WAND: a passage whose terms' largest impacts don't add up to the threshold has no
-    pivot; then the maxima of the blocks, added up by (passage, block of items), must reach it; only postings
-    of the blocks that remain are read. Nothing that could reach the threshold is left out.
+    Bounds first, as in WAND: a passage's terms in order of their largest impacts have a pivot, the first at which
+    these add up to the threshold; an item of none of the terms from there on can't reach it, so only blocks of
+    items that such a term has are opened, and none of a passage without a pivot. Then the maxima of the blocks, added up by
+    (passage, block of items), must reach the threshold; only postings of the blocks that remain are read. Nothing that could
+    reach the threshold is left out.
     """
     slack = threshold - 1e-9
     bound = np.bincount(passage, index.term_max[term], passages)
     alive = bound[passage] >= slack
     passage, term = passage[alive], term[alive]
+    if not len(passage):
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+    order = np.lexsort((index.term_max[term], passage))
+    passage, term = passage[order], term[order]
+    sums = np.cumsum(index.term_max[term])
+    first = np.searchsorted(passage, passage)
+    from_pivot = sums - (sums - index.term_max[term])[first] >= slack - 1e-6    # sums over all passages round
+    width = len(index.ids) // BLOCK + 1
+    block, of = _spread(index.term_blocks[term[from_pivot]], index.term_blocks[term[from_pivot] + 1])
+    opened = np.unique(passage[from_pivot][of] * width + index.block_item[block])
     block, of = _spread(index.term_blocks[term], index.term_blocks[term + 1])
     of_passage = passage[of]
-    width = len(index.ids) // BLOCK + 1
-    group, place = np.unique(of_passage * width + index.block_item[block], return_inverse=True)
-    alive = np.bincount(place, index.block_max[block], len(group))[place] >= slack
+    group = of_passage * width + index.block_item[block]
+    place = np.minimum(np.searchsorted(opened, group), len(opened) - 1)
+    alive = opened[place] == group
+    block, of_passage, place = block[alive], of_passage[alive], place[alive]
+    alive = np.bincount(place, index.block_max[block], len(opened))[place] >= slack
     block, of_passage = block[alive], of_passage[alive]
     posting, of = _spread(index.block_first[block], index.block_first[block + 1])
     pair, place = np.unique(of_passage[of] * len(index.ids) + index.item[posting], return_inverse=True)
@@ -223,7 +254,7 @@ def _scanner(index: Index, threshold: float):
             if rows:
                 at, item, score, question, answer = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(at)), pa.array(index.ids[list(item)]), pa.array(score, pa.float64()),
+                    [batch.column("doc_id").take(pa.array(at)), pa.array([index.ids[i] for i in item], pa.int64()), pa.array(score, pa.float64()),
                      pa.array(question, pa.float64()), pa.array(answer, pa.float64())],
                     ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
@@ -240,10 +271,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     shingles of the question and of the answer (an item's last sentence) must stand in the passage's
     surroundings. Items are indexed in segments of about ``segment_chars`` characters by id hash; a segment is
     built on the driver and sent to the executors, and a benchmark of many segments is asked segment after
-    segment, so no object grows with either table. Document frequencies are those of the segment.
+    segment, so no object grows with either table. Document frequencies, mean length and the width of passages are those of
+    the whole benchmark, so the answer doesn't hang on the segments.
 
-    Null texts, empty texts and items without words match nothing. Null ids are carried through; rows that
-    repeat are reported each. Empty tables give no rows. Other columns are not read.
+    Null texts, empty texts and items without words match nothing. Null ids of documents and of items are carried
+    through; documents that repeat are reported each. Empty tables give no rows. Other columns are not read.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
@@ -252,14 +284,32 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
                         "answer_overlap double") for index in indexes(items, item_col, item_text_col, segment_chars)])
 
 
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [plain_words(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("segment"), pa.array([len(w) for w in words], pa.int64()), pa.array([sorted(set(w)) for w in words], pa.list_(pa.string()))],
+            ["segment", "size", "words"])
+
+
 def indexes(items: DataFrame, item_col: str, item_text_col: str, segment_chars: int = SEGMENT_CHARS) -> Iterator[Index]:
     """The index segments of a benchmark, one after the other."""
     named = items.select(F.col(item_col).cast("long").alias("item_id"), whole_text(item_text_col).alias("text")).distinct()
     chars = named.agg(F.sum(F.char_length("text"))).first()[0] or 0
     segments = max(1, -(-chars // segment_chars))
+    if segments == 1:
+        yield Index([(r.item_id, r.text) for r in named.collect()])
+        return
+    number = F.pmod(F.xxhash64(F.coalesce(F.col("item_id"), F.lit(0)), "text"), F.lit(segments)).cast("int")
+    named = written(named.withColumn("segment", number), "benchmark")
+    words = written(named.mapInArrow(_item_words, "segment int, size long, words array<string>").where("size > 0"), "benchmark-words")
+    total = words.agg(F.count("*"), F.avg("size"), F.max("size")).first()
+    held = words.select("segment", F.explode("words").alias("word"))
+    holders = written(held.groupBy("word").agg(F.count("*").alias("n")), "benchmark-holders")
     for segment in range(segments):
-        own = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(segments)) == segment)
-        yield Index([(r.item_id, r.text) for r in own.where("item_id is not null").collect()])
+        own = [(r.item_id, r.text) for r in named.where(F.col("segment") == segment).collect()]
+        asked = held.where(F.col("segment") == segment).select("word").distinct()
+        yield Index(own, Statistics(total[0], total[1] or 0.0, total[2] or 0, {r.word: r.n for r in holders.join(asked, "word").collect()}))
 
 
 def uncontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text_col: str = "text",

@@ -249,6 +249,24 @@ def test_decontaminate_against_full_search(spark, testdata):
     assert {r.doc_id for r in left.select("doc_id").collect()} == set(texts) - {i for i, _ in want}
 
 
+def test_segments_give_one_answer(spark):
+    """Items from one template, so that what a word weighs hangs on how many items hold it."""
+    draw = random.Random(8)
+    names = [f"name{i}" for i in range(400)]
+    items = [(i, f"What is the capital of the small country {names[i]} in the year {i % 9}? It is city{i} by the river.") for i in range(400)]
+    items.append((None, "An item without an id asks this question here. And this is the answer to it."))
+    texts = [f"{draw.choice(names)} wrote: {items[draw.randrange(401)][1]} {' '.join(draw.sample(names, 30))}" for _ in range(150)]
+    texts += [items[n][1].replace("small country", "country") for n in range(3, 40)]
+    docs, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+
+    def found(chars):
+        return sorted(((r.doc_id, r.item_id, round(r.score, 9), r.question_overlap, r.answer_overlap)
+                       for r in decontaminate(docs, bench, segment_chars=chars).collect()), key=str)
+    whole = found(8_000_000)
+    assert len(whole) > 100 and any(r[1] is None for r in whole)
+    assert found(9000) == whole and found(2500) == whole
+
+
 def test_retrieval_is_exhaustive():
     draw = random.Random(6)
     words = [f"w{int(draw.paretovariate(0.6))}" for _ in range(4000)]
@@ -268,7 +286,8 @@ def test_decontaminate_odd_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "Alpha beta gamma delta epsilon zeta eta theta."), (2, None), (3, ""), (4, "..."), (None, "two words"),
                                    (5, "Two words!"), (1, "Alpha beta gamma delta epsilon zeta eta theta.")], "item_id long, text string")
     got = sorted(((r.doc_id, r.item_id) for r in decontaminate(odd_docs, items).collect()), key=str)
-    assert got == sorted([(1, 1), (2, 1), (2, 1), (None, 1), (9, 5), (10, 5)], key=str)
+    assert got == sorted([(1, 1), (2, 1), (2, 1), (None, 1), (9, 5), (10, 5), (9, None), (10, None)], key=str)
+    assert {9, 10} == {r.doc_id for r in odd_docs.collect()} - {r.doc_id for r in uncontaminated(odd_docs, items.where("item_id is null")).collect()}
     assert decontaminate(no_docs, items).count() == 0
     assert decontaminate(odd_docs, items.where("false")).count() == 0
     assert uncontaminated(odd_docs, items.where("false")).count() == len(ODD_TEXTS)
