@@ -181,6 +181,17 @@ def test_near_duplicates_in_a_family_under_the_threshold(spark):
     assert sum(got[a] == got[b] for a, b in linked) >= len(linked) - 1
 
 
+def test_long_words_of_two_letters_differ(spark):
+    """Words that sums modulo a power of two can't tell apart, of 1,024 and of 16 bytes."""
+    def thue_morse(n, a, b):
+        return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))
+    x, y = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")
+    rows = [(1, f"{x} one two"), (2, f"{y} one two"), (3, f"{x} p q {y} p q"), (4, f"{thue_morse(16, 'a', 'b')} u v"), (5, f"{thue_morse(16, 'b', 'a')} u v")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (4, 3), 4: (1, 4), 5: (1, 5)}
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     got = near_duplicates(odd_docs).collect()
     assert len(got) == len(ODD_TEXTS)
