@@ -96,7 +96,8 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     apart from each other but are one repository. Empty tables give no rows; other columns are not read.
     """
     candidates = find_candidates(docs, id_col, text_col, repo_col, owner_col)
-    judged = ownership(candidates, example_owners)
+    # written first, so that adaptive execution can split the join at a value that very many documents hold
+    judged = written(ownership(candidates, example_owners), "secret-owners")
     names = [k[0] for k in KINDS] + ADDED
     # one row for each value of a document, so that what comes back is small however often it is repeated
     values = candidates.select("row_no", F.explode(F.array_distinct(F.transform("base", lambda s: s["value"]))).alias("value"))
