@@ -138,6 +138,8 @@ def mix(docs: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (5, 2,
     ahead = Window.partitionBy("src", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     plan = parts.withColumn("ahead", F.coalesce(F.sum("in_part").over(ahead), F.lit(0))).join(
         copies, ["src", "size"]).join(targets, "src")
+    # written first: else the join would be dealt by (src, size), as the sums before it are, and a class be one task's
+    plan = written(plan, "mix-plan")
     nth = F.row_number().over(Window.partitionBy("src", "size", "part").orderBy("hash", "doc_id"))
     out = rows.withColumn("part", part).join(plan, ["src", "size", "part"]).withColumn("nth", F.col("ahead") + nth)
     mine = F.expr("copies div n") + (F.col("nth") <= F.col("copies") % F.col("n")).cast("long")
