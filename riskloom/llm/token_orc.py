@@ -21,7 +21,7 @@ from riskloom.session import staged_path
 #: ends a document
 END_ID = 0
 #: words whose ids a Python worker remembers, and the longest such word
-REMEMBERED, REMEMBERED_CHARS = 400_000, 32
+REMEMBERED, REMEMBERED_CHARS = 1_000_000, 32
 ORC_OPTIONS = {
     "orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(16 << 20),
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd",
