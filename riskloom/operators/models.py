@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -197,6 +197,16 @@ def _boosted(prepared: Prepared, params: Mapping[str, float], rounds: int, patie
         trees = min(rounds, 2 * trees)
 
 
+def _without_summary(spark: SparkSession, model: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The model as it is after saving: its training summary holds the session, which tasks can't take along once
+    the session has observed a table."""
+    path = staged_path(spark, "linear")
+    model.write().save(path)
+    bare = LogisticRegressionModel.load(path)
+    unstage(spark, path)
+    return bare
+
+
 def fit_prepared(prepared: Prepared, params: Mapping[str, float] | None = None, rounds: int | None = None,
                  patience: int = PATIENCE) -> Bundle:
     """Fit one parameter set. With validation vectors a boosted family keeps the trees with the best ROC-AUC there."""
@@ -208,6 +218,7 @@ def fit_prepared(prepared: Prepared, params: Mapping[str, float] | None = None,
             model = estimator(key, params, kept, prepared.max_bins).fit(prepared.train)
     else:
         model = estimator(key, params, rounds, prepared.max_bins).fit(prepared.train)
+        model = _without_summary(prepared.train.sparkSession, model) if key == "sgd" else model
     return Bundle(key, prepared.recipe, PipelineModel(prepared.assembly.stages + [model]), params, prepared.input_schema)
 
 

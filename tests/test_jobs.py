@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import catalog
+from riskloom.operators.models import load_bundle
 from riskloom.plans import (
-    build_dataset, clean_dataset, final_model, profile_dataset, score_batch, train_models, tune_models)
+    build_dataset, clean_dataset, final_model, profile_dataset, score_arrivals, score_batch, train_models, tune_models)
 from riskloom.sources.writers import write_dataset
 
 
@@ -68,3 +69,16 @@ def test_train_tune_refit_score(spark, chain, tmp_path):
     only = spark.read.parquet(f"{tmp_path}/one").collect()
     same = scores.where("SK_ID_CURR = 1000007").first()
     assert len(only) == 1 and only[0]["probability"] == same["probability"] and only[0]["decision"] == "High risk"
+
+    schema = load_bundle(spark, f"{artifacts}/final").input_schema
+    arrivals, columns = str(tmp_path / "arrivals"), ["SK_ID_CURR", *schema.names]
+    for half in (0, 1):
+        write_dataset(test.where(f"SK_ID_CURR % 2 = {half}").select(columns).coalesce(1), arrivals, "csv", "append")
+        assert score_arrivals.run(spark, artifacts, arrivals, f"{tmp_path}/arrived", f"{tmp_path}/state") == 50
+    arrived = spark.read.parquet(f"{tmp_path}/arrived")
+    full = spark.read.parquet(f"{artifacts}/final/metadata")
+    assert arrived.columns == scores.columns and arrived.count() == 100 and full.count() == 1
+    batch_all = str(tmp_path / "full.csv")
+    write_dataset(test, batch_all, "csv")
+    score_batch.run(spark, artifacts, batch_all, f"{tmp_path}/full_scores")
+    assert arrived.exceptAll(spark.read.parquet(f"{tmp_path}/full_scores")).isEmpty()
