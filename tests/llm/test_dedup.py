@@ -2,19 +2,21 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 
 import numpy as np
 import pytest
 
-from riskloom.llm import chosen_path, deep_shallow, suffix_dedup as suffixes
+from riskloom.llm import chosen_path, chunk_dedup as chunking, deep_shallow, suffix_dedup as suffixes
 from riskloom.llm.chosen_path import near_duplicates, without_near_duplicates
 from riskloom.llm.chunk_dedup import chunk_dedup, remove_spans
 from riskloom.llm.deep_shallow import deep_shallow_sort
 from riskloom.llm.exact_dedup import exact_dedup
 from riskloom.llm.graph import components
 from riskloom.llm.suffix_dedup import GRAM, SPAN, shared_reach, suffix_dedup
+from riskloom.llm.textbytes import random_words
 
 from .conftest import ODD_TEXTS
 
@@ -261,6 +263,68 @@ def test_chunk_dedup_odd_rows(odd_docs, no_docs):
     assert chunk_dedup(no_docs).count() == 0
 
 
+def _chunks_in_python(data, table):
+    """Chunk bounds of one text, byte by byte."""
+    bounds, last = [], 0
+    for at in range(len(data)):
+        size = at + 1 - last
+        gear = 0
+        for byte in data[max(0, at + 1 - chunking.WINDOW):at + 1]:
+            gear = (2 * gear + table[byte]) % 2**32
+        if size == chunking.MOST or (size >= chunking.LEAST and gear >> (32 - chunking.CUT_BITS) == 0) or at + 1 == len(data):
+            bounds.append((last, at + 1))
+            last = at + 1
+    return bounds
+
+
+def _chunk_dedup_in_python(rows):
+    """doc_id, n_bytes, n_chunks, n_shared, n_removed, spans by comparing the bytes of chunks; ids are distinct."""
+    table = [int(w) for w in random_words(211, 256) >> np.uint64(32)]
+    texts = {i: (t or "").encode() for i, t in rows}
+    chunks = {i: _chunks_in_python(data, table) for i, data in texts.items()}
+    first, own, holders = {}, {}, collections.Counter()
+    for i in sorted(texts):
+        for begin, end in chunks[i]:
+            chunk = texts[i][begin:end]
+            first.setdefault(chunk, (i, begin))
+            holders[chunk] += own.setdefault((i, chunk), begin) == begin
+    found = set()
+    for i, data in texts.items():
+        runs = []
+        for begin, end in chunks[i]:
+            if holders[data[begin:end]] > 1 or own[i, data[begin:end]] < begin:
+                if runs and runs[-1][-1][1] == begin:
+                    runs[-1].append((begin, end))
+                else:
+                    runs.append([(begin, end)])
+        runs = [r for r in runs if r[-1][1] - r[0][0] >= min(chunking.RUN_BYTES, len(data))]
+        if not runs:
+            continue
+        spans = []
+        for begin, end in itertools.chain(*runs):
+            if first[data[begin:end]] != (i, begin):
+                if spans and spans[-1][1] == begin:
+                    spans[-1][1] = end
+                else:
+                    spans.append([begin, end])
+        found.add((i, len(data), len(chunks[i]), sum(r[-1][1] - r[0][0] for r in runs), sum(e - b for b, e in spans), len(spans),
+                   ",".join(f"{b}:{e}" for b, e in spans)))
+    return found
+
+
+def test_chunk_dedup_equals_a_plain_chunker(spark):
+    draw = random.Random(7)
+    words = ["".join(draw.choices("abcdeé漢", k=draw.randint(1, 9))) for _ in range(3000)]
+    passages = [" ".join(draw.choices(words, k=60)) for _ in range(5)]
+    texts = [" ".join(draw.choices(words, k=draw.randint(0, 150))) for _ in range(60)]
+    texts += [t + " " + draw.choice(passages) + " " + u for t, u in zip(texts[:20], texts[20:40])]      # shared passages
+    texts += [texts[3], texts[3], "tiny", "tiny", "", None, passages[0] + passages[0], "ab" * 2000, "漢" * 300]
+    draw.shuffle(texts)
+    rows = list(zip(draw.sample(range(10_000), len(texts)), texts))
+    got = [tuple(r) for r in chunk_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()]
+    assert len(got) == len(set(got)) and set(got) == _chunk_dedup_in_python(rows)
+
+
 # suffixes
 
 def covered_by_hand(rows):
