@@ -79,22 +79,23 @@ def _chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fresh = np.ones(len(end), bool)
             fresh[order[same]] = False
             index = pa.array(offsets, pa.int32())
-            relative = (end - starts[:-1][row]).astype(np.int32)
+            sizes = (end - begin).astype(np.int16)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key").slice(low, high - low), pa.array(np.diff(starts)),
-                 *[pa.ListArray.from_arrays(index, pa.array(v)) for v in (relative, d1, d2, fresh)]],
-                ["key", "n_bytes", "ends", "d1", "d2", "fresh"])
+                 *[pa.ListArray.from_arrays(index, pa.array(v)) for v in (sizes, d1, d2, fresh)]],
+                ["key", "n_bytes", "sizes", "d1", "d2", "fresh"])
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From chunk ends and repeated chunks to runs of bytes."""
+    """From chunk sizes and repeated chunks to runs of bytes."""
     for batch in batches:
         rows = []
-        for key, n_bytes, ends, shared, stays, again in zip(*[batch.column(c).to_pylist() for c in
-                                                             ("key", "n_bytes", "ends", "shared", "stays", "again")]):
+        for key, n_bytes, sizes, shared, stays, again in zip(*[batch.column(c).to_pylist() for c in
+                                                              ("key", "n_bytes", "sizes", "shared", "stays", "again")]):
             shared, stays, again = set(shared or ()), set(stays or ()), set(again)
             begin, runs = 0, []
-            for number, end in enumerate(ends):
+            for number, size in enumerate(sizes):
+                end = begin + size
                 repeated = number in shared or number in again
                 if repeated:
                     gone = number in again or number not in stays
@@ -114,7 +115,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         removed[-1][1] = end
                     elif gone:
                         removed.append([begin, end])
-            rows.append((key, n_bytes, len(ends), sum(r[1] - r[0] for r in runs), sum(e - b for b, e in removed), len(removed),
+            rows.append((key, n_bytes, len(sizes), sum(r[1] - r[0] for r in runs), sum(e - b for b, e in removed), len(removed),
                          ",".join(f"{b}:{e}" for b, e in removed)))
         if rows:
             columns = list(zip(*rows))
@@ -127,9 +128,10 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """A row for each document with a repeated passage: doc_id, n_bytes, n_chunks, n_shared, n_removed, n_spans, spans.
 
     Texts (UTF-8) are cut where a rolling hash of the last 16 bytes says so, 32 bytes apart on average, so
-    an insertion moves only the cuts next to it. Chunks with one 128-bit digest are the same. Runs of chunks
-    that occur more than once count from RUN_BYTES bytes on, and whole texts of any size (``n_shared`` bytes); of each chunk the first place in
-    the document with the smallest id stays, all others are removed (``spans``, begin:end in bytes).
+    an insertion moves only the cuts next to it. Chunks with one 128-bit digest are the same. A chunk is repeated
+    where another document holds it or its own one holds it further up. Runs of repeated chunks count from RUN_BYTES
+    bytes on, and whole texts of any size (``n_shared`` bytes); of each chunk the first place in the document with the
+    smallest id stays, all others are removed (``spans``, begin:end in bytes).
 
     A chunk that comes again within its text is settled there, so a text repeated a thousand times over
     sends each chunk once. Counts by digest are summed before the shuffle; the join that brings them back has a
@@ -141,21 +143,21 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), whole_text(text_col).alias("text"))
-    cut_up = rows.mapInArrow(_chunker, "key long, n_bytes long, ends array<int>, d1 array<long>, d2 array<long>, "
+    cut_up = rows.mapInArrow(_chunker, "key long, n_bytes long, sizes array<smallint>, d1 array<long>, d2 array<long>, "
                                        "fresh array<boolean>")
     chunked = written(cut_up.withColumn("row_no", F.monotonically_increasing_id()), "chunks")
     chunks = chunked.select("key", "row_no", F.posexplode(F.arrays_zip("d1", "d2", "fresh")).alias("number", "chunk")).where(
         "chunk.fresh").select("key", "row_no", "number", F.col("chunk.d1").alias("d1"), F.col("chunk.d2").alias("d2"))
     repeated = written(chunks.groupBy("d1", "d2").agg(F.count("*").alias("times"), F.min("key").alias("least")).where("times > 1")
                        .select(F.col("d1").alias("r1"), F.col("d2").alias("r2"), "least"), "repeated-chunks")
-    hits = chunks.join(repeated, (F.col("d1") == F.col("r1")) & (F.col("d2") == F.col("r2"))).groupBy(
-        F.col("row_no").alias("hit_row")).agg(
-            F.collect_list("number").alias("shared"),
-            F.collect_list(F.when(F.col("key") == F.col("least"), F.col("number"))).alias("stays"))
+    # a place goes to the join without its document's id: what stays is told when the hits are back at their row
+    hits = chunks.drop("key").join(repeated, (F.col("d1") == F.col("r1")) & (F.col("d2") == F.col("r2"))).groupBy(
+        F.col("row_no").alias("hit_row")).agg(F.collect_list(F.struct("number", "least")).alias("hits"))
     again = F.filter(F.transform("fresh", lambda new, i: F.when(~new, i)), lambda i: i.isNotNull())
-    whole = chunked.select("key", "row_no", "n_bytes", "ends", again.alias("again")).join(
+    whole = chunked.select("key", "row_no", "n_bytes", "sizes", again.alias("again")).join(
         hits, F.col("row_no") == F.col("hit_row"), "left").where("hit_row is not null or size(again) > 0")
-    out = whole.select("key", "n_bytes", "ends", "shared", "stays", "again").mapInArrow(
+    shared, stays = "transform(hits, h -> h.number) AS shared", "transform(filter(hits, h -> h.least = key), h -> h.number) AS stays"
+    out = whole.selectExpr("key", "n_bytes", "sizes", shared, stays, "again").mapInArrow(
         _spans, "key long, n_bytes long, n_chunks long, n_shared long, n_removed long, n_spans long, spans string")
     return out.select(F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), "n_bytes", "n_chunks", "n_shared", "n_removed",
                       "n_spans", "spans")
