@@ -13,6 +13,9 @@ from riskloom.llm.common import LOWER, UPPER, noted, table
 BITS_PER_WORD = 2
 #: listed keys for each 256-bit block; with 8 bits a key about one absent key in a thousand passes
 KEYS_PER_BLOCK = 16
+#: blocks at most: 16 MB of bits, which every task may be sent. A list of over 8 million keys fills them further, so
+#: that more false hits reach the exact join
+MOST_BLOCKS = 2**19
 
 RULES = [  # fixed values: host, path, verdict
     ("com", "/", "allow"),
@@ -56,10 +59,10 @@ def bloom_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
 
 
 def possible_hits(rows: DataFrame, key: str, filter_blocks: DataFrame, blocks: int) -> DataFrame:
-    """Rows whose key may be listed. Spark broadcasts the filter when its size is small and joins by shuffle else."""
+    """Rows whose key may be listed. The filter is sent to the tasks: it has at most MOST_BLOCKS rows."""
     probe = rows.withColumn("bloom_block", _block(F.col(key), blocks))
     seen = [F.col(f"w{w}").bitwiseAND(_word(F.col(key), w)) == _word(F.col(key), w) for w in range(4)]
-    joined = probe.join(filter_blocks, "bloom_block", "inner").where(reduce(lambda a, b: a & b, seen))
+    joined = probe.join(F.broadcast(filter_blocks), "bloom_block", "inner").where(reduce(lambda a, b: a & b, seen))
     return joined.drop("bloom_block", "w0", "w1", "w2", "w3")
 
 
@@ -89,7 +92,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     # the number of different lengths of listed paths is bounded by the longest url
     known = listed.agg(F.count("*"), F.collect_set(F.char_length("rule_path")),
                        F.collect_set(F.size(F.split("rule_host", "[.]")))).first()
-    blocks = max(1, -(-known[0] // KEYS_PER_BLOCK))
+    blocks = min(MOST_BLOCKS, max(1, -(-known[0] // KEYS_PER_BLOCK)))
     filter_blocks = noted(bloom_blocks(listed, "rule_key", blocks), "url-bloom")
     host, path = split_url(F.col(url_col).cast("string"))
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
@@ -106,10 +109,12 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
                   .withColumn("key", F.concat("parent", F.lit(" "), "lead")))
     hits = possible_hits(candidates, "key", filter_blocks, blocks).join(
         listed, F.col("key") == F.col("rule_key"), "inner")
-    best = hits.groupBy("host", "path").agg(F.max_by(
+    # written first and merged, never sent out: its rows grow with the pages, and a page with a great part of all
+    # rows can be split in the join
+    best = noted(hits.groupBy("host", "path").agg(F.max_by(
         F.struct("rule_host", "rule_path", "rule_verdict"),
-        F.struct(F.char_length("rule_key"), F.char_length("rule_host"))).alias("best"))
-    return urls.join(best.withColumnsRenamed({"host": "hit_host", "path": "hit_path"}),
+        F.struct(F.char_length("rule_key"), F.char_length("rule_host"))).alias("best")), "url-verdicts")
+    return urls.join(best.withColumnsRenamed({"host": "hit_host", "path": "hit_path"}).hint("merge"),
                      (F.col("host") == F.col("hit_host")) & (F.col("path") == F.col("hit_path")), "left").select(
         "page_id", "host", "path", F.concat("best.rule_host", "best.rule_path").alias("rule"),
         F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"))
