@@ -228,7 +228,8 @@ def repeated_spans(hashed: DataFrame, large: int = LARGE) -> DataFrame:
     one = rows.join(chosen, F.col("row_no") == F.col("chosen"), "left_semi")
     every = one.select("row_no", F.explode(F.arrays_zip("first", "last", "times", "gram", "context")).alias("a")).select(
         "row_no", "a.first", "a.last", "a.times", "a.gram", "a.context")
-    frequent = every.groupBy(F.col("gram").alias("g")).agg(F.sum("times").alias("n")).where("n > 1").select("g")
+    # tables that are joined by anchor are written first, so that the places of a frequent one can be split
+    frequent = written(every.groupBy(F.col("gram").alias("g")).agg(F.sum("times").alias("n")).where("n > 1").select("g"), "frequent-anchors")
     repeated = written(every.join(frequent, F.col("gram") == F.col("g"), "left_semi"), "repeated-anchors")
     # one place stands for all with its surroundings; first() takes both columns from one row
     kinds = written(repeated.groupBy("gram", "context").agg(
@@ -237,7 +238,7 @@ def repeated_spans(hashed: DataFrame, large: int = LARGE) -> DataFrame:
     whole = repeated.join(alike, (F.col("gram") == F.col("g")) & (F.col("context") == F.col("c")), "left_semi").select(
         "row_no", F.greatest(F.lit(0), F.col("first") - BACK).cast("long").alias("begin"),
         (F.col("last") + SPAN).cast("long").alias("end"))
-    unlike = kinds.groupBy(F.col("gram").alias("g")).agg(F.count("*").alias("kinds")).where("kinds > 1")
+    unlike = written(kinds.groupBy(F.col("gram").alias("g")).agg(F.count("*").alias("kinds")).where("kinds > 1"), "unlike-anchors")
     wanted = kinds.join(unlike, F.col("gram") == F.col("g")).groupBy(F.col("row_no").alias("wanted_row")).agg(
         F.collect_list(F.struct("gram", "kinds", "place", (F.col("n") == 1).alias("open"))).alias("wanted"))
     fetch = wanted.join(rows.select("row_no", F.col("key").alias("of_key"), F.col("md5").alias("of_md5")),
