@@ -16,6 +16,8 @@ from riskloom.operators import (
     preprocess, previous, profiling, scoring, search)
 from riskloom.operators import assemble as asm
 from riskloom.operators import split as splitting
+from riskloom.plans import build_dataset, clean_dataset
+from riskloom.plans.score_batch import read_batch
 from riskloom.session import stage, staged_path
 from riskloom.sources import bindings, readers, schemas, writers
 from riskloom.streaming import arrivals
@@ -158,6 +160,32 @@ def csv_sources_dataset(spark, folder):
     return comparable(asm.build(readers.load_sources(spark, base)))
 
 
+def _built_by_job(spark, folder):
+    """The eight raw tables as CSV, built by the job; the folder it wrote."""
+    raw, out = staged_path(spark, "job-raw"), staged_path(spark, "job-built")
+    for name, df in _train_test_sources(spark, folder).items():
+        writers.write_dataset(df, f"{raw}/{name}.csv", "csv")
+    build_dataset.run(spark, raw, out)
+    return out
+
+
+@query
+def cleaned_by_jobs(spark, folder):
+    """Train rows that the build job wrote, cleaned and written by the next job."""
+    out = staged_path(spark, "job-cleaned")
+    clean_dataset.run(spark, _built_by_job(spark, folder), out)
+    return comparable(spark.read.parquet(f"{out}/final_train_cleaned"))
+
+
+@query
+def job_feature_names(spark, folder):
+    """The lists of column names that the build job wrote beside its two datasets."""
+    out = _built_by_job(spark, folder)
+    names = [spark.read.schema(writers.NAMES_SCHEMA).option("header", True).csv(f"{out}/final_{d}_feature_names").withColumn(
+        "dataset", F.lit(d)) for d in ("train", "test")]
+    return comparable(names[0].unionByName(names[1]))
+
+
 @query
 def first_rows(spark, folder):
     return comparable(profiling.head(bindings.bound(spark, folder, "application"), "SK_ID_CURR"))
@@ -545,26 +573,57 @@ def _bundle(spark, folder):
     return path
 
 
+def _recounted(scored):
+    """The metrics of ``compare_models`` from stored probabilities, by plain sums; the rows and positives they rest on."""
+    guess, truth = "probability > 0.5", f"{LABEL} = 1"
+    hits = f"count_if({guess} AND {truth})"
+    sums = scored.groupBy("model").agg(
+        F.count("*").alias("scored_rows"), F.expr(f"count_if({truth})").alias("positives"),
+        F.expr(f"avg(CAST(({guess}) = ({truth}) AS DOUBLE))").alias("accuracy_again"),
+        F.expr(f"coalesce(try_divide({hits}, count_if({guess})), 0)").alias("precision_again"),
+        F.expr(f"coalesce(try_divide({hits}, count_if({truth})), 0)").alias("recall_again"))
+    return sums.join(metrics.roc_auc(scored, "probability", by=["model"]).withColumnRenamed("roc_auc", "roc_auc_again"), "model").withColumn(
+        "f1_again", F.expr("coalesce(try_divide(2 * precision_again * recall_again, precision_again + recall_again), 0)"))
+
+
 @query
 def train_baselines(spark, folder):
-    """Four families on the train split, compared on the evaluation split."""
-    valid = " AND ".join(f"coalesce({m}, 0) BETWEEN 0 AND 1" for m in ("accuracy", "precision", "recall", "f1", "roc_auc"))
-    ranked = "rank = row_number() OVER (ORDER BY roc_auc DESC, model)"      # four rows
-    return _comparison(_split(spark, folder)).selectExpr(
-        "model", f"{valid} AS metrics_valid", f"coalesce(roc_auc, 0) >= {FLOOR} AS learnt", f"{ranked} AS ranked")
+    """Four families on the train split, saved. The stored comparison must be what the saved models, loaded again, give on
+    the evaluation split."""
+    rows, saved = _split(spark, folder), staged_path(spark, "baselines")
+    kept = ("accuracy", "precision", "recall", "f1", "roc_auc")
+    valid = " AND ".join(f"coalesce({m}, 0) BETWEEN 0 AND 1" for m in kept)
+    holds = " AND ".join(f"abs({m} - {m}_again) < 1e-9" for m in kept)
+    ranked = "rank = row_number() OVER (ORDER BY roc_auc_again DESC, model)"      # four rows
+    table = stage(metrics.compare_models(models.train_baselines(rows, folder=saved, **BUDGET)[0]), "comparison")
+    held, scored = rows.where("split = 'eval'").drop("split"), None
+    for key, family in models.FAMILIES.items():
+        one = models.load_bundle(spark, f"{saved}/{key}").probabilities(held, keep=("SK_ID_CURR", LABEL)).withColumn("model", F.lit(family.name))
+        scored = one if scored is None else scored.unionByName(one)
+    return table.join(_recounted(stage(scored, "scored-again")), "model").selectExpr(
+        "model", "scored_rows", "positives", f"{valid} AS metrics_valid", f"{holds} AS metrics_hold",
+        f"coalesce(roc_auc, 0) >= {FLOOR} AS learnt", f"{ranked} AS ranked")
 
 
 @query
 def random_search(spark, folder):
-    """The two best baselines; the first trial has the baseline's parameters, the others drawn ones."""
+    """The two best baselines; the first trial has the baseline's parameters, the others drawn ones. The stored summary must
+    name the best of the stored trials."""
     rows = _split(spark, folder)
     best = [models.KEY_OF[r["model"]] for r in metrics.top_models(_comparison(rows), 2).collect()]
     train, val = (rows.where(F.col("split") == s).drop("split") for s in ("train", "val"))
     trials = search.search(spark, best, models.validation_objective(train, val, **BUDGET), staged_path(spark, "trials"), n_trials=SEARCH_TRIALS)
+    summary = stage(search.search_summary(trials), "best-params")
     expected = spark.createDataFrame([(k, t, json.dumps(search.sample_params(k, t), sort_keys=True))
                                       for k in best for t in range(SEARCH_TRIALS)], "family string, trial int, drawn string")
-    checked = trials.join(expected, ["family", "trial"]).selectExpr("trial", f"params = drawn AND val_roc_auc BETWEEN {FLOOR} AND 1 AS valid")
-    return checked.groupBy("trial").agg(F.count_if("valid").cast("int").alias("valid_families"))
+    named = summary.select("family", F.col("trial").alias("best_trial"), F.col("params").alias("best_drawn"),
+                           F.col("val_roc_auc").alias("best_area"), "trials")
+    checked = trials.join(expected, ["family", "trial"]).join(named, "family").selectExpr(
+        "trial", f"params = drawn AND val_roc_auc BETWEEN {FLOOR} AND 1 AS valid",
+        f"trials = {SEARCH_TRIALS} AND IF(trial = best_trial, params = best_drawn AND val_roc_auc = best_area, "
+        "val_roc_auc < best_area OR (val_roc_auc = best_area AND trial > best_trial)) AS summed_up")
+    return checked.groupBy("trial").agg(F.count_if("valid").cast("int").alias("valid_families"),
+                                        F.count_if("summed_up").cast("int").alias("summed_up_families"))
 
 
 @query
@@ -576,13 +635,19 @@ def final_model(spark, folder):
 
 @query
 def score_batch(spark, folder):
-    """A saved model scores every applicant, with a feature column missing from the batch."""
-    rows = cleaned(spark, folder)
-    scored = stage(models.load_bundle(spark, _bundle(spark, folder)).score(rows.drop(LABEL, "inst_avg_delay")), "scored")
+    """A saved model scores every applicant of a CSV file that lacks a feature column; one of them is scored alone as well."""
+    rows, batch = cleaned(spark, folder), staged_path(spark, "batch") + ".csv"
+    bundle = models.load_bundle(spark, _bundle(spark, folder))
+    writers.write_dataset(rows.drop(LABEL, "inst_avg_delay"), batch, "csv")
+    uploaded = read_batch(spark, bundle, batch)
+    scored = stage(bundle.score(uploaded), "scored")
     labelled = scored.join(rows.select("SK_ID_CURR", LABEL), "SK_ID_CURR")
     area = metrics.roc_auc(labelled, "probability").selectExpr(f"roc_auc >= {FLOOR} AS learnt")
-    return scored.join(F.broadcast(area)).selectExpr(
+    chosen = rows.agg(F.max("SK_ID_CURR")).first()[0]
+    alone = bundle.score_one(uploaded, chosen).agg(F.count("*").alias("found"), F.max("probability").alias("alone"))
+    return scored.join(F.broadcast(area)).join(F.broadcast(alone)).selectExpr(
         "SK_ID_CURR", "probability BETWEEN 0 AND 1 AS probability_valid", "learnt",
+        f"found = 1 AND (SK_ID_CURR <> {chosen} OR abs(probability - alone) < 1e-9) AS alone_same",
         "decision = IF(probability < 0.48, 'Low risk', 'High risk') AS decision_valid",
         "risk_band = CASE WHEN probability < 0.25 THEN 'Low' WHEN probability < 0.5 THEN 'Medium' "
         "WHEN probability < 0.75 THEN 'High' ELSE 'Very high' END AS band_valid")

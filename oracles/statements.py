@@ -23,6 +23,7 @@ add("pos_features", select_shown(ID + base.POS, "pos_features"))
 add("application_features", select_shown(base.APPLICATION + base.APPLICATION_ADDED, "application_features"))
 add("assembled_dataset", select_shown(base.ASSEMBLED, "assembled"))
 add("cleaned_dataset", select_shown(base.ASSEMBLED, "cleaned"))
+add("cleaned_by_jobs", select_shown(base.ASSEMBLED, "cleaned"))
 
 
 # --- train and test at once ------------------------------------------------------------------
@@ -90,6 +91,13 @@ _KINDS = {"i": "bigint", "d": "double", "s": "string"}
 _LISTED = ", ".join(f"('{n}', {i}, '{_KINDS[k]}')" for i, (k, n, *_) in enumerate(base.ASSEMBLED))
 add("column_info", f"""SELECT CAST(ordinal AS BIGINT) AS ordinal, feature, dtype, count(value) AS non_null FROM all_text
     JOIN (VALUES {_LISTED}) l(feature, ordinal, dtype) USING (feature) GROUP BY feature, ordinal, dtype""", **ALL_TEXT)
+# fixed values: the application columns in the order of the raw file, which the job's lists keep
+_RAW_ORDER = ["SK_ID_CURR", "TARGET", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "NAME_INCOME_TYPE", "DAYS_BIRTH", "DAYS_EMPLOYED",
+              "ORGANIZATION_TYPE", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
+_JOB_NAMES = _RAW_ORDER + [n for _, n, *_ in base.ASSEMBLED if n not in _RAW_ORDER]
+add("job_feature_names", f"""SELECT dataset, CAST(row_number() OVER (PARTITION BY dataset ORDER BY place) - 1 AS BIGINT) AS ordinal, feature
+    FROM (VALUES {", ".join(f"('{n}', {i})" for i, n in enumerate(_JOB_NAMES))}) l(feature, place), (VALUES ('train'), ('test')) d(dataset)
+    WHERE dataset = 'train' OR feature <> 'TARGET'""")
 add("name_rules", f"""SELECT feature, feature LIKE 'SK\\_ID%' ESCAPE '\\' AS is_id, contains(feature, 'DAYS') AS is_days,
     contains(lower(feature), 'month') AS is_month, contains(lower(feature), 'ratio') AS is_ratio,
     contains(lower(feature), 'count') OR contains(lower(feature), 'cnt_') AS is_count FROM (VALUES {_LISTED}) l(feature, ordinal, dtype)""")
@@ -410,10 +418,11 @@ add("search_summary", f"""SELECT family, {base.single('auc')} AS val_roc_auc, tr
     count(*) OVER (PARTITION BY o_orderpriority) AS trials,
     row_number() OVER (PARTITION BY o_orderpriority ORDER BY round(o_totalprice / 500000, 2) DESC, o_orderkey) AS place
     FROM orders) t WHERE place = 1""")
-add("train_baselines", """SELECT unnest(['Elastic Net log reg', 'XG Boost Classifier', 'LightGBM Classifier', 'CatBoost Classifier'])
-    AS model, true AS metrics_valid, true AS learnt, true AS ranked""")
-add("random_search", "SELECT CAST(t AS INTEGER) AS trial, 2 AS valid_families FROM range(3) r(t)")
+add("train_baselines", """SELECT model, count(*) AS scored_rows, count(*) FILTER (WHERE TARGET = 1) AS positives, true AS metrics_valid,
+    true AS metrics_hold, true AS learnt, true AS ranked FROM members, (SELECT unnest(['Elastic Net log reg', 'XG Boost Classifier',
+    'LightGBM Classifier', 'CatBoost Classifier']) AS model) WHERE split = 'eval' GROUP BY model""", **APP_SPLIT)
+add("random_search", "SELECT CAST(t AS INTEGER) AS trial, 2 AS valid_families, 2 AS summed_up_families FROM range(3) r(t)")
 add("final_model", """SELECT 'CatBoost Classifier' AS model_name, 'catbc_full' AS model_key, 'catbc' AS model_family,
     count(*) AS trained_rows, 'customer' AS source_data, '0.48' AS threshold FROM customer""")
-add("score_batch", """SELECT c_custkey AS SK_ID_CURR, true AS probability_valid, true AS learnt, true AS decision_valid, true AS band_valid
+add("score_batch", """SELECT c_custkey AS SK_ID_CURR, true AS probability_valid, true AS learnt, true AS alone_same, true AS decision_valid, true AS band_valid
     FROM customer""")

@@ -26,10 +26,14 @@ def choose_bundle(spark, artifacts: str):
     return load_bundle(spark, f"{artifacts}/baselines/{KEY_OF[best['model']]}")
 
 
+def read_batch(spark, bundle, path: str):
+    """The applicants of a file, with the columns that the model knows."""
+    return read_table(spark, path, T.StructType([T.StructField(ID, T.LongType()), *bundle.input_schema.fields]))
+
+
 def run(spark, artifacts: str, batch: str, out: str, threshold: float | None = None, applicant: int | None = None) -> None:
     bundle = choose_bundle(spark, artifacts)
-    schema = T.StructType([T.StructField(ID, T.LongType()), *bundle.input_schema.fields])
-    rows = read_table(spark, batch, schema)
+    rows = read_batch(spark, bundle, batch)
     if applicant is not None:
         rows = rows.where(F.col(ID) == applicant)
     write_dataset(bundle.score(rows, threshold), out)
