@@ -4,11 +4,12 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from riskloom.operators import stopping
+from riskloom.operators import models, stopping
 
 
 def area(scores, labels):
@@ -85,3 +86,32 @@ def test_every_prefix(spark, boosted, monkeypatch):
 def test_one_class(boosted):
     model, _, val, _ = boosted
     assert stopping.kept_trees(model, val.where("label = 1"), 2) == (24, False, None)
+
+
+def test_first_trees_are_the_shorter_fit(spark, boosted, tmp_path):
+    """A model cut to its first trees scores, saves and loads as the fit of that many trees."""
+    model, train, val, _ = boosted
+    shorter = GBTClassifier(maxIter=7, maxDepth=4, stepSize=0.4, subsamplingRate=0.7, seed=3).fit(train)
+    cut = models.first_trees(model, 7)
+    cut.write().save(str(tmp_path / "cut"))
+    shown = [[r["probability"][1] for r in m.transform(val).orderBy("i").select("probability").collect()]
+             for m in (shorter, cut, GBTClassificationModel.load(str(tmp_path / "cut")))]
+    assert cut.getNumTrees == 7 and cut.treeWeights == shorter.treeWeights
+    assert shown[1] == pytest.approx(shown[0]) and shown[2] == pytest.approx(shown[0])
+
+
+def test_a_small_budget_is_fitted_once(boosted, monkeypatch):
+    """Neither growing lengths nor the kept one are fits of their own, and a search does not repeat a fit."""
+    _, train, val, areas = boosted
+    fits, real = [], models.estimator
+
+    def counted(key, params, rounds, *rest):
+        fits.append(rounds)
+        return real(key, params, rounds, *rest)
+    monkeypatch.setattr(models, "estimator", counted)
+    rows = train.selectExpr("features", "label", "1D AS weight")
+    prepared = models.Prepared("xgb", None, PipelineModel([]), rows, val.select("features", "label"), 64, None)
+    bundle = models.fit_prepared(prepared, {"max_depth": 4}, rounds=24, patience=8)
+    kept, _, area = stopping.kept_trees(bundle.pipeline.stages[-1], prepared.val, 24)
+    assert models.evaluate_params(prepared, {"max_depth": 4}, 24, 8) == pytest.approx(area) and kept == models.fitted_rounds(bundle)
+    assert fits == [24]
