@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quantiles import quantiles, unpivoted
-from ..functions.scalar import nan_to_null, sample_skewness
+from ..functions.scalar import hundredths, nan_to_null, sample_skewness
 from ..functions.selectors import (
     ID, LABEL, boolean_columns, day_columns, float_columns, month_columns, numeric_columns, string_columns, without)
 from ..functions.sqltext import INFINITE, number, quoted, text
@@ -309,9 +309,9 @@ def column_report(df: DataFrame, label: str = LABEL) -> DataFrame:
     bounds = F.broadcast(bounds_table(df.sparkSession, fit_iqr_bounds(df, columns)))
     cells = unpivoted(df, columns).join(bounds, "feature")
     measured = cells.groupBy("feature").agg(
-        F.bround(F.count_if(_outside()) / F.count("*") * 100, 2).alias("outlier_pct"),
-        F.bround(sample_skewness("value"), 2).alias("skewness"),
-        F.bround(F.count_if(F.col("value").isNull()) / F.count("*") * 100, 2).alias("missing_pct"),
+        hundredths(F.count_if(_outside()) / F.count("*") * 100).alias("outlier_pct"),
+        hundredths(sample_skewness("value")).alias("skewness"),
+        hundredths(F.count_if(F.col("value").isNull()) / F.count("*") * 100).alias("missing_pct"),
         F.min("value").alias("min"), F.max("value").alias("max"))
     report = measured.join(distinct_counts(df, columns), "feature", "left").withColumn(
         "distinct_values", F.coalesce("distinct_values", F.lit(0)))

@@ -77,3 +77,13 @@ def test_sample_skewness(spark, values, expected):
 @pytest.mark.parametrize("value", [0.1, 1e-12, -2.5e300, INF, -INF, None, 365243.0])
 def test_number_literals_keep_every_bit(spark, value):
     assert spark.range(1).selectExpr(f"{number(value)} AS x").first()["x"] == value
+
+
+def test_hundredths_go_as_the_statements_round(spark):
+    """Halves go away from zero (not to the even digit), judged on the double: 1.005 is less than a half."""
+    import duckdb
+    values = [0.125, 0.375, -0.125, 2.675, 1.005, 0.285, 80.625, 1e-9, -3.0, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    shown = [r["r"] for r in df.select("i", scalar.hundredths("v").alias("r")).orderBy("i").collect()]
+    assert shown == [duckdb.sql(f"SELECT round({'NULL' if v is None else repr(v)}::DOUBLE, 2)").fetchall()[0][0] for v in values]
+    assert shown[0] == 0.13
