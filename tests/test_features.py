@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.joins import hot_keys, join_rollup
 from riskloom.operators import application, assemble, bureau, checks, credit_card, installments, pos_cash, previous
-from riskloom.sources import schemas
+from riskloom.sources import bindings, schemas
 
 INF = math.inf
 
@@ -178,3 +178,16 @@ def test_rollups_do_not_depend_on_partitioning(spark):
     straight = sorted(map(tuple, bureau.bureau_features(loans, balance).collect()))
     mixed = bureau.bureau_features(loans.repartition(7).orderBy(F.rand(1)), balance.repartition(5))
     assert sorted(map(tuple, mixed.collect())) == straight
+
+
+def test_roll_ups_move_only_what_they_need(spark, testdata):
+    """(applicant, card) pairs are moved without the other aggregates, and a loan's months once with a count for each status."""
+    cards = bindings.bound(spark, testdata, "credit_card_balance")
+    pos = bindings.bound(spark, testdata, "POS_CASH_balance")
+    for wide in (credit_card.credit_card_features(cards), pos_cash.pos_features(pos)):
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        paired = [line for line in plan.splitlines() if "Aggregate(keys=[SK_ID_CURR" in line and "SK_ID_PREV" in line.split("functions")[0]]
+        assert paired and all("functions=[]" in line for line in paired)
+    plan = bureau.balance_by_loan(bindings.bound(spark, testdata, "bureau_balance"))._jdf.queryExecution().executedPlan().toString()
+    partial = next(line for line in plan.splitlines() if "functions=[partial_" in line)
+    assert partial.split("output")[0].count("partial_") == 12
