@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import ranks
 from riskloom.functions.quantiles import quantiles
+from riskloom.functions.sketches import column_sketches, quantile_array
 from riskloom.operators import correlation, metrics, profiling
 
 
@@ -189,3 +190,13 @@ def test_duplicates(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, "a"), (1, None)], "k int, s string")
     assert tuple(profiling.duplicate_report(df).first()) == (4, 2)
     assert profiling.drop_duplicates(df).count() == 2
+
+
+def test_sketches_of_columns_side_by_side(spark, table):
+    """No row for each cell; counts and quantiles as the sketch of such rows gives them."""
+    df = table[0] if isinstance(table, tuple) else table
+    wide = column_sketches(df, ["a", "empty"], [], 200)
+    assert "explode" not in wide._jdf.queryExecution().executedPlan().toString()
+    shown = {r["feature"]: (r["n"], r["at"]) for r in wide.select("feature", "n", quantile_array("sketch", [0.0, 1.0]).alias("at")).collect()}
+    ends = df.selectExpr("count(a) AS n", "array(double(min(a)), double(max(a))) AS at").first()
+    assert shown == {"a": (ends["n"], ends["at"]), "empty": (0, None)}
