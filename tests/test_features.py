@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.functions.joins import hot_keys, join_rollup
+from riskloom.functions.joins import hot_keys, join_rolled, join_rollup
 from riskloom.operators import application, assemble, bureau, checks, credit_card, installments, pos_cash, previous
 from riskloom.sources import bindings, schemas
 
@@ -191,3 +191,31 @@ def test_roll_ups_move_only_what_they_need(spark, testdata):
     plan = bureau.balance_by_loan(bindings.bound(spark, testdata, "bureau_balance"))._jdf.queryExecution().executedPlan().toString()
     partial = next(line for line in plan.splitlines() if "functions=[partial_" in line)
     assert partial.split("output")[0].count("partial_") == 12
+
+
+def test_rolled_rows_are_joined_whichever_keys_are_hot(spark):
+    """Hot, absent, repeated and missing keys on both sides: the same rows as a plain join to the roll-up."""
+    rng = random.Random(5)
+    facts = spark.createDataFrame([(rng.choice([None, 7, 8, rng.randrange(200)]), i % 40) for i in range(2000)], "k long, c long")
+    months = spark.createDataFrame([(rng.choice([None, 8, 9, rng.randrange(150)]), i) for i in range(3000)], "k long, v long")
+
+    def roll(rows):
+        return rows.where("k IS NOT NULL").groupBy("k").agg(F.sum("v").alias("v"), F.count("*").alias("n"))
+
+    plain = sorted(map(tuple, facts.join(roll(months), "k").collect()))
+    for hot in ([], [7, 8, 8, 9, 500]):
+        named = spark.createDataFrame([(h,) for h in hot], "hot long")
+        assert sorted(map(tuple, join_rolled(facts, months, "k", roll, named).collect())) == plain
+
+
+def test_loans_and_their_months_are_moved_once(spark, testdata):
+    """One shuffle by loan for either side of the join, of rows as they are; sums are moved only for loans with many rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        wide = bureau.bureau_features(bindings.bound(spark, testdata, "bureau"), bindings.bound(spark, testdata, "bureau_balance"))
+        lines = wide._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_loan = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(SK_ID_BUREAU" in line]
+    summed = [i for i in by_loan if "partial_" in lines[i + 1]]
+    assert len(by_loan) == 3 and len(summed) == 1 and any("LeftSemi" in line for line in lines[summed[0]:summed[0] + 5])
