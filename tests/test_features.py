@@ -219,3 +219,30 @@ def test_loans_and_their_months_are_moved_once(spark, testdata):
     by_loan = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(SK_ID_BUREAU" in line]
     summed = [i for i in by_loan if "partial_" in lines[i + 1]]
     assert len(by_loan) == 3 and len(summed) == 1 and any("LeftSemi" in line for line in lines[summed[0]:summed[0] + 5])
+
+
+def test_roll_up_moves_rows_not_sums(spark, testdata):
+    """Loans and earlier applications go to their applicant as they are, hot applicants' summed, and join there without another shuffle."""
+    customers = bindings.bound(spark, testdata, "application").select("SK_ID_CURR")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        wide = assemble.assemble(customers, [("previous", previous.previous_features(bindings.bound(spark, testdata, "previous_application")))])
+        lines = wide._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_applicant = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(SK_ID_CURR" in line]
+    summed = [i for i in by_applicant if "partial_" in lines[i + 1]]
+    assert len(by_applicant) == 3 and len(summed) == 1 and any("LeftSemi" in line for line in lines[summed[0]:summed[0] + 5])
+
+
+def test_hot_applicant_gets_one_row(spark):
+    """A third of the rows on one applicant: found by the sketch, summed apart, same sums as a plain grouping."""
+    apps = spark.range(6000).selectExpr("id AS SK_ID_PREV", "IF(id % 3 = 0, 7L, id % 500) AS SK_ID_CURR",
+                                        "IF(id % 2 = 0, 'Approved', 'Refused') AS NAME_CONTRACT_STATUS", "CAST(id % 11 AS DOUBLE) AS AMT_CREDIT")
+    apps = apps.selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS {c}" for c in (
+        "AMT_APPLICATION", "AMT_DOWN_PAYMENT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "DAYS_DECISION", "SELLERPLACE_AREA", "CNT_PAYMENT")])
+    assert [r["hot"] for r in hot_keys(apps, "SK_ID_CURR").collect()] == [7]
+    columns = ("SK_ID_CURR", "prev_application_count", "prev_total_credit", "prev_approved_count", "prev_avg_application_amount")
+    got = sorted(map(tuple, previous.previous_features(apps).select(*columns).collect()))
+    plain = apps.groupBy("SK_ID_CURR").agg(F.count("*"), F.sum("AMT_CREDIT"), F.count_if(F.col("NAME_CONTRACT_STATUS") == "Approved"), F.max("AMT_APPLICATION"))
+    assert got == sorted(map(tuple, plain.collect()))
