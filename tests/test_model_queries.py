@@ -33,6 +33,13 @@ def test_final_model_has_the_whole_budget(spark, asked):
     assert asked == [("catbc", 1000, PATIENCE)] and PATIENCE == 250 and row["trained_rows"] == 350
 
 
+def test_train_baselines_has_the_whole_budget(spark, asked):
+    found = catalog.train_baselines(spark, None).collect()
+    assert sorted(asked) == [("catbc", 1000, PATIENCE), ("lgbm", 1000, PATIENCE), ("sgd", 200, None), ("xgb", 1000, PATIENCE)]
+    assert sorted(r["model"] for r in found) == sorted(models.KEY_OF) and all(
+        r["scored_rows"] == 70 and r["metrics_valid"] and r["metrics_hold"] and r["ranked"] for r in found)
+
+
 def test_fits_take_few_partitions_and_every_row(spark):
     """A small table is not cut into a partition for each file; no row is lost by that."""
     rows = spark.createDataFrame([(i, i % 2, float(i % 9)) for i in range(400)], "SK_ID_CURR long, TARGET int, AMT double").repartition(5, "AMT")
